@@ -1,0 +1 @@
+"""Streaming: the source has no stream processing; see README."""
