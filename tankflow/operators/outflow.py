@@ -160,7 +160,7 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
                     series: DataFrame | None = None) -> DataFrame:
     """mx/mn rows (J3/J4) with their ``max_value`` / ``min_value``.
 
-    Output: key, hour_ts, role ('mx' or 'mn'), value.
+    Output: key, hour_ts, is_b (True for a last-minute 'mx' value), value.
     """
     rd = _readings(gauges, year=year, months=months, start=start, end=end,
                    stations=stations, series=series)
@@ -187,45 +187,53 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
     max_value = F.when(F.col("has_next") & early, F.col("next_in_min")).otherwise(F.col("volume"))
     min_value = F.when(F.col("has_prev") & early, F.col("volume")).otherwise(
         F.when(F.col("has_prev"), F.col("prev_in_min")).otherwise(F.col("prev_vol")))
-    mx = cand.filter("is_mx").select(*K, "hour_ts", F.lit("mx").alias("role"), max_value.alias("value"))
-    mn = cand.filter("is_mn").select(*K, "hour_ts", F.lit("mn").alias("role"), min_value.alias("value"))
-    return mx.unionByName(mn)
+    # one pass emits both roles: a row of the last minute is an 'mx' value,
+    # a row of the first minute an 'mn' value (both when they are the same minute)
+    roles = F.filter(F.array(
+        F.when(F.col("is_mx"), F.struct(F.lit(True).alias("is_b"), max_value.alias("value"))),
+        F.when(F.col("is_mn"), F.struct(F.lit(False).alias("is_b"), min_value.alias("value")))),
+        lambda x: x.isNotNull())
+    r = cand.select(*K, "hour_ts", F.explode(roles).alias("r"))
+    return r.select(*K, "hour_ts", "r.is_b", "r.value")
 
 
 def pair_outflow(values: DataFrame) -> DataFrame:
     """Sum of ``min_value - max_value`` over all (mx, mn) pairs of an hour,
     without forming the pairs.
 
-    Output: key, hour_ts, pairs, gain_sum (sum of non-negative diffs),
+    With A the first-minute values and B the last-minute values of an hour:
+    for each non-null a, ``cnt_le`` = #{b <= a} and ``sum_le`` = sum{b <= a}
+    (running count and sum over the values sorted ascending, b before an equal
+    a). Then sum over pairs with a >= b of (a - b) = sum_a (a * cnt_le - sum_le),
+    #{a >= b} = sum_a cnt_le, #{a < b} = |A'| |B'| - #{a >= b}.
+
+    Output: key, hour_ts, pairs (= |A| |B|, nulls included), gain_sum,
     gain_pairs (#pairs with diff >= 0), drop_pairs (#pairs with diff < 0).
     """
     key = K + ["hour_ts"]
-    is_b = F.col("role") == "mx"
-    nn = values.filter(F.col("value").isNotNull())
-    # mx values sort before equal mn values: a >= b counts equality.
-    w = (Window.partitionBy(*key).orderBy("value", F.when(is_b, 0).otherwise(1))
+    is_b = F.col("is_b")
+    nn = F.col("value").isNotNull()
+    w = (Window.partitionBy(*key).orderBy(F.col("value").asc_nulls_first(), F.when(is_b, 0).otherwise(1))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = nn.select(*key, "role", "value",
-                    F.sum(F.when(is_b, 1).otherwise(0)).over(w).alias("cnt_le"),
-                    F.sum(F.when(is_b, F.col("value")).otherwise(0.0)).over(w).alias("sum_le"))
-    is_a = F.col("role") == "mn"
-    nonnull = (run.groupBy(*key)
-               .agg(F.sum(F.when(is_a, F.col("value") * F.col("cnt_le") - F.col("sum_le"))).alias("gain_sum"),
-                    F.sum(F.when(is_a, F.col("cnt_le"))).alias("gain_pairs"),
-                    F.count(F.when(is_a, 1)).alias("n_a"),
-                    F.count(F.when(~is_a, 1)).alias("n_b")))
-    sizes = (values.groupBy(*key)
-             .agg(F.count(F.when(F.col("role") == "mn", 1)).alias("all_a"),
-                  F.count(F.when(F.col("role") == "mx", 1)).alias("all_b")))
-    j = sizes.join(nonnull, key, "left")
-    return j.select(
+    run = values.select(*key, "is_b", "value",
+                        F.count(F.when(is_b & nn, 1)).over(w).alias("cnt_le"),
+                        F.sum(F.when(is_b & nn, F.col("value")).otherwise(0.0)).over(w).alias("sum_le"))
+    a_nn = ~is_b & nn
+    agg = (run.groupBy(*key)
+           .agg(F.count(F.when(~is_b, 1)).alias("all_a"),
+                F.count(F.when(is_b, 1)).alias("all_b"),
+                F.count(F.when(a_nn, 1)).alias("n_a"),
+                F.count(F.when(is_b & nn, 1)).alias("n_b"),
+                F.sum(F.when(a_nn, F.col("value") * F.col("cnt_le") - F.col("sum_le"))).alias("gain_sum"),
+                F.sum(F.when(a_nn, F.col("cnt_le"))).alias("gain_pairs")))
+    gain_pairs = F.coalesce(F.col("gain_pairs"), F.lit(0)).cast("bigint")
+    return agg.filter(F.col("all_a") * F.col("all_b") > 0).select(
         *key,
         (F.col("all_a") * F.col("all_b")).alias("pairs"),
-        F.coalesce("gain_sum", F.lit(0.0)).alias("gain_sum"),
-        F.coalesce("gain_pairs", F.lit(0)).cast("bigint").alias("gain_pairs"),
-        (F.coalesce(F.col("n_a") * F.col("n_b"), F.lit(0)) - F.coalesce("gain_pairs", F.lit(0)))
-        .cast("bigint").alias("drop_pairs"),
-    ).filter(F.col("pairs") > 0)
+        F.coalesce(F.col("gain_sum"), F.lit(0.0)).alias("gain_sum"),
+        gain_pairs.alias("gain_pairs"),
+        (F.col("n_a") * F.col("n_b") - gain_pairs).alias("drop_pairs"),
+    )
 
 
 def hourly_tank_outflow(receipts: DataFrame, shifts: DataFrame, items: DataFrame, gauges: DataFrame, *,

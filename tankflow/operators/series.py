@@ -17,6 +17,14 @@ from ..sources.schema import SERIES_KEY
 K = SERIES_KEY
 
 
+def orders_as_hourly(orders: DataFrame) -> DataFrame:
+    """C7 input step: the database variant's bound query
+    (``TRUNC(R_DAY)``, ``R_HOUR``, ``NVL(VOLUME, 0)``) in the extract's shape."""
+    return orders.select(*K, F.col("r_day").cast("date").alias("date"),
+                         F.col("r_hour").cast("int").alias("hour"),
+                         F.coalesce(F.col("volume"), F.lit(0.0)).alias("quantity"))
+
+
 def parse_hourly(hourly: DataFrame, *, rollover: str = "all", lenient: bool = True) -> DataFrame:
     """X5/X6 + X14 + X15 + X8: (key, date text, hour, quantity) -> (key, ds, q, w).
 

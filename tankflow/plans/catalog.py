@@ -39,7 +39,7 @@ K3 = O.KEYS
 # ---------------------------------------------------------------- C1 / A1 / A2
 register("hourly_tank_outflow", O.sql(
     f"SELECT {K3}, date, hour, {O.r6('quantity', 'quantity')}, pairs FROM hourly", "hourly"))(
-    lambda spark, sf: rounded(Pipeline(spark, sf).hourly))
+    lambda spark, sf: rounded(Pipeline(spark, sf).hourly_plan))
 
 
 @register("pos_hourly_sales", O.sql(
@@ -123,6 +123,361 @@ register("mean_accuracy", O.sql(
     lambda spark, sf: rounded(Pipeline(spark, sf).mean_accuracy))
 
 
+# ---------------------------------------------------------------- C7 / C8 / O4
+_ORDERS_OVERRIDES = {
+    "parsed0": (("orders",), """
+        SELECT station, product, tank, r_day AS d, CASE WHEN r_hour = 24 THEN 0 ELSE r_hour END AS h,
+               COALESCE(volume, 0) AS q, CAST(1 AS BIGINT) AS w
+        FROM orders"""),
+    "cfg": (("orders",), O.cfg_sql(source="orders")),
+}
+
+register("orders_to_forecast", O.sql(
+    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('quantity', 'quantity')}, "
+    f"{O.r6('accuracy', 'accuracy')} FROM scored", "scored", overrides=_ORDERS_OVERRIDES))(
+    lambda spark, sf: rounded(Pipeline(spark, sf, source="orders").comparison))
+
+_FUELS_SQL = ", ".join(f"('{n}', CAST({c} AS BIGINT))" for n, c in __import__(
+    "tankflow.sources.schema", fromlist=["FUEL_CODES"]).FUEL_CODES)
+_FUELS_CTE = {"fuels": ((), f"SELECT * FROM (VALUES {_FUELS_SQL}) AS t(fuel_name, product)")}
+
+register("data_quality_report", O.sql("""
+    SELECT finding, row_count FROM (
+      SELECT 'empty_input' AS finding, CAST(CASE WHEN n = 0 THEN 1 ELSE 0 END AS BIGINT) AS row_count FROM qa
+      UNION ALL SELECT 'unparseable_date', CAST(bad AS BIGINT) FROM qa
+      UNION ALL SELECT 'null_quantity', CAST(nq AS BIGINT) FROM qa
+      UNION ALL SELECT 'unknown_fuel', CAST(unk AS BIGINT) FROM qa)""", "qa",
+    overrides={**_FUELS_CTE, "qa": (("hourly", "fuels"), """
+        SELECT count(*) AS n, count_if(try_strptime(h.date, '%d.%m.%Y') IS NULL) AS bad,
+               count_if(h.quantity IS NULL) AS nq, count_if(f.product IS NULL) AS unk
+        FROM hourly h LEFT JOIN fuels f ON h.product = f.product""")}))(
+    lambda spark, sf: Pipeline(spark, sf).quality)
+
+register("chart_feed", O.sql(f"""
+    SELECT {K3}, ds, series_name, {O.r6('value', 'value')} FROM (
+      SELECT {K3}, ds, 'history' AS series_name, quantity AS value FROM history
+      UNION ALL SELECT {K3}, ds, 'forecast', yhat FROM depletion
+      UNION ALL SELECT {K3}, ds, 'accuracy', accuracy FROM scored
+      UNION ALL SELECT {K3}, ds, 'level', level FROM depletion
+      UNION ALL SELECT d.station, d.product, d.tank, d.ds, 'dead_stock', c.dead_stock
+                FROM depletion d JOIN cfg c ON {O.keys_eq('d', 'c')}
+      UNION ALL SELECT {K3}, ds, 'actual', quantity FROM actual)""",
+    "history", "depletion", "scored", "actual", "cfg"))(
+    lambda spark, sf: rounded(Pipeline(spark, sf).chart_feed))
+
+# ---------------------------------------------------------------- model (M1-M6)
+register("model_training_frame", O.sql(
+    f"SELECT {K3}, ds, {O.r6('quantity', 'y')} FROM history", "history"))(
+    lambda spark, sf: rounded(__import__("tankflow.operators.model", fromlist=["x"])
+                              .model_training_frame(Pipeline(spark, sf).history)))
+
+register("model_future_frame", O.sql(f"""
+    SELECT {K3}, ds FROM history
+    UNION ALL
+    SELECT {K3}, last_ds + to_hours(CAST(i AS BIGINT)) AS ds
+    FROM (SELECT {K3}, max(ds) AS last_ds, unnest(generate_series(1, 48)) AS i FROM history GROUP BY {K3})""",
+    "history"))(
+    lambda spark, sf: __import__("tankflow.operators.model", fromlist=["x"])
+    .model_future_frame(Pipeline(spark, sf).history))
+
+
+def _event_sql() -> str:
+    from ..operators.model import expand_event_rows
+    from ..sources.schema import SPECIAL_EVENTS
+    parts = []
+    for e, o, days in expand_event_rows(SPECIAL_EVENTS):
+        lst = ", ".join(f"DATE '{d.isoformat()}'" for d in days)
+        parts.append(f"CASE WHEN CAST(ds AS DATE) IN ({lst}) THEN 1.0 ELSE 0.0 END AS \"{e}_{o:+d}\"")
+    return f"SELECT {K3}, ds, {', '.join(parts)} FROM series"
+
+
+@register("event_window_expand", O.sql(_event_sql(), "series"))
+def _events(spark, sf):
+    from ..operators.model import expand_event_rows
+    from ..sources.schema import SPECIAL_EVENTS
+    s = Pipeline(spark, sf).series
+    d = F.to_date("ds")
+    cols = [F.when(d.isin(*[F.lit(x) for x in days]), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{e}_{o:+d}")
+            for e, o, days in expand_event_rows(SPECIAL_EVENTS)]
+    return s.select("station", "product", "tank", "ds", *cols)
+
+
+def _model_parts(spark, sf):
+    from ..operators import model as md
+    from ..sources.schema import SPECIAL_EVENTS
+    p = Pipeline(spark, sf)
+    spec = md.ModelSpec(events=md.expand_event_rows(SPECIAL_EVENTS))
+    return p, md, spec
+
+
+@register("model_features", None)
+def _features(spark, sf):
+    p, md, spec = _model_parts(spark, sf)
+    train = md.model_training_frame(p.history)
+    return md.model_features(train, md.series_scaling(train, spec), spec).select(
+        "station", "product", "tank", "ds", "y", "x")
+
+
+@register("model_fit", None)
+def _fit(spark, sf):
+    p, md, spec = _model_parts(spark, sf)
+    coefs, _ = md.fit_model(p.history, spec)
+    return coefs
+
+
+@register("model_predict", None)
+def _predict(spark, sf):
+    p, md, spec = _model_parts(spark, sf)
+    coefs, scaling = md.fit_model(p.history, spec)
+    return md.predict_model(coefs, scaling, md.model_future_frame(p.history), spec)
+
+
+register("model_forecast", None)(
+    lambda spark, sf: Pipeline(spark, sf, model="additive").comparison)
+
+# ---------------------------------------------------------------- scalar functions, filters, joins
+register("format_timestamps", O.sql(f"""
+    SELECT {K3}, reading_id, strftime(ts, '%d.%m.%Y') AS date_text, strftime(ts, '%H') AS hour_text,
+           strftime(ts, '%M') AS minute_text, strftime(ts, '%d.%m.%Y %H:%M') AS datetime_text
+    FROM gauges""", "gauges"))
+def _format_ts(spark, sf):
+    from ..functions import timefmt as tf
+    g = Pipeline(spark, sf).gauges
+    return g.select("station", "product", "tank", "reading_id", tf.format_date("ts").alias("date_text"),
+                    tf.format_hour("ts").alias("hour_text"), tf.format_minute("ts").alias("minute_text"),
+                    tf.format_datetime("ts").alias("datetime_text"))
+
+
+@register("calendar_fields", O.sql(f"""
+    SELECT {K3}, reading_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start,
+           CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+           CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour,
+           CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, ts + INTERVAL 1 DAY AS next_day, ts + INTERVAL 1 HOUR AS next_hour
+    FROM gauges""", "gauges"))
+def _cal_fields(spark, sf):
+    from ..functions import timefmt as tf
+    g = Pipeline(spark, sf).gauges
+    return g.select("station", "product", "tank", "reading_id", tf.truncate_day("ts").alias("day_start"),
+                    F.year("ts").alias("year"), F.month("ts").alias("month"), tf.weekday("ts").alias("weekday"),
+                    tf.hour_of("ts").alias("hour"), F.to_date("ts").cast("timestamp_ntz").alias("date"),
+                    tf.add_days("ts", 1).alias("next_day"), tf.add_hours("ts", 1).alias("next_hour"))
+
+
+@register("parse_date", O.sql(
+    f"SELECT {K3}, date, hour, CAST(strptime(date, '%d.%m.%Y') AS TIMESTAMP) AS parsed FROM hourly", "hourly"))
+def _parse(spark, sf):
+    from ..functions import timefmt as tf
+    h = Pipeline(spark, sf).hourly_plan
+    return h.select("station", "product", "tank", "date", "hour", tf.parse_date("date").cast("timestamp_ntz").alias("parsed"))
+
+
+@register("hour24_rollover", O.sql(f"""
+    SELECT {K3}, CAST(r_day AS TIMESTAMP) AS r_day, r_hour,
+           CAST(CASE WHEN h = 0 THEN r_day + 1 ELSE r_day END AS TIMESTAMP) AS day,
+           CAST(h AS INTEGER) AS hour,
+           CAST(CASE WHEN h = 0 THEN r_day + 1 ELSE r_day END AS TIMESTAMP) + to_hours(CAST(h AS BIGINT)) AS ds
+    FROM (SELECT *, CASE WHEN r_hour = 24 THEN 0 ELSE r_hour END AS h FROM orders)""", "orders"))
+def _rollover(spark, sf):
+    from ..functions import timefmt as tf
+    o = Pipeline(spark, sf).orders
+    d, h = tf.hour24_rollover(F.col("r_day"), F.col("r_hour"), "all")
+    return o.select("station", "product", "tank", F.col("r_day").cast("timestamp_ntz").alias("r_day"), "r_hour",
+                    d.cast("timestamp_ntz").alias("day"), h.alias("hour"),
+                    tf.combine_date_hour(d, h).alias("ds"))
+
+
+@register("filter_year_month", O.sql(
+    f"SELECT {K3}, reading_id, ts FROM gauges WHERE year(ts) = 2024 AND month(ts) IN (1)", "gauges"))
+def _f_ym(spark, sf):
+    from ..operators.outflow import year_month_filter
+    g = Pipeline(spark, sf).gauges
+    return g.filter(year_month_filter(F.col("ts"), 2024, [1])).select("station", "product", "tank",
+                                                                      "reading_id", "ts")
+
+
+@register("filter_between_dates", O.sql(
+    f"SELECT {K3}, reading_id, ts FROM gauges "
+    "WHERE ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'", "gauges"))
+def _f_between(spark, sf):
+    import datetime as dt
+
+    from ..operators.outflow import between_dates
+    g = Pipeline(spark, sf).gauges
+    return g.filter(between_dates(F.col("ts"), dt.date(2024, 1, 1), dt.date(2024, 1, 31))).select(
+        "station", "product", "tank", "reading_id", "ts")
+
+
+@register("receipts_right_join_shift", O.sql("""
+    SELECT rec.id, z.station, z.znum, z.shift_start, rec.start_ts
+    FROM receipts rec RIGHT JOIN shifts z
+      ON z.station = rec.station AND z.znum = rec.znum AND z.shift_start = rec.shift_start
+    WHERE year(z.shift_start) = 2024 AND month(z.shift_start) IN (1) AND rec.station IS NOT NULL""",
+    "receipts", "shifts"))
+def _j1(spark, sf):
+    from ..operators.outflow import receipts_with_shift
+    p = Pipeline(spark, sf)
+    return receipts_with_shift(p.receipts, p.shifts, year=2024, months=[1]).select(
+        "id", "station", "znum", "shift_start", "start_ts")
+
+
+@register("receipts_left_join_items", O.sql(f"""
+    SELECT rec.id, rec.station, item.product, item.tank, {O.r6('item.volume', 'volume')}
+    FROM receipts rec RIGHT JOIN shifts z
+      ON z.station = rec.station AND z.znum = rec.znum AND z.shift_start = rec.shift_start
+    LEFT JOIN items item ON item.receipt_id = rec.id
+    WHERE year(z.shift_start) = 2024 AND month(z.shift_start) IN (1) AND rec.station IS NOT NULL
+      AND item.prodtype = 0
+      AND (item.bruto <> 0 OR (item.volume <> 0 AND item.prodtype = 0 AND rec.station IN ({O._NET_ONLY})))""",
+    "receipts", "shifts", "items"))
+def _j2(spark, sf):
+    from ..operators.outflow import receipts_with_shift, sales_filter
+    from ..sources.schema import NET_ONLY_STATIONS
+    p = Pipeline(spark, sf)
+    rz = receipts_with_shift(p.receipts, p.shifts, year=2024, months=[1])
+    j = rz.select("id", "station").join(p.items, F.col("id") == F.col("receipt_id"))
+    j = j.filter(sales_filter(F.col("station"), F.col("prodtype"), F.col("bruto"), F.col("volume"),
+                              NET_ONLY_STATIONS))
+    return rounded(j.select("id", "station", "product", "tank", "volume"))
+
+
+@register("lead_lag_readings", O.sql(f"""
+    SELECT {K3}, reading_id, vm1 AS next_volume, vm2 AS prev_volume,
+           lead(strftime(ts, '%d.%m.%Y %H:%M')) OVER w AS next_text,
+           lag(strftime(ts, '%d.%m.%Y %H:%M')) OVER w AS prev_text,
+           CAST(tr11 AS DOUBLE) AS next_minute_same, CAST(tr21 AS DOUBLE) AS prev_minute_same
+    FROM (SELECT *, lead(volume) OVER w AS vm1, lag(volume) OVER w AS vm2,
+                 lead(CAST(strftime(ts, '%M') AS INTEGER)) OVER m AS tr11,
+                 lag(CAST(strftime(ts, '%M') AS INTEGER)) OVER m AS tr21
+          FROM gauges
+          WINDOW w AS (PARTITION BY {K3} ORDER BY ts, reading_id),
+                 m AS (PARTITION BY strftime(ts, '%d.%m.%Y %H:%M'), {K3} ORDER BY ts, reading_id))
+    WINDOW w AS (PARTITION BY {K3} ORDER BY ts, reading_id)""", "gauges"))
+def _w123(spark, sf):
+    from pyspark.sql import Window
+
+    from ..functions import timefmt as tf
+    from ..operators.windows import segmented_lead_lag
+    g = Pipeline(spark, sf).gauges.withColumn("text", tf.format_datetime("ts"))
+    r = segmented_lead_lag(g, ["station", "product", "tank"], ["ts", "reading_id"], ["volume", "text"])
+    m = Window.partitionBy("station", "product", "tank", tf.truncate_minute("ts")).orderBy("ts", "reading_id")
+    mi = F.minute("ts")
+    return r.select("station", "product", "tank", "reading_id", F.col("next_volume"), F.col("prev_volume"),
+                    F.col("next_text"), F.col("prev_text"),
+                    F.lead(mi, 1).over(m).cast("double").alias("next_minute_same"),
+                    F.lag(mi, 1).over(m).cast("double").alias("prev_minute_same"))
+
+
+@register("rolling_mean", O.sql(f"""
+    SELECT {K3}, ds, weekday, hour, {O.r6('quantity', 'quantity')},
+           {O.r6('avg(quantity) OVER (PARTITION BY station, product, tank, weekday, hour ORDER BY ds '
+                 'ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 'rolling_mean')}
+    FROM history""", "history"))
+def _w4(spark, sf):
+    from ..operators.baseline import rolling_baseline
+    return rounded(rolling_baseline(Pipeline(spark, sf).history, 7))
+
+
+@register("last_n_per_cell", O.sql(
+    f"SELECT {K3}, ds, weekday, hour, {O.r6('quantity', 'quantity')} FROM ranked WHERE rn <= win",
+    "ranked"))
+def _w5(spark, sf):
+    from ..operators.baseline import last_n_per_cell
+    p = Pipeline(spark, sf)
+    return rounded(last_n_per_cell(p.history, p.cfg))
+
+
+@register("first_last_row", O.sql(f"""
+    SELECT {K3}, min(ds) AS first_ds, {O.r6('arg_min(quantity, ds)', 'first_quantity')},
+           max(ds) AS last_ds, {O.r6('arg_max(quantity, ds)', 'last_quantity')}
+    FROM history GROUP BY {K3}""", "history"))
+def _o12(spark, sf):
+    h = Pipeline(spark, sf).history
+    return rounded(h.groupBy("station", "product", "tank").agg(
+        F.min("ds").alias("first_ds"), F.min_by("quantity", "ds").alias("first_quantity"),
+        F.max("ds").alias("last_ds"), F.max_by("quantity", "ds").alias("last_quantity")))
+
+
+@register("series_bounds", O.sql(
+    f"SELECT {K3}, CAST(lo AS TIMESTAMP) AS grid_start, CAST(hi AS TIMESTAMP) AS grid_end FROM sbounds",
+    "sbounds"))
+def _a5(spark, sf):
+    from ..operators import series as se
+    p = Pipeline(spark, sf)
+    return se.series_bounds(se.dedupe_mean(se.parse_hourly(p.hourly)))
+
+
+@register("dedupe_mean", O.sql(f"SELECT {K3}, ds, {O.r6('quantity', 'quantity')} FROM obs", "obs"))
+def _a3(spark, sf):
+    from ..operators import series as se
+    return rounded(se.dedupe_mean(se.parse_hourly(Pipeline(spark, sf).hourly)))
+
+
+@register("mean_by_ds_weekday", O.sql(
+    f"SELECT {K3}, ds, weekday, {O.r6('avg(quantity)', 'quantity')}, CAST(hour(ds) AS INTEGER) AS hour "
+    f"FROM series GROUP BY {K3}, ds, weekday", "series"))
+def _a4(spark, sf):
+    from ..operators import series as se
+    return rounded(se.mean_by_ds_weekday(Pipeline(spark, sf).series))
+
+
+@register("hourly_grid", O.sql(f"SELECT {K3}, ds FROM grid", "grid"))
+def _x21(spark, sf):
+    from ..operators import series as se
+    p = Pipeline(spark, sf)
+    return se.series_grid(se.series_bounds(se.dedupe_mean(se.parse_hourly(p.hourly))))
+
+
+@register("null_presence", O.sql(
+    f"SELECT {K3}, bool_or(quantity IS NULL) AS has_null, CAST(count_if(quantity IS NULL) AS BIGINT) AS null_rows "
+    f"FROM hourly GROUP BY {K3}", "hourly"))
+def _a9(spark, sf):
+    from ..operators.quality import null_presence
+    return null_presence(Pipeline(spark, sf).hourly_plan)
+
+
+@register("row_count_check", O.sql(
+    "SELECT CAST(count(*) AS BIGINT) AS row_count, count(*) = 0 AS is_empty FROM orders", "orders"))
+def _a10(spark, sf):
+    from ..operators.quality import row_count_check
+    return row_count_check(Pipeline(spark, sf).orders).withColumnRenamed("rows", "row_count")
+
+
+@register("head_preview", O.sql(f"""
+    SELECT {K3}, CAST(r_day AS TIMESTAMP) AS r_day, r_hour, {O.r6('volume', 'volume')}, total_rows FROM (
+      SELECT *, CAST(count(*) OVER () AS BIGINT) AS total_rows FROM orders)
+    ORDER BY station, product, tank, r_day, r_hour LIMIT 5""", "orders"))
+def _p8(spark, sf):
+    o = Pipeline(spark, sf).orders
+    n = o.agg(F.count(F.lit(1)).alias("total_rows"))
+    top = o.orderBy("station", "product", "tank", "r_day", "r_hour").limit(5)
+    return rounded(top.join(n, how="cross").select("station", "product", "tank",
+                                                    F.col("r_day").cast("timestamp_ntz").alias("r_day"),
+                                                    "r_hour", "volume",
+                                                    "total_rows"))
+
+
+_HEADERS = __import__("tankflow.sources.schema", fromlist=["HOURLY_HEADERS"]).HOURLY_HEADERS
+
+
+@register("rename_positional", O.sql(
+    "SELECT " + ", ".join(f'{c} AS "{h}"' for h, c in _HEADERS.items()) +
+    f" FROM (SELECT {K3}, date, hour, round(quantity, 6) + 0.0 AS quantity FROM hourly)", "hourly"))
+def _p1(spark, sf):
+    h = rounded(Pipeline(spark, sf).hourly_plan.drop("pairs"))
+    return h.toDF(*_HEADERS.keys())
+
+
+@register("fuel_code_join", O.sql(f"""
+    SELECT DISTINCT h.station, h.product, h.tank, f.fuel_name FROM hourly h JOIN fuels f ON h.product = f.product""",
+    "hourly", "fuels", overrides=_FUELS_CTE))
+def _j11(spark, sf):
+    from ..operators.quality import fuel_code_join
+    from ..sources import fixtures as fx
+    p = Pipeline(spark, sf)
+    known, _ = fuel_code_join(p.hourly.select("station", "product", "tank"), fx.fuels(spark))
+    return known.select("station", "product", "tank", "fuel_name").distinct()
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -20,7 +20,8 @@ from ..operators import forecast as fc
 from ..operators import outflow as of
 from ..operators import series as se
 from ..sources import fixtures as fx
-from ..sources.schema import NET_ONLY_STATIONS
+from ..session import cut_lineage
+from ..sources.schema import NET_ONLY_STATIONS, SPECIAL_EVENTS
 
 
 class Pipeline:
@@ -29,7 +30,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, *, year: int = fx.TEST_YEAR,
                  months=fx.TEST_MONTHS, bounds: tuple[dt.date, dt.date] = fx.TEST_BOUNDS,
                  stations=None, net_only_stations=NET_ONLY_STATIONS, rollover: str = "all",
-                 model: str | None = None, **scenario):
+                 model: str | None = None, source: str = "extract", **scenario):
         self.spark = spark
         self.sf_dir = sf_dir
         self.year = year
@@ -39,6 +40,9 @@ class Pipeline:
         self.net_only_stations = tuple(net_only_stations)
         self.rollover = rollover
         self.model_kind = model
+        if source not in ("extract", "orders", "gauges"):
+            raise ValueError(f"source {source!r}")
+        self.source = source
         self.scenario = scenario
 
     # -- inputs ---------------------------------------------------------
@@ -67,6 +71,27 @@ class Pipeline:
 
     @cached_property
     def hourly(self) -> DataFrame:
+        """C1 output, checkpointed: the extract is the hand-off point between
+        extraction and forecasting (the scripts write it to a file), it is
+        small (one row per tank-hour) and every later stage reads it."""
+        return cut_lineage(self.source_plan)
+
+    @cached_property
+    def source_plan(self) -> DataFrame:
+        """The hourly input of the forecast: the extraction (C1), the
+        database's hourly orders (C7), or plain hourly gauge sums."""
+        if self.source == "orders":
+            return se.orders_as_hourly(self.orders)
+        if self.source == "gauges":
+            return fx.hourly_from_gauges(self.spark, self.sf_dir)
+        return self.hourly_plan
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return fx.orders(self.spark, self.sf_dir)
+
+    @cached_property
+    def hourly_plan(self) -> DataFrame:
         return of.hourly_tank_outflow(self.receipts, self.shifts, self.items, self.gauges,
                                       year=self.year, months=self.months, start=self.bounds[0],
                                       end=self.bounds[1], stations=self.stations,
@@ -79,7 +104,8 @@ class Pipeline:
 
     @cached_property
     def series(self) -> DataFrame:
-        return se.clean_hourly_series(self.hourly, self.cfg, rollover=self.rollover)
+        """C3 output, checkpointed: read by the history, actual and model stages."""
+        return cut_lineage(se.clean_hourly_series(self.hourly, self.cfg, rollover=self.rollover))
 
     @cached_property
     def history(self) -> DataFrame:
@@ -99,7 +125,7 @@ class Pipeline:
         if self.model_kind is None:
             return None
         from ..operators import model as md
-        return md.fit_predict(self.history, calendar=fx.calendar(self.spark))
+        return md.fit_predict(self.history, calendar=SPECIAL_EVENTS)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -130,3 +156,14 @@ class Pipeline:
     @cached_property
     def mean_accuracy(self) -> DataFrame:
         return ev.mean_accuracy(self.comparison, self.cfg)
+
+    # -- C8, O4 -------------------------------------------------------------
+    @cached_property
+    def quality(self) -> DataFrame:
+        from ..operators import quality as qu
+        return qu.quality_report(self.source_plan, fx.fuels(self.spark))
+
+    @cached_property
+    def chart_feed(self) -> DataFrame:
+        from ..operators import feeds
+        return feeds.chart_feed(self.history, self.depletion, self.actual, self.comparison, self.cfg)

@@ -44,12 +44,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the required SQL settings to an existing session (idempotent)."""
+    """Apply the required SQL settings to an existing session (idempotent)
+    and ship this package to the executors for the Arrow/pandas steps."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Zip the ``tankflow`` package once per SparkContext and ``addPyFile`` it,
+    so executor-side Python (mapInArrow/applyInPandas) can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tankflow_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tankflow-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._tankflow_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
