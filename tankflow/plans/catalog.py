@@ -478,6 +478,62 @@ def _j11(spark, sf):
     return known.select("station", "product", "tank", "fuel_name").distinct()
 
 
+# ---------------------------------------------------------------- J8 / J10 / O3 on their own
+register("union_extension", O.sql(
+    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('level', 'level')}, extension FROM depletion",
+    "depletion", overrides={"cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL)))}))(
+    lambda spark, sf: rounded(Pipeline(spark, sf, initial=EXT_INITIAL).depletion))
+
+
+@register("grid_gapfill", O.sql(f"""
+    SELECT g.station, g.product, g.tank, g.ds FROM grid g
+    WHERE NOT EXISTS (SELECT 1 FROM obs o WHERE {O.keys_eq('o', 'g')} AND o.ds = g.ds)""", "grid", "obs"))
+def _j10(spark, sf):
+    from ..operators import series as se
+    p = Pipeline(spark, sf)
+    obs = se.dedupe_mean(se.parse_hourly(p.hourly))
+    grid = se.series_grid(se.series_bounds(obs))
+    return grid.join(obs, ["station", "product", "tank", "ds"], "left_anti")
+
+
+# Stand-in model table for J8: hour-of-day mean of the history over the
+# model's frame (history + 48 h), so the lookup and its fallback are both
+# exercised with values both engines compute.
+_STANDIN = {
+    "standin": (("history",), f"""
+        SELECT f.station, f.product, f.tank, f.ds, m.yhat FROM (
+            SELECT {K3}, ds FROM history
+            UNION ALL
+            SELECT {K3}, last_ds + to_hours(CAST(i AS BIGINT)) AS ds
+            FROM (SELECT {K3}, max(ds) AS last_ds, unnest(generate_series(1, 48)) AS i FROM history GROUP BY {K3})) f
+        JOIN (SELECT {K3}, hour, avg(quantity) AS yhat FROM history GROUP BY {K3}, hour) m
+          ON {O.keys_eq('f', 'm')} AND m.hour = hour(f.ds)"""),
+    "forecast": (("horizon", "baseline", "cfg", "standin"), f"""
+        SELECT z.station, z.product, z.tank, z.ds, z.weekday, z.hour,
+               COALESCE(b.baseline, 0) AS baseline, s.yhat AS model_yhat,
+               c.w_base * COALESCE(b.baseline, 0) + c.w_model * COALESCE(s.yhat, b.baseline, 0) AS yhat
+        FROM horizon z
+        JOIN cfg c ON {O.keys_eq('z', 'c')}
+        LEFT JOIN baseline b ON {O.keys_eq('z', 'b')} AND z.weekday = b.weekday AND z.hour = b.hour
+        LEFT JOIN standin s ON {O.keys_eq('z', 's')} AND z.ds = s.ds"""),
+}
+
+
+@register("model_lookup", O.sql(
+    f"SELECT {K3}, ds, weekday, hour, {O.r6('baseline', 'baseline')}, {O.r6('model_yhat', 'model_yhat')}, "
+    f"{O.r6('yhat', 'yhat')} FROM forecast", "forecast", overrides=_STANDIN))
+def _j8(spark, sf):
+    from ..operators import forecast as fc
+    from ..operators import model as md
+    p = Pipeline(spark, sf)
+    h = p.history
+    means = h.groupBy("station", "product", "tank", "hour").agg(F.avg("quantity").alias("yhat"))
+    frame = md.model_future_frame(h).withColumn("hour", F.hour("ds"))
+    standin = frame.join(means, ["station", "product", "tank", "hour"]).select(
+        "station", "product", "tank", "ds", "yhat")
+    return rounded(fc.hybrid_forecast(p.baseline, p.cfg, standin))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
