@@ -89,9 +89,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame reliably (survives executor loss) and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise a frame reliably and cut its lineage.
+
+    The frame is written once as a parquet table under the session's shared
+    checkpoint folder and read back: later stages read files that survive
+    executor loss, the optimizer sees their real size, and the plan runs
+    once (``Dataset.checkpoint`` on an unpersisted plan runs it twice: once
+    for the eager count, once for the write).
+    """
+    import uuid
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tankflow-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
