@@ -1,4 +1,5 @@
-"""M1-M6: an additive trend + seasonality + event model, fitted per series.
+"""M1-M7: a trend + seasonality + event model, fitted per series (additive,
+or multiplicative seasonality by alternating solves).
 
 Model (after Taylor & Letham, "Forecasting at Scale", 2018, and the public
 defaults of the library the scripts call):
@@ -172,15 +173,15 @@ _PARTIAL_SCHEMA = T.StructType([
 ])
 
 
-def _partial_gram(batches):
+def _partial_gram(batches, xcol: str = "x", ycol: str = "ys"):
     """Per Arrow batch and series: X'X, X'y, y'y, n (y already scaled)."""
     for rb in batches:
         if rb.num_rows == 0:
             continue
-        xs = rb.column("x")
+        xs = rb.column(xcol)
         k = len(xs[0].as_py()) if rb.num_rows else 0
         X = xs.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-        y = rb.column("ys").to_numpy(zero_copy_only=False)
+        y = rb.column(ycol).to_numpy(zero_copy_only=False)
         keys = pd.DataFrame({c: rb.column(c).to_pandas() for c in K})
         codes, uniq = pd.factorize(pd.MultiIndex.from_frame(keys))
         out = {c: [] for c in _PARTIAL_SCHEMA.fieldNames()}
@@ -233,15 +234,58 @@ _COEF_SCHEMA = T.StructType([
 ])
 
 
+def ridge_by_series(rows: DataFrame, xcol: str, ycol: str, prior_scales: np.ndarray) -> DataFrame:
+    """Per-series ridge/MAP solve of ``ycol ~ xcol``: partial sums per Arrow
+    batch (``mapInArrow``), then one small solve per series (``applyInPandas``)."""
+    partial = rows.select(*K, xcol, ycol).mapInArrow(
+        lambda it: _partial_gram(it, xcol, ycol), _PARTIAL_SCHEMA)
+    return partial.groupBy(*K).applyInPandas(_solver(np.asarray(prior_scales, dtype=float)), _COEF_SCHEMA)
+
+
+N_TREND = 2 + N_CHANGEPOINTS
+
+
 def fit_model(history: DataFrame, spec: ModelSpec = ModelSpec()) -> tuple[DataFrame, DataFrame]:
-    """M4: per-series coefficients. Returns (coefficients, scaling)."""
+    """M4 (and M7): per-series coefficients. Returns (coefficients, scaling).
+
+    ``spec.mode == "multiplicative"`` fits y = trend * (1 + seasonal + events)
+    by alternating ridge solves (``MULT_ITERATIONS`` fixed passes): with the
+    trend fixed, the seasonal part is a ridge of (y - g) on g * x_s; with the
+    seasonal part fixed, the trend is a ridge of y on (1 + s) * x_t.
+    """
     train = model_training_frame(history)
     scaling = series_scaling(train, spec)
     feats = model_features(train, scaling, spec)
     rows = feats.select(*K, "x", (F.col("y") / F.col("y_scale")).alias("ys"))
-    partial = rows.mapInArrow(_partial_gram, _PARTIAL_SCHEMA)
-    coefs = partial.groupBy(*K).applyInPandas(_solver(spec.prior_scales()), _COEF_SCHEMA)
-    return coefs, scaling
+    if spec.mode == "additive":
+        return ridge_by_series(rows, "x", "ys", spec.prior_scales()), scaling
+    if spec.mode != "multiplicative":
+        raise ValueError(f"mode {spec.mode!r}")
+    return _fit_multiplicative(rows, spec), scaling
+
+
+MULT_ITERATIONS = 4
+
+
+def _fit_multiplicative(rows: DataFrame, spec: ModelSpec) -> DataFrame:
+    from ..session import cut_lineage
+    prior = spec.prior_scales()
+    pt, ps = prior[:N_TREND], prior[N_TREND:]
+    k = len(prior)
+    rows = cut_lineage(rows.select(*K, F.slice("x", 1, N_TREND).alias("xt"),
+                                   F.slice("x", N_TREND + 1, k - N_TREND).alias("xs"), "ys"))
+    bt = cut_lineage(ridge_by_series(rows, "xt", "ys", pt).select(*K, F.col("beta").alias("bt")))
+    bs = None
+    for _ in range(MULT_ITERATIONS):
+        r = rows.join(bt, K).withColumn("g", dot(F.col("xt"), F.col("bt")))
+        z = r.select(*K, F.transform("xs", lambda v: v * F.col("g")).alias("z"),
+                     (F.col("ys") - F.col("g")).alias("t"))
+        bs = cut_lineage(ridge_by_series(z, "z", "t", ps).select(*K, F.col("beta").alias("bs")))
+        r = rows.join(bs, K).withColumn("s1", F.lit(1.0) + dot(F.col("xs"), F.col("bs")))
+        z = r.select(*K, F.transform("xt", lambda v: v * F.col("s1")).alias("z"), F.col("ys").alias("t"))
+        fit = ridge_by_series(z, "z", "t", pt)
+        bt = cut_lineage(fit.select(*K, F.col("beta").alias("bt"), "sigma", "n"))
+    return bt.join(bs, K).select(*K, F.concat("bt", "bs").alias("beta"), "sigma", "n")
 
 
 # ---------------------------------------------------------------- M5 / M6
@@ -263,14 +307,21 @@ def predict_model(coefs: DataFrame, scaling: DataFrame, frame: DataFrame,
     """M6: yhat for every (key, ds) of ``frame``. Output: key, ds, yhat."""
     f = model_features(frame.select(*K, "ds"), scaling, spec)
     j = f.join(coefs.select(*K, "beta"), K)
-    return j.select(*K, "ds", (dot(F.col("x"), F.col("beta")) * F.col("y_scale")).alias("yhat"))
+    if spec.mode == "multiplicative":
+        k = len(spec.feature_names())
+        g = dot(F.slice("x", 1, N_TREND), F.slice("beta", 1, N_TREND))
+        s = dot(F.slice("x", N_TREND + 1, k - N_TREND), F.slice("beta", N_TREND + 1, k - N_TREND))
+        yhat = g * (F.lit(1.0) + s)
+    else:
+        yhat = dot(F.col("x"), F.col("beta"))
+    return j.select(*K, "ds", (yhat * F.col("y_scale")).alias("yhat"))
 
 
 def fit_predict(history: DataFrame, calendar=None, spec: ModelSpec | None = None,
-                periods: int = FUTURE_PERIODS) -> DataFrame:
+                periods: int = FUTURE_PERIODS, mode: str = "additive") -> DataFrame:
     """M1-M6 end to end: fit on the history, predict history + ``periods`` hours."""
     if spec is None:
         events = expand_event_rows(calendar) if calendar is not None else ()
-        spec = ModelSpec(events=events)
+        spec = ModelSpec(events=events, mode=mode)
     coefs, scaling = fit_model(history, spec)
     return predict_model(coefs, scaling, model_future_frame(history, periods), spec)

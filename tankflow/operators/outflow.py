@@ -89,8 +89,10 @@ def sales_filter(station: Column, prodtype: Column, bruto: Column, volume: Colum
 def receipts_with_shift(receipts: DataFrame, shifts: DataFrame, *, year: int,
                         months: Iterable[int], stations: Sequence[str] | None = None) -> DataFrame:
     """Receipts joined to their shift report (the WHERE clause makes it inner)."""
+    months = list(months)
     z = shifts.filter(year_month_filter(F.col("shift_start"), year, months))
-    r = _restrict(receipts, stations, None)
+    # implied by the join equality; stated so it also reaches the receipts scan
+    r = _restrict(receipts, stations, None).filter(year_month_filter(F.col("shift_start"), year, months))
     return r.join(z, ["station", "znum", "shift_start"], "inner")
 
 

@@ -235,6 +235,9 @@ def _predict(spark, sf):
 register("model_forecast", None)(
     lambda spark, sf: Pipeline(spark, sf, model="additive").comparison)
 
+register("model_seasonality_mode", None)(
+    lambda spark, sf: Pipeline(spark, sf, model="multiplicative").comparison)
+
 # ---------------------------------------------------------------- scalar functions, filters, joins
 register("format_timestamps", O.sql(f"""
     SELECT {K3}, reading_id, strftime(ts, '%d.%m.%Y') AS date_text, strftime(ts, '%H') AS hour_text,

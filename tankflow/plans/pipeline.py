@@ -125,7 +125,7 @@ class Pipeline:
         if self.model_kind is None:
             return None
         from ..operators import model as md
-        return md.fit_predict(self.history, calendar=SPECIAL_EVENTS)
+        return md.fit_predict(self.history, calendar=SPECIAL_EVENTS, mode=self.model_kind)
 
     @cached_property
     def forecast(self) -> DataFrame:
