@@ -7,6 +7,7 @@ sides so that float summation order cannot change the value hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import metrics as M
+from ..operators import model as md
+from ..sources.schema import FUEL_CODES, HOURLY_HEADERS
 from . import oracle as O
 from .pipeline import Pipeline
 
@@ -137,8 +140,7 @@ register("orders_to_forecast", O.sql(
     f"{O.r6('accuracy', 'accuracy')} FROM scored", "scored", overrides=_ORDERS_OVERRIDES))(
     lambda spark, sf: rounded(Pipeline(spark, sf, source="orders").comparison))
 
-_FUELS_SQL = ", ".join(f"('{n}', CAST({c} AS BIGINT))" for n, c in __import__(
-    "tankflow.sources.schema", fromlist=["FUEL_CODES"]).FUEL_CODES)
+_FUELS_SQL = ", ".join(f"('{n}', CAST({c} AS BIGINT))" for n, c in FUEL_CODES)
 _FUELS_CTE = {"fuels": ((), f"SELECT * FROM (VALUES {_FUELS_SQL}) AS t(fuel_name, product)")}
 
 register("data_quality_report", O.sql("""
@@ -168,8 +170,7 @@ register("chart_feed", O.sql(f"""
 # ---------------------------------------------------------------- model (M1-M6)
 register("model_training_frame", O.sql(
     f"SELECT {K3}, ds, {O.r6('quantity', 'y')} FROM history", "history"))(
-    lambda spark, sf: rounded(__import__("tankflow.operators.model", fromlist=["x"])
-                              .model_training_frame(Pipeline(spark, sf).history)))
+    lambda spark, sf: rounded(md.model_training_frame(Pipeline(spark, sf).history)))
 
 register("model_future_frame", O.sql(f"""
     SELECT {K3}, ds FROM history
@@ -177,8 +178,7 @@ register("model_future_frame", O.sql(f"""
     SELECT {K3}, last_ds + to_hours(CAST(i AS BIGINT)) AS ds
     FROM (SELECT {K3}, max(ds) AS last_ds, unnest(generate_series(1, 48)) AS i FROM history GROUP BY {K3})""",
     "history"))(
-    lambda spark, sf: __import__("tankflow.operators.model", fromlist=["x"])
-    .model_future_frame(Pipeline(spark, sf).history))
+    lambda spark, sf: md.model_future_frame(Pipeline(spark, sf).history))
 
 
 def _event_sql() -> str:
@@ -210,12 +210,45 @@ def _model_parts(spark, sf):
     return p, md, spec
 
 
+def _features_sql() -> str:
+    """M2 in SQL: the same feature layout as ``model.model_features``, long form."""
+    from ..sources.schema import SPECIAL_EVENTS
+    spec = md.ModelSpec(events=md.expand_event_rows(SPECIAL_EVENTS))
+    t = "((epoch(h.ds) - epoch(c.t0)) / 3600.0 / c.span_h)"
+    feats = [f"{t}", "1.0"]
+    for j in range(1, md.N_CHANGEPOINTS + 1):
+        pos = f"(round_even({float(j)!r} * (c.hist_size - 1) / c.ncp, 0) / c.span_h)"
+        feats.append(f"CASE WHEN c.ncp >= {j} THEN greatest({t} - {pos}, 0.0) ELSE 0.0 END")
+    day = "(epoch(h.ds) / 86400.0)"
+    for name, order, period, _, _ in spec.seasonal_blocks:
+        for i in range(1, order + 1):
+            w = repr(2.0 * i * math.pi / period)
+            feats.append(f"CASE WHEN c.use_{name} THEN sin({w} * {day}) ELSE 0.0 END")
+            feats.append(f"CASE WHEN c.use_{name} THEN cos({w} * {day}) ELSE 0.0 END")
+    for _, _, days in spec.events:
+        lst = ", ".join(f"DATE '{d.isoformat()}'" for d in days)
+        feats.append(f"CASE WHEN CAST(h.ds AS DATE) IN ({lst}) THEN 1.0 ELSE 0.0 END")
+    flags = ", ".join(f"span_h / 24.0 >= {m!r} AS use_{n}" for n, _, _, _, m in spec.seasonal_blocks)
+    return f"""
+    WITH c AS (
+        SELECT {K3}, t0, hist_size, greatest(least(25, hist_size - 1), 0) AS ncp, span_h, {flags}
+        FROM (SELECT {K3}, min(ds) AS t0, CAST(floor(count(*) * 0.8) AS INTEGER) AS hist_size,
+                     greatest((epoch(max(ds)) - epoch(min(ds))) / 3600.0, 1.0) AS span_h
+              FROM history GROUP BY {K3})),
+    f AS (
+        SELECT h.station, h.product, h.tank, h.ds, [{", ".join(feats)}] AS x
+        FROM history h JOIN c ON {O.keys_eq('h', 'c')})
+    SELECT {K3}, ds, CAST(unnest(range(0, {len(feats)})) AS INTEGER) AS feature,
+           round(unnest(x), 6) + 0.0 AS value
+    FROM f"""
+
+
 @register("model_features", None)
 def _features(spark, sf):
-    p, md, spec = _model_parts(spark, sf)
-    train = md.model_training_frame(p.history)
-    return md.model_features(train, md.series_scaling(train, spec), spec).select(
-        "station", "product", "tank", "ds", "y", "x")
+    p, md_, spec = _model_parts(spark, sf)
+    train = md_.model_training_frame(p.history)
+    f = md_.model_features(train, md_.series_scaling(train, spec), spec)
+    return rounded(f.select("station", "product", "tank", "ds", F.posexplode("x").alias("feature", "value")))
 
 
 @register("model_fit", None)
@@ -459,7 +492,7 @@ def _p8(spark, sf):
                                                     "total_rows"))
 
 
-_HEADERS = __import__("tankflow.sources.schema", fromlist=["HOURLY_HEADERS"]).HOURLY_HEADERS
+_HEADERS = HOURLY_HEADERS
 
 
 @register("rename_positional", O.sql(
@@ -537,6 +570,13 @@ def _j8(spark, sf):
     return rounded(fc.hybrid_forecast(p.baseline, p.cfg, standin))
 
 
+# the feature oracle needs the history CTEs ahead of its own WITH clause
+_hist = O.sql("SELECT 1", "history")
+REGISTRY["model_features"] = (REGISTRY["model_features"][0],
+                              _hist[:_hist.rindex("SELECT 1")].rstrip() + ",\n" +
+                              _features_sql().strip()[len("WITH "):])
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
