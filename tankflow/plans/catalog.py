@@ -484,12 +484,10 @@ def _a10(spark, sf):
     ORDER BY station, product, tank, r_day, r_hour LIMIT 5""", "orders"))
 def _p8(spark, sf):
     o = Pipeline(spark, sf).orders
-    n = o.agg(F.count(F.lit(1)).alias("total_rows"))
+    total = o.agg(F.count(F.lit(1))).scalar()          # scalar subquery, no join
     top = o.orderBy("station", "product", "tank", "r_day", "r_hour").limit(5)
-    return rounded(top.join(n, how="cross").select("station", "product", "tank",
-                                                    F.col("r_day").cast("timestamp_ntz").alias("r_day"),
-                                                    "r_hour", "volume",
-                                                    "total_rows"))
+    return rounded(top.select("station", "product", "tank", F.col("r_day").cast("timestamp_ntz").alias("r_day"),
+                              "r_hour", "volume", total.alias("total_rows")))
 
 
 _HEADERS = HOURLY_HEADERS
