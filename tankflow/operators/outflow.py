@@ -125,38 +125,55 @@ def _readings(gauges: DataFrame, *, year: int, months: Iterable[int], start: dt.
 
 
 def minute_summary(readings: DataFrame) -> DataFrame:
-    """Per series-minute: last reading's volume (W1 inputs) and bounds presence.
+    """Per series-minute: last reading (W1 input) and bounds presence.
 
-    Output: key, minute_ts, has_cte, has_bounds, last_vol.
+    Output: key, minute_ts, has_cte, has_bounds, last (struct<volume>, null
+    when the minute has no reading inside the month filter).
     """
     order = F.when(F.col("in_cte"), F.struct("ts", "reading_id"))
     return (readings.groupBy(*K, "minute_ts")
             .agg(F.max(F.col("in_cte").cast("int")).alias("has_cte"),
                  F.max(F.col("in_bounds").cast("int")).alias("has_bounds"),
-                 F.max_by("volume", order).alias("last_vol")))
+                 F.max_by(F.struct("volume"), order).alias("last")))
 
 
-def hour_minute_bounds(minutes: DataFrame) -> DataFrame:
-    """A2 (MaxMinutes): first and last minute of each hour with a reading in bounds.
+def boundary_minutes(minutes: DataFrame) -> DataFrame:
+    """A2 + W1 at minute grain in one shuffle (partitioned by series; both
+    windows below are satisfied by it).
 
-    Output: key, hour_ts, max_minute, min_minute.
+    For each hour: first and last minute with a reading inside the date
+    bounds (MaxMinutes); for each minute: the volume of the last reading
+    before it (LAG across minutes). Keeps the boundary minutes only.
+    Output: key, hour_ts, minute_ts, mi, is_mx, is_mn, prev_vol.
     """
+    hour_ts = tf.truncate_hour("minute_ts")
+    mi = F.minute("minute_ts")
+    m = minutes.withColumns({"hour_ts": hour_ts, "mi": mi})
+    in_b = F.col("has_bounds") == 1
+    hw = Window.partitionBy(*K, "hour_ts")
+    before = (Window.partitionBy(*K).orderBy("minute_ts")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    m = m.select(*K, "hour_ts", "minute_ts", "mi", "has_cte",
+                 F.max(F.when(in_b, F.col("mi"))).over(hw).alias("max_minute"),
+                 F.min(F.when(in_b, F.col("mi"))).over(hw).alias("min_minute"),
+                 F.last("last", ignorenulls=True).over(before).alias("prev"))
+    m = m.filter((F.col("has_cte") == 1) &
+                 ((F.col("mi") == F.col("max_minute")) | (F.col("mi") == F.col("min_minute"))))
+    return m.select(*K, "hour_ts", "minute_ts", "mi",
+                    (F.col("mi") == F.col("max_minute")).alias("is_mx"),
+                    (F.col("mi") == F.col("min_minute")).alias("is_mn"),
+                    F.col("prev.volume").alias("prev_vol"))
+
+
+def hour_minute_bounds(minutes: DataFrame) -> DataFrame:
+    """A2 (MaxMinutes) on its own: first and last minute of each hour with a
+    reading in bounds. Output: key, hour_ts, max_minute, min_minute."""
     b = minutes.filter(F.col("has_bounds") == 1)
     return (b.groupBy(*K, tf.truncate_hour("minute_ts").alias("hour_ts"))
             .agg(F.max(F.minute("minute_ts")).alias("max_minute"),
                  F.min(F.minute("minute_ts")).alias("min_minute")))
 
 
-def previous_volume(minutes: DataFrame) -> DataFrame:
-    """W1 at minute grain: volume of the last reading before each minute.
-
-    Output: key, minute_ts, prev_vol (null before the first reading).
-    """
-    m = minutes.filter(F.col("has_cte") == 1)
-    w = Window.partitionBy(*K).orderBy("minute_ts")
-    return m.select(*K, "minute_ts", F.lag("last_vol", 1).over(w).alias("prev_vol"))
-
-
 def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], start: dt.date,
                     end: dt.date, stations: Sequence[str] | None = None,
                     series: DataFrame | None = None) -> DataFrame:
@@ -166,24 +183,23 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
     """
     rd = _readings(gauges, year=year, months=months, start=start, end=end,
                    stations=stations, series=series)
-    minutes = minute_summary(rd)
-    bounds = hour_minute_bounds(minutes)
-    edge = bounds.select(*K, "hour_ts", "max_minute", "min_minute",
-                         F.explode(F.array_distinct(F.array("max_minute", "min_minute"))).alias("mi"))
-    edge = edge.select(*K, "hour_ts", (F.col("mi") == F.col("max_minute")).alias("is_mx"),
-                       (F.col("mi") == F.col("min_minute")).alias("is_mn"),
-                       F.col("mi"),
-                       tf.add_minutes("hour_ts", F.col("mi")).alias("minute_ts"))
-    edge = edge.join(previous_volume(minutes), K + ["minute_ts"], "left")
+    edge = boundary_minutes(minute_summary(rd))
     rows = rd.filter(F.col("in_cte")).select(*K, "minute_ts", "ts", "reading_id", "volume")
     cand = rows.join(edge, K + ["minute_ts"], "inner")
-    w = Window.partitionBy(*K, "minute_ts").orderBy("ts", "reading_id")
+    # LEAD/LAG within the minute, computed over the (series, hour) partition:
+    # an hour holds at most its two boundary minutes, and the neighbour is
+    # "in the same minute" when its minute matches. Partitioning by (series,
+    # hour) lets the pair window, its aggregate and the POS join reuse this
+    # one exchange.
+    w = Window.partitionBy(*K, "hour_ts").orderBy("ts", "reading_id")
+    nxt_same = F.lead("minute_ts", 1).over(w) == F.col("minute_ts")
+    prv_same = F.lag("minute_ts", 1).over(w) == F.col("minute_ts")
     cand = cand.select(
         *K, "hour_ts", "is_mx", "is_mn", "mi", "volume", "prev_vol",
         F.lead("volume", 1).over(w).alias("next_in_min"),
         F.lag("volume", 1).over(w).alias("prev_in_min"),
-        (F.lead("reading_id", 1).over(w).isNotNull()).alias("has_next"),
-        (F.lag("reading_id", 1).over(w).isNotNull()).alias("has_prev"),
+        F.coalesce(nxt_same, F.lit(False)).alias("has_next"),
+        F.coalesce(prv_same, F.lit(False)).alias("has_prev"),
     )
     early = F.col("mi") < 30  # (60 - minute) > minute
     max_value = F.when(F.col("has_next") & early, F.col("next_in_min")).otherwise(F.col("volume"))
