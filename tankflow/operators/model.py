@@ -23,7 +23,7 @@ training rows emits per-series partial sums (X'X, X'y, y'y, n) in
 ``mapInArrow``; a group-by combines the partials and solves the small K x K
 system per series in ``applyInPandas`` (one group = one series' partial
 sums, never its rows). Prediction is a join with the coefficients and a
-dot product in ``aggregate(zip_with(...))``, again JVM-side.
+weighted sum of the feature expressions, inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -139,9 +139,9 @@ def _hours_since(ds: Column, t0: Column) -> Column:
     return (F.unix_seconds(ds.cast("timestamp")) - F.unix_seconds(t0.cast("timestamp"))) / 3600.0
 
 
-def model_features(frame: DataFrame, scaling: DataFrame, spec: ModelSpec) -> DataFrame:
-    """M2: attach the feature vector ``x`` (array<double>, layout = spec.feature_names())."""
-    f = frame.join(scaling, K)
+def feature_columns(spec: ModelSpec) -> list[Column]:
+    """The feature expressions (layout = spec.feature_names()) over a frame
+    that carries ``ds`` and the per-series scaling columns."""
     t = _hours_since(F.col("ds"), F.col("t0")) / F.col("span_h")
     feats = [F.lit(1.0) * t, F.lit(1.0)]
     # changepoint j sits at history row round(j * (hist_size - 1) / ncp); hours = row index
@@ -158,7 +158,12 @@ def model_features(frame: DataFrame, scaling: DataFrame, spec: ModelSpec) -> Dat
     d = F.to_date("ds")
     for _, _, days in spec.events:
         feats.append(F.when(d.isin(*[F.lit(x) for x in days]), F.lit(1.0)).otherwise(F.lit(0.0)))
-    return f.withColumn("x", F.array(*[c.cast("double") for c in feats]))
+    return [c.cast("double") for c in feats]
+
+
+def model_features(frame: DataFrame, scaling: DataFrame, spec: ModelSpec) -> DataFrame:
+    """M2: attach the feature vector ``x`` (array<double>, layout = spec.feature_names())."""
+    return frame.join(scaling, K).withColumn("x", F.array(*feature_columns(spec)))
 
 
 # ---------------------------------------------------------------- M4 fit
@@ -302,18 +307,27 @@ def dot(x: Column, beta: Column) -> Column:
     return F.aggregate(F.zip_with(x, beta, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _weighted_sum(cols: list[Column], beta: Column, offset: int = 0) -> Column:
+    """sum_j cols[j] * beta[offset + j]: plain arithmetic, kept in codegen."""
+    acc = None
+    for j, c in enumerate(cols):
+        term = c * F.element_at(beta, offset + j + 1)
+        acc = term if acc is None else acc + term
+    return acc if acc is not None else F.lit(0.0)
+
+
 def predict_model(coefs: DataFrame, scaling: DataFrame, frame: DataFrame,
                   spec: ModelSpec = ModelSpec()) -> DataFrame:
     """M6: yhat for every (key, ds) of ``frame``. Output: key, ds, yhat."""
-    f = model_features(frame.select(*K, "ds"), scaling, spec)
-    j = f.join(coefs.select(*K, "beta"), K)
+    j = frame.select(*K, "ds").join(scaling, K).join(coefs.select(*K, "beta"), K)
+    cols = feature_columns(spec)
+    beta = F.col("beta")
     if spec.mode == "multiplicative":
-        k = len(spec.feature_names())
-        g = dot(F.slice("x", 1, N_TREND), F.slice("beta", 1, N_TREND))
-        s = dot(F.slice("x", N_TREND + 1, k - N_TREND), F.slice("beta", N_TREND + 1, k - N_TREND))
+        g = _weighted_sum(cols[:N_TREND], beta)
+        s = _weighted_sum(cols[N_TREND:], beta, N_TREND)
         yhat = g * (F.lit(1.0) + s)
     else:
-        yhat = dot(F.col("x"), F.col("beta"))
+        yhat = _weighted_sum(cols, beta)
     return j.select(*K, "ds", (yhat * F.col("y_scale")).alias("yhat"))
 
 

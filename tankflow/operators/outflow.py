@@ -125,26 +125,28 @@ def _readings(gauges: DataFrame, *, year: int, months: Iterable[int], start: dt.
 
 
 def minute_summary(readings: DataFrame) -> DataFrame:
-    """Per series-minute: last reading (W1 input) and bounds presence.
+    """Per series-minute: bounds presence and the time of the last reading
+    inside the month filter. Primitive aggregation buffers only, so this is
+    a hash aggregate with map-side partial aggregation.
 
-    Output: key, minute_ts, has_cte, has_bounds, last (struct<volume>, null
-    when the minute has no reading inside the month filter).
+    Output: key, minute_ts, has_cte, has_bounds, last_ts (null when the
+    minute has no reading inside the month filter).
     """
-    order = F.when(F.col("in_cte"), F.struct("ts", "reading_id"))
     return (readings.groupBy(*K, "minute_ts")
             .agg(F.max(F.col("in_cte").cast("int")).alias("has_cte"),
                  F.max(F.col("in_bounds").cast("int")).alias("has_bounds"),
-                 F.max_by(F.struct("volume"), order).alias("last")))
+                 F.max(F.when(F.col("in_cte"), F.col("ts"))).alias("last_ts")))
 
 
 def boundary_minutes(minutes: DataFrame) -> DataFrame:
-    """A2 + W1 at minute grain in one shuffle (partitioned by series; both
-    windows below are satisfied by it).
+    """A2 + the minute-level half of W1, in one shuffle (partitioned by
+    series; both windows below are satisfied by it).
 
     For each hour: first and last minute with a reading inside the date
-    bounds (MaxMinutes); for each minute: the volume of the last reading
-    before it (LAG across minutes). Keeps the boundary minutes only.
-    Output: key, hour_ts, minute_ts, mi, is_mx, is_mn, prev_vol.
+    bounds (MaxMinutes). For each boundary minute: the previous minute with a
+    reading and that minute's last reading time, where the previous reading's
+    volume will be looked up.
+    Output: key, hour_ts, minute_ts, mi, is_mx, is_mn, prev_minute_ts, prev_ts.
     """
     hour_ts = tf.truncate_hour("minute_ts")
     mi = F.minute("minute_ts")
@@ -153,16 +155,17 @@ def boundary_minutes(minutes: DataFrame) -> DataFrame:
     hw = Window.partitionBy(*K, "hour_ts")
     before = (Window.partitionBy(*K).orderBy("minute_ts")
               .rowsBetween(Window.unboundedPreceding, -1))
+    last_minute = F.when(F.col("has_cte") == 1, F.struct(F.col("minute_ts").alias("m"), F.col("last_ts").alias("t")))
     m = m.select(*K, "hour_ts", "minute_ts", "mi", "has_cte",
                  F.max(F.when(in_b, F.col("mi"))).over(hw).alias("max_minute"),
                  F.min(F.when(in_b, F.col("mi"))).over(hw).alias("min_minute"),
-                 F.last("last", ignorenulls=True).over(before).alias("prev"))
+                 F.last(last_minute, ignorenulls=True).over(before).alias("prev"))
     m = m.filter((F.col("has_cte") == 1) &
                  ((F.col("mi") == F.col("max_minute")) | (F.col("mi") == F.col("min_minute"))))
     return m.select(*K, "hour_ts", "minute_ts", "mi",
                     (F.col("mi") == F.col("max_minute")).alias("is_mx"),
                     (F.col("mi") == F.col("min_minute")).alias("is_mn"),
-                    F.col("prev.volume").alias("prev_vol"))
+                    F.col("prev.m").alias("prev_minute_ts"), F.col("prev.t").alias("prev_ts"))
 
 
 def hour_minute_bounds(minutes: DataFrame) -> DataFrame:
@@ -184,23 +187,35 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
     rd = _readings(gauges, year=year, months=months, start=start, end=end,
                    stations=stations, series=series)
     edge = boundary_minutes(minute_summary(rd))
+    # minutes whose readings are needed: the boundary minutes themselves, and
+    # for each first minute the previous minute with a reading (tagged with
+    # the hour it serves). One join of the readings against this small set.
+    no_ts = F.lit(None).cast("timestamp_ntz")
+    need_edge = edge.select(*K, "minute_ts", "hour_ts", "mi", "is_mx", "is_mn",
+                            F.lit(False).alias("is_p"), no_ts.alias("prev_ts"))
+    need_prev = edge.filter(F.col("is_mn") & F.col("prev_minute_ts").isNotNull()).select(
+        *K, F.col("prev_minute_ts").alias("minute_ts"), "hour_ts", "mi",
+        F.lit(False).alias("is_mx"), F.lit(False).alias("is_mn"), F.lit(True).alias("is_p"), "prev_ts")
     rows = rd.filter(F.col("in_cte")).select(*K, "minute_ts", "ts", "reading_id", "volume")
-    cand = rows.join(edge, K + ["minute_ts"], "inner")
-    # LEAD/LAG within the minute, computed over the (series, hour) partition:
-    # an hour holds at most its two boundary minutes, and the neighbour is
-    # "in the same minute" when its minute matches. Partitioning by (series,
-    # hour) lets the pair window, its aggregate and the POS join reuse this
-    # one exchange.
-    w = Window.partitionBy(*K, "hour_ts").orderBy("ts", "reading_id")
+    cand = rows.join(need_edge.unionByName(need_prev), K + ["minute_ts"], "inner")
+    # Everything below is partitioned by (series, hour), so the pair window,
+    # its aggregate and the POS join reuse one exchange. The previous volume is
+    # the last reading of the tagged previous minute (highest reading_id on a
+    # tie in ts). LEAD/LAG within the minute run over the boundary rows of the
+    # hour: the neighbour is "in the same minute" when its minute matches.
+    pw = Window.partitionBy(*K, "hour_ts")
+    at_prev = F.col("is_p") & (F.col("ts") == F.col("prev_ts"))
+    w = Window.partitionBy(*K, "hour_ts", "is_p").orderBy("ts", "reading_id")
     nxt_same = F.lead("minute_ts", 1).over(w) == F.col("minute_ts")
     prv_same = F.lag("minute_ts", 1).over(w) == F.col("minute_ts")
     cand = cand.select(
-        *K, "hour_ts", "is_mx", "is_mn", "mi", "volume", "prev_vol",
+        *K, "hour_ts", "is_p", "is_mx", "is_mn", "mi", "volume",
+        F.max_by("volume", F.when(at_prev, F.col("reading_id"))).over(pw).alias("prev_vol"),
         F.lead("volume", 1).over(w).alias("next_in_min"),
         F.lag("volume", 1).over(w).alias("prev_in_min"),
         F.coalesce(nxt_same, F.lit(False)).alias("has_next"),
         F.coalesce(prv_same, F.lit(False)).alias("has_prev"),
-    )
+    ).filter(~F.col("is_p"))
     early = F.col("mi") < 30  # (60 - minute) > minute
     max_value = F.when(F.col("has_next") & early, F.col("next_in_min")).otherwise(F.col("volume"))
     min_value = F.when(F.col("has_prev") & early, F.col("volume")).otherwise(
