@@ -38,15 +38,14 @@ def segmented_lead_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     cols["_is_first"] = F.row_number().over(w) == 1
     cols["_is_last"] = F.row_number().over(w.orderBy(*[F.col(c).desc() for c in order])) == 1
     d = d.withColumns(cols)
-    # per-segment first and last values, taken from the (at most two) edge
-    # rows the window already marked, so the aggregate runs on those rows only
-    first_vals = F.struct(*[F.col(v).alias(v) for v in values])
-    edges = (d.filter(F.col("_is_first") | F.col("_is_last"))
-             .groupBy(*keys, seg)
-             .agg(F.max(F.when(F.col("_is_first"), first_vals)).alias("_f"),
-                  F.max(F.when(F.col("_is_last"), first_vals)).alias("_l")))
-    edges = edges.select(*keys, seg, *[F.col(f"_f.{v}").alias(f"_first_{v}") for v in values],
-                         *[F.col(f"_l.{v}").alias(f"_last_{v}") for v in values])
+    # per-segment first and last values: full-frame windows over the same
+    # sorted partition, one row kept per segment (no aggregation needed)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.withColumns({**{f"_sf_{v}": F.first(v).over(whole) for v in values},
+                       **{f"_sl_{v}": F.last(v).over(whole) for v in values}})
+    edges = d.filter(F.col("_is_first")).select(
+        *keys, seg, *[F.col(f"_sf_{v}").alias(f"_first_{v}") for v in values],
+        *[F.col(f"_sl_{v}").alias(f"_last_{v}") for v in values])
     sw = Window.partitionBy(*keys).orderBy(seg)
     edges = edges.select(*keys, seg,
                          *[F.lag(f"_last_{v}", 1).over(sw).alias(f"_pseg_{v}") for v in values],

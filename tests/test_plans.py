@@ -1,6 +1,6 @@
 """Plan guards for every registered query: no Cartesian products or
-nested-loop joins, Python only in the model's fit/predict steps, and the
-month filter reaching the readings scan."""
+nested-loop joins, no sort-based aggregation, Python only in the model's
+fit/predict steps, and the month filter reaching the readings scan."""
 
 import os
 
@@ -24,6 +24,7 @@ def test_plan_shape(spark, name):
     plan = _plan(Q[name](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    assert "SortAggregate" not in plan          # every aggregate keeps hash-able buffers
     if name not in PYTHON_OK:
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroupsInPandas"):
             assert node not in plan, node
