@@ -23,7 +23,7 @@ training rows emits per-series partial sums (X'X, X'y, y'y, n) in
 ``mapInArrow``; a group-by combines the partials and solves the small K x K
 system per series in ``applyInPandas`` (one group = one series' partial
 sums, never its rows). Prediction is a join with the coefficients and a
-weighted sum of the feature expressions, inside whole-stage codegen.
+dot product in ``aggregate(zip_with(...))``, JVM-side.
 """
 
 from __future__ import annotations
@@ -307,27 +307,18 @@ def dot(x: Column, beta: Column) -> Column:
     return F.aggregate(F.zip_with(x, beta, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _weighted_sum(cols: list[Column], beta: Column, offset: int = 0) -> Column:
-    """sum_j cols[j] * beta[offset + j]: plain arithmetic, kept in codegen."""
-    acc = None
-    for j, c in enumerate(cols):
-        term = c * F.element_at(beta, offset + j + 1)
-        acc = term if acc is None else acc + term
-    return acc if acc is not None else F.lit(0.0)
-
-
 def predict_model(coefs: DataFrame, scaling: DataFrame, frame: DataFrame,
                   spec: ModelSpec = ModelSpec()) -> DataFrame:
     """M6: yhat for every (key, ds) of ``frame``. Output: key, ds, yhat."""
-    j = frame.select(*K, "ds").join(scaling, K).join(coefs.select(*K, "beta"), K)
-    cols = feature_columns(spec)
-    beta = F.col("beta")
+    f = model_features(frame.select(*K, "ds"), scaling, spec)
+    j = f.join(coefs.select(*K, "beta"), K)
     if spec.mode == "multiplicative":
-        g = _weighted_sum(cols[:N_TREND], beta)
-        s = _weighted_sum(cols[N_TREND:], beta, N_TREND)
+        k = len(spec.feature_names())
+        g = dot(F.slice("x", 1, N_TREND), F.slice("beta", 1, N_TREND))
+        s = dot(F.slice("x", N_TREND + 1, k - N_TREND), F.slice("beta", N_TREND + 1, k - N_TREND))
         yhat = g * (F.lit(1.0) + s)
     else:
-        yhat = _weighted_sum(cols, beta)
+        yhat = dot(F.col("x"), F.col("beta"))
     return j.select(*K, "ds", (yhat * F.col("y_scale")).alias("yhat"))
 
 
