@@ -191,13 +191,17 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
     # for each first minute the previous minute with a reading (tagged with
     # the hour it serves). One join of the readings against this small set.
     no_ts = F.lit(None).cast("timestamp_ntz")
-    need_edge = edge.select(*K, "minute_ts", "hour_ts", "mi", "is_mx", "is_mn",
-                            F.lit(False).alias("is_p"), no_ts.alias("prev_ts"))
-    need_prev = edge.filter(F.col("is_mn") & F.col("prev_minute_ts").isNotNull()).select(
-        *K, F.col("prev_minute_ts").alias("minute_ts"), "hour_ts", "mi",
-        F.lit(False).alias("is_mx"), F.lit(False).alias("is_mn"), F.lit(True).alias("is_p"), "prev_ts")
+    roles = F.filter(F.array(
+        F.struct(F.col("minute_ts").alias("m"), F.lit(False).alias("is_p"), F.col("is_mx").alias("is_mx"),
+                 F.col("is_mn").alias("is_mn"), no_ts.alias("prev_ts")),
+        F.when(F.col("is_mn") & F.col("prev_minute_ts").isNotNull(),
+               F.struct(F.col("prev_minute_ts").alias("m"), F.lit(True).alias("is_p"), F.lit(False).alias("is_mx"),
+                        F.lit(False).alias("is_mn"), F.col("prev_ts").alias("prev_ts")))),
+        lambda x: x.isNotNull())
+    need = edge.select(*K, "hour_ts", "mi", F.explode(roles).alias("r")).select(
+        *K, "hour_ts", "mi", F.col("r.m").alias("minute_ts"), "r.is_p", "r.is_mx", "r.is_mn", "r.prev_ts")
     rows = rd.filter(F.col("in_cte")).select(*K, "minute_ts", "ts", "reading_id", "volume")
-    cand = rows.join(need_edge.unionByName(need_prev), K + ["minute_ts"], "inner")
+    cand = rows.join(need, K + ["minute_ts"], "inner")
     # Everything below is partitioned by (series, hour), so the pair window,
     # its aggregate and the POS join reuse one exchange. The previous volume is
     # the last reading of the tagged previous minute (highest reading_id on a
