@@ -64,7 +64,7 @@ def test_segmented_lead_lag_equals_window(spark):
 
 
 def test_csv_roundtrip_and_empty(spark, tmp_path):
-    rows = [("F111", 3300000010, 4, "16.09.2024", 17, 628.32), ("F111", 3300000010, 4, "16.09.2024", 18, None)]
+    rows = [("A100", 3300000010, 4, "16.09.2024", 17, 628.32), ("A100", 3300000010, 4, "16.09.2024", 18, None)]
     df = spark.createDataFrame(rows, S.HOURLY)
     p = str(tmp_path / "extract")
     rd.write_extract_csv(df, p)
@@ -79,32 +79,32 @@ def test_csv_roundtrip_and_empty(spark, tmp_path):
 
 
 def test_comparison_sink(spark, tmp_path):
-    rows = [("F111", 3300000010, 4, dt.datetime(2024, 9, 16, 17), 628.32, None, None)]
+    rows = [("A100", 3300000010, 4, dt.datetime(2024, 9, 16, 17), 628.32, None, None)]
     df = spark.createDataFrame(rows, "station string, product long, tank int, ds timestamp_ntz, yhat double, "
                                      "quantity double, accuracy double")
     p = str(tmp_path / "cmp")
     rd.write_comparison(df, p)
     back = rd.read_comparison(spark, p).collect()
-    assert len(back) == 1 and back[0].yhat == 628.32 and back[0].station == "F111"
+    assert len(back) == 1 and back[0].yhat == 628.32 and back[0].station == "A100"
 
 
 def test_jdbc_orders_with_pushdown(spark):
     """S2/S3 over an embedded in-memory database (no server, no port)."""
     url = "jdbc:derby:memory:tankflow_test;create=true"
     src = spark.createDataFrame(
-        [("Z313", dt.date(2024, 9, 1), 24, 3300000002, 2, 12.5), ("Z313", dt.date(2024, 9, 2), 5, 3300000002, 2, None),
-         ("Z313", dt.date(2024, 9, 2), 6, 3300000005, 2, 3.0), ("X1", dt.date(2024, 9, 2), 6, 3300000002, 2, 1.0)],
+        [("B200", dt.date(2024, 9, 1), 24, 3300000002, 2, 12.5), ("B200", dt.date(2024, 9, 2), 5, 3300000002, 2, None),
+         ("B200", dt.date(2024, 9, 2), 6, 3300000005, 2, 3.0), ("X1", dt.date(2024, 9, 2), 6, 3300000002, 2, 1.0)],
         "OBJECTCODE string, R_DAY date, R_HOUR int, GASNUM long, TANK int, VOLUME double")
-    src.write.format("jdbc").option("url", url).option("dbtable", "AVTO").option(
+    src.write.format("jdbc").option("url", url).option("dbtable", "HOURLY_ORDERS").option(
         "createTableColumnTypes", "OBJECTCODE VARCHAR(16)").option(
         "driver", "org.apache.derby.jdbc.EmbeddedDriver").mode("overwrite").save()
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    o = rd.read_orders(spark, url, "AVTO", station="Z313", product=3300000002, tank=2, properties=props)
+    o = rd.read_orders(spark, url, "HOURLY_ORDERS", station="B200", product=3300000002, tank=2, properties=props)
     plan = o._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan and "EqualTo(OBJECTCODE,Z313)" in plan
+    assert "PushedFilters" in plan and "EqualTo(OBJECTCODE,B200)" in plan
     got = sorted((r.r_day, r.r_hour, r.volume) for r in o.collect())
     assert got == [(dt.date(2024, 9, 1), 24, 12.5), (dt.date(2024, 9, 2), 5, None)]
-    q = rd.read_jdbc(spark, url, "SELECT COUNT(*) AS N FROM AVTO", properties=props).first()
+    q = rd.read_jdbc(spark, url, "SELECT COUNT(*) AS N FROM HOURLY_ORDERS", properties=props).first()
     assert q.N == 4
 
 
