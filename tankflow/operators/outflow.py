@@ -24,12 +24,14 @@ boundary values with running counts and sums, so the work is
 O(n log n) in the boundary-minute readings, not O(n^2).
 
 Scale: readings are the large input. They are scanned twice: once for the
-per-minute aggregate (partial aggregation, so the shuffle carries one row per
-series-minute) and once for the boundary-minute rows, a join against the small
-set of boundary minutes (AQE broadcasts it when its runtime size allows, and
-the runtime bloom filter prunes the scan side otherwise). Every window after
-that runs over per-minute or boundary-minute rows, partitioned by series and
-hour or minute, so a hot tank is spread over its hours.
+per-minute hash aggregate (primitive buffers, map-side partial aggregation,
+so the shuffle carries one row per series-minute), and once for the rows of
+the boundary minutes and of each first minute's previous minute. That second
+scan is a join against the small set of needed minutes: AQE broadcasts it when
+its runtime size allows, else it is a shuffle join. After that, the
+minute-level windows run per series over minute rows, and one exchange on
+(series, hour) serves every hour-level window, the pair aggregate and the
+join with the POS side. A hot tank is spread over its minutes and hours.
 """
 
 from __future__ import annotations
