@@ -189,3 +189,31 @@ def test_pushdown_of_month_filter(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), Or(" in plan or "GreaterThanOrEqual(ts" in plan
     assert df.count() == 4
+
+
+def test_many_tied_readings_in_boundary_minutes(spark):
+    """A hot tank: 40 readings in each boundary minute (1600 pairs per hour),
+    with exact timestamp ties, against the row-by-row pairs."""
+    rnd = random.Random(11)
+    g, rid = [], 0
+    for h in range(6):
+        base = dt.datetime(2024, 1, 7, 3 + h)
+        for m in (2 + h, 31 + h):          # one minute < 30, one >= 30 in each hour
+            for i in range(40):
+                rid += 1
+                ts = base + dt.timedelta(minutes=m, seconds=i // 3)   # triples share a timestamp
+                g.append(("H", 7, 1, ts, round(rnd.uniform(0, 500), 2), rid))
+    r = [(1000 + h, "H", 1, dt.datetime(2024, 1, 7), dt.datetime(2024, 1, 7, 3 + h, 10)) for h in range(6)]
+    it = [(1000 + h, 7, 1, 0, 1.0, 5.0 + h) for h in range(6)]
+    z = [("H", 1, dt.datetime(2024, 1, 7))]
+    expect = brute_force(g, r, z, it)
+    out = of.hourly_tank_outflow(
+        spark.createDataFrame(r, S.RECEIPTS), spark.createDataFrame(z, S.SHIFTS),
+        spark.createDataFrame(it, S.ITEMS), spark.createDataFrame(g, S.GAUGES),
+        year=2024, months=[1], start=START, end=END).collect()
+    got = {("H", 7, 1, dt.datetime.strptime(o.date, "%d.%m.%Y") + dt.timedelta(hours=o.hour)): (o.quantity, o.pairs)
+           for o in out}
+    assert set(got) == set(expect) and len(got) == 6
+    for k, (q, p) in expect.items():
+        assert got[k][1] == p == 1600
+        assert got[k][0] == pytest.approx(q, rel=1e-9, abs=1e-6)
