@@ -35,26 +35,58 @@ def last_level(level: DataFrame) -> DataFrame:
             .agg(F.max("ds").alias("last_ds"), F.max_by("level", "ds").alias("last_level")))
 
 
+WEEK = 168  # hours; the (weekday, hour) baseline repeats with this period
+
+
 def extend_to_dead_stock(level: DataFrame, baseline: DataFrame, cfg: DataFrame,
                          max_steps: int = MAX_STEPS) -> DataFrame:
     """Extension rows (key, ds, yhat, level) appended after the horizon.
 
     Row k exists iff the horizon's last level is above dead stock and every
     extension level before k is still above it; k <= ``max_steps``.
+
+    Step k consumes the baseline of its (weekday, hour), which repeats every
+    168 hours. With s_r the running sum over the first week (r = 1..168) and
+    P the weekly total, step k = 168 q + r has level L0 - (q P + s_r). So the
+    first crossing is found from one week of prefix sums: for each r the
+    smallest q with L0 - (q P + s_r) <= dead stock. Only the steps up to that
+    crossing (or the cap) are generated.
     """
+    cap = int(max_steps)
     last = last_level(level).join(cfg.select(*K, "dead_stock"), K)
     last = last.filter(F.col("last_level") > F.col("dead_stock"))
-    steps = last.select(*K, "last_ds", "last_level", "dead_stock",
-                        F.explode(F.sequence(F.lit(1), F.lit(int(max_steps)))).alias("k"))
-    steps = steps.withColumn("ds", tf.add_hours("last_ds", F.col("k")))
-    steps = steps.withColumns({"weekday": tf.weekday("ds"), "hour": tf.hour_of("ds")})
-    steps = lookup_baseline(steps, baseline)
-    run = Window.partitionBy(*K).orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = steps.withColumn("level", F.col("last_level") - F.sum("baseline").over(run))
-    first = F.min(F.when(F.col("level") <= F.col("dead_stock"), F.col("k"))).over(Window.partitionBy(*K))
-    steps = steps.withColumn("stop_k", F.coalesce(first, F.lit(int(max_steps))))
-    return (steps.filter(F.col("k") <= F.col("stop_k"))
-            .select(*K, "ds", F.col("baseline").alias("yhat"), "level"))
+    week = last.select(*K, "last_ds", "last_level", "dead_stock",
+                       F.explode(F.sequence(F.lit(1), F.lit(WEEK))).alias("r"))
+    week = week.withColumn("ds", tf.add_hours("last_ds", F.col("r")))
+    week = week.withColumns({"weekday": tf.weekday("ds"), "hour": tf.hour_of("ds")})
+    week = lookup_baseline(week, baseline)
+    run = Window.partitionBy(*K).orderBy("r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    week = week.withColumns({"s_r": F.sum("baseline").over(run),
+                             "p": F.sum("baseline").over(Window.partitionBy(*K))})
+
+    def crosses(q):
+        return (F.col("last_level") - (q * F.col("p") + F.col("s_r"))) <= F.col("dead_stock")
+
+    need = F.col("last_level") - F.col("dead_stock")
+    est = F.when(crosses(F.lit(0.0)), F.lit(0)).when(
+        F.col("p") > 0, F.ceil((need - F.col("s_r")) / F.col("p")).cast("bigint"))
+    # guard the float estimate: step back or forward by one week when needed
+    q = (F.when(est.isNull(), est)
+         .when((est > 0) & crosses((est - 1).cast("double")), est - 1)
+         .when(~crosses(est.cast("double")), est + 1)
+         .otherwise(est))
+    k_cross = q * WEEK + F.col("r")
+    stop = F.least(F.coalesce(F.min(k_cross).over(Window.partitionBy(*K)), F.lit(cap)), F.lit(cap))
+    week = week.withColumn("stop_k", stop)
+    prefix = week.select(*K, "r", "s_r", "baseline")
+    steps = (week.filter(F.col("r") == 1)
+             .select(*K, "last_ds", "last_level", "p",
+                     F.explode(F.sequence(F.lit(1), F.col("stop_k").cast("int"))).alias("k")))
+    steps = steps.withColumns({"r": ((F.col("k") - 1) % WEEK) + 1,
+                               "q": ((F.col("k") - 1) / WEEK).cast("bigint")})
+    steps = steps.join(prefix, K + ["r"])
+    return steps.select(*K, tf.add_hours("last_ds", F.col("k")).alias("ds"), F.col("baseline").alias("yhat"),
+                        (F.col("last_level") - (F.col("q") * F.col("p") + F.col("s_r"))).alias("level"))
 
 
 def depletion_forecast(forecast: DataFrame, baseline: DataFrame, cfg: DataFrame,
