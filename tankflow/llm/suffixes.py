@@ -20,9 +20,10 @@ bucket one sorted array of its *distinct* keys (a passage that a third of all do
 entry for each block), and gets back one bit for each: whether another block has it too. Repeats
 inside a block are seen there. Blocks are cut from one exchange of the texts, which all steps use.
 
-Keys are 64-bit rolling hashes (of table values for bytes, mixed); the sample needs no more than 32
-bits beside the bucket, since a false repeat only costs a comparison. The final keys have all 64 bits;
-``bits`` of the second key, drawn from another table, can be added for corpora beyond some 10 TB.
+Keys are 64-bit rolling hashes (of table values for bytes, mixed). The sample needs no more than 32
+bits beside the bucket, the final keys have 56: 62 bits and more with the bucket, which grows with
+the input. Two different strings share a key with a chance of about n * n / 2 ** 63 for n open suffixes
+(0.4 % for any such pair in 0.8 GB of text); ``KEY_WIDTH`` 8 makes that less.
 
 Cases: a null text counts as empty; texts under 200 bytes lose nothing; repeated rows (and any copies)
 of 200 bytes or more lose all their bytes; no documents give no rows; extra columns are ignored.
@@ -46,6 +47,9 @@ V_BLOCK = LENGTH - V + 1
 #: Text in a block, and text whose keys go to one bucket.
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
+#: Bytes of a key that are sent beside its bucket: of a sample block (a false repeat only costs a comparison), and of
+#: a 200-byte string.
+SAMPLE_WIDTH, KEY_WIDTH = 4, 7
 #: Bytes hashed at once.
 PIECE = 1 << 19
 
@@ -160,12 +164,27 @@ def _flags(n: int, own: np.ndarray, first: np.ndarray, answers: dict[int, bytes]
     return out
 
 
-def _shared(rows: DataFrame, kind: str) -> DataFrame:
+def _pack(keys_: np.ndarray, bits: int, width: int) -> bytes:
+    """Sorted keys of one bucket: the ``width`` bytes after the bucket's bits, first bytes of all, second
+    bytes of all and so on. The first ones hardly change from key to key, and shuffles compress them away."""
+    low = (keys_ << np.uint64(bits)) >> np.uint64(64 - 8 * width)
+    return low.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:].T.tobytes()
+
+
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, 8 - width:] = planes.T
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def _shared(rows: DataFrame, width: int) -> DataFrame:
     """(t, bucket, bits): for each block's array in a bucket which of its keys another block sent too."""
     def compare(table: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(x.as_py(), kind) for x in table.column("keys")]
+        sent = [_unpack(x.as_py(), width) for x in table.column("keys")]
         every = np.sort(np.concatenate(sent))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
+        del every
         t, bits = [], []
         if len(twice):
             for block, k in zip(table.column("t").to_pylist(), sent):
@@ -188,11 +207,10 @@ def _answers(table: pa.Table, step: int) -> dict[int, bytes]:
 _SENT = pa.schema([("t", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary())])
 
 
-def _sent(t: int, distinct: np.ndarray, shift: int, kind: str) -> pa.Table:
+def _sent(t: int, distinct: np.ndarray, shift: int, width: int) -> pa.Table:
     own, first = _slices(distinct, shift)
-    low = distinct if kind == "<u8" else (distinct >> np.uint64(max(0, shift - 32))).astype(kind)
-    return pa.table([pa.array([t] * len(own), pa.int64()), pa.array(own),
-                     pa.array([low[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())], schema=_SENT)
+    parts = [_pack(distinct[i:j], 64 - shift, width) for i, j in zip(first[:-1], first[1:])]
+    return pa.table([pa.array([t] * len(own), pa.int64()), pa.array(own), pa.array(parts, pa.binary())], schema=_SENT)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
@@ -209,7 +227,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
 
     def ranks(table: pa.Table) -> pa.Table:
         block = Block(table)
-        return _sent(table.column("t")[0].as_py(), block.sample()[1], shift, "<u4")
+        return _sent(table.column("t")[0].as_py(), block.sample()[1], shift, SAMPLE_WIDTH)
 
     def state(table: pa.Table, answers: pa.Table):
         block = Block(table)
@@ -221,7 +239,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     def suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _SENT.empty_table()
-        return _sent(table.column("t")[0].as_py(), state(table, answers)[2], shift, "<u8")
+        return _sent(table.column("t")[0].as_py(), state(table, answers)[2], shift, KEY_WIDTH)
 
     def spans(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -249,9 +267,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     out_schema = to_arrow_schema(out_type)
 
     by_block = dealt.groupBy("t")
-    first = _shared(by_block.applyInArrow(ranks, "t long, bucket long, keys binary"), "<u4").withColumn("step", F.lit(1))
+    first = _shared(by_block.applyInArrow(ranks, "t long, bucket long, keys binary"), SAMPLE_WIDTH).withColumn("step", F.lit(1))
     second = _shared(by_block.cogroup(first.groupBy("t")).applyInArrow(suffixes, "t long, bucket long, keys binary"),
-                     "<u8").withColumn("step", F.lit(2))
+                     KEY_WIDTH).withColumn("step", F.lit(2))
     both = first.unionByName(second)
     return by_block.cogroup(both.groupBy("t")).applyInArrow(spans, out_type)
 
