@@ -58,6 +58,7 @@ def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     doc = np.repeat(np.arange(len(texts)), sizes)
     keep = c != _BLANK
     letters = np.bincount(doc[keep], minlength=len(texts))
+    keep[:1] = True
     keep[1:] |= (c[:-1] != _BLANK) | (doc[1:] != doc[:-1])  # of a run of blanks the first stays
     c, doc = c[keep].astype(np.uint64), doc[keep]
     with np.errstate(over="ignore"):

@@ -58,7 +58,8 @@ class Codec:
         kinds = pb.ModelProto.SentencePiece
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
         self.end = train.eos_id
-        self.text = [p.piece for p in proto.pieces]
+        self.text = [train.unk_surface if p.type == kinds.UNKNOWN else "" if p.type == kinds.CONTROL else p.piece
+                     for p in proto.pieces]
         self.byte_id = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
         piece = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
@@ -211,11 +212,9 @@ class Codec:
         """Text of ids: pieces joined, runs of byte pieces read as UTF-8 (U+FFFD for what is
         not), word marks as spaces, without the space that encoding put in front; the unknown
         id gives its surface, control ids nothing."""
-        return self._strip(self._surface([i for i in ids if i != self.end]))
-
-    @staticmethod
-    def _strip(text: str) -> str:
-        return text[1:] if text[:1] == " " else text
+        text = self._surface(ids)
+        first = next((self.text[i] for i in ids if self.text[i]), "")
+        return text[1:] if first[:1] == MARK else text
 
     def _surface(self, ids: list[int]) -> str:
         if self.byte_of.keys().isdisjoint(ids):
@@ -319,7 +318,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         end = str(c.end)
         for row in text_rows:
             line = " ".join([x[0] for x in row] + [end])
-            text = c._strip("".join([x[2] for x in row]))
+            text = "".join([x[2] for x in row])[1:]  # without the mark in front
             yield (sum([x[1] for x in row]) + 1, hashlib.sha256(line.encode()).hexdigest(),
                    hashlib.sha256(text.encode()).hexdigest())
 

@@ -236,7 +236,7 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
             tag, depth = region_tags[n, a]
             here = np.arange(j - i)
             # how far from an edge that isn't the region's own
-            d = np.minimum(here if i > a else WINDOW, (j - i - 1 - here) if j < b else WINDOW)
+            d = np.minimum(here if i > a else here * 0 + WINDOW, (j - i - 1 - here) if j < b else here * 0 + WINDOW)
             deeper = d > depth[i - a:j - a]
             tag[i - a:j - a][deeper] = t[:j - i][deeper]
             depth[i - a:j - a][deeper] = d[deeper]

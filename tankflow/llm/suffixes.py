@@ -18,7 +18,8 @@ answered, and it is answered blockwise with a difference cover:
 Documents are dealt to blocks by a hash (about ``BLOCK_BYTES`` of text each). A block sends each
 bucket one sorted array of its *distinct* keys (a passage that a third of all documents hold is one
 entry for each block), and gets back one bit for each: whether another block has it too. Repeats
-inside a block are seen there. Blocks are cut from one exchange of the texts, which all steps use.
+inside a block are seen there. Keys of whole texts go the same way in step 1: all bytes of exact copies
+are repeated, and only the first copy's suffixes are compared with those of other texts. Blocks are cut from one exchange of the texts, which all steps use.
 
 Keys are 64-bit rolling hashes (of table values for bytes, mixed). The sample needs no more than 32
 bits beside the bucket, the final keys have 56: 62 bits and more with the bucket, which grows with
@@ -37,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tankflow.llm.common import id_and_text
 
@@ -50,6 +52,8 @@ BUCKET_BYTES = 16 << 20
 #: Bytes of a key that are sent beside its bucket: of a sample block (a false repeat only costs a comparison), and of
 #: a 200-byte string.
 SAMPLE_WIDTH, KEY_WIDTH = 4, 7
+#: Added to the bucket of keys of whole texts; twice for the answer which of them another block speaks for.
+WHOLE = 1 << 40
 #: Bytes hashed at once.
 PIECE = 1 << 19
 
@@ -127,6 +131,22 @@ class Block:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
         self.data = np.frombuffer(b"".join(texts), np.uint8)
+        # the distinct keys of whole texts that are long enough, which each has, and how often each occurs
+        self.long = np.flatnonzero(self.sizes >= LENGTH)
+        whole = np.array([xxh3_64_intdigest(texts[i]) for i in self.long.tolist()], np.uint64)
+        self.whole, self.first, self.of_whole, self.often = np.unique(whole, return_index=True, return_inverse=True,
+                                                                      return_counts=True)
+
+    def copies(self, shift: int, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each document whether another one has the same text (of LENGTH bytes or more), and whether one
+        of those speaks for it: the first of its block, in the first block."""
+        own, at = _slices(self.whole, shift)
+        shared = (self.often > 1) | _flags(len(self.whole), own + WHOLE, at, answers)
+        later = _flags(len(self.whole), own + 2 * WHOLE, at, answers)
+        same, spoken = np.zeros(len(self.sizes), bool), np.zeros(len(self.sizes), bool)
+        same[self.long] = shared[self.of_whole]
+        spoken[self.long] = later[self.of_whole] | (self.first[self.of_whole] != np.arange(len(self.long)))
+        return same, spoken
 
     def sample(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sample positions, the distinct keys of their blocks, which key each has, how often each occurs."""
@@ -136,15 +156,16 @@ class Block:
         at = np.concatenate(places) if places else np.zeros(0, np.int64)
         return (at, *np.unique(keys(self.data, at, V_BLOCK), return_inverse=True, return_counts=True))
 
-    def open_suffixes(self, at: np.ndarray, repeated: np.ndarray) -> np.ndarray:
-        """Where a suffix of at least LENGTH bytes has a repeated sample block in its first V positions."""
+    def open_suffixes(self, at: np.ndarray, repeated: np.ndarray, spoken: np.ndarray) -> np.ndarray:
+        """Where a suffix of at least LENGTH bytes has a repeated sample block in its first V positions,
+        in documents that nothing speaks for."""
         hot = at[repeated]
         cover = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(cover, np.maximum(hot - V + 1, 0), 1)
         np.add.at(cover, hot + 1, -1)
         open_ = np.cumsum(cover[:-1]) > 0
-        for s, e in zip(self.starts.tolist(), self.ends.tolist()):  # the last places of a document start no whole string
-            open_[max(s, e - LENGTH + 1):e] = False
+        for s, e, no in zip(self.starts.tolist(), self.ends.tolist(), spoken.tolist()):
+            open_[s if no else max(s, e - LENGTH + 1):e] = False  # the last places of a document start no whole string
         return np.flatnonzero(open_)
 
 
@@ -181,21 +202,25 @@ def _unpack(data: bytes, width: int) -> np.ndarray:
 def _shared(rows: DataFrame, width: int) -> DataFrame:
     """(t, bucket, bits): for each block's array in a bucket which of its keys another block sent too."""
     def compare(table: pa.Table) -> pa.Table:
-        sent = [_unpack(x.as_py(), width) for x in table.column("keys")]
+        bucket = table.column("bucket")[0].as_py()
+        blocks = table.column("t").to_pylist()
+        order = sorted(range(len(blocks)), key=blocks.__getitem__)
+        sent = [_unpack(table.column("keys")[i].as_py(), width if bucket < WHOLE else 8) for i in order]
         every = np.sort(np.concatenate(sent))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
         del every
-        t, bits = [], []
-        if len(twice):
-            for block, k in zip(table.column("t").to_pylist(), sent):
-                at = np.searchsorted(twice, k)
-                at[at == len(twice)] = 0
-                hit = twice[at] == k
-                if hit.any():
-                    t.append(block)
-                    bits.append(np.packbits(hit).tobytes())
-        return pa.table({"t": pa.array(t, pa.int64()), "bucket": pa.array([table.column("bucket")[0].as_py()] * len(t), pa.int64()),
-                         "bits": pa.array(bits, pa.binary())})
+        out = []
+        met = np.zeros(len(twice), bool)
+        for block, k in zip([blocks[i] for i in order], sent if len(twice) else []):
+            at = np.searchsorted(twice, k)
+            at[at == len(twice)] = 0
+            hit = twice[at] == k
+            if hit.any():
+                out.append((block, bucket, np.packbits(hit).tobytes()))
+                if bucket >= WHOLE:  # and which of them a block before this one has
+                    out.append((block, bucket + WHOLE, np.packbits(hit & met[at]).tobytes()))
+                    met[at[hit]] = True
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _BITS)], schema=_BITS) if out else _BITS.empty_table()
 
     return rows.groupBy("bucket").applyInArrow(compare, "t long, bucket long, bits binary")
 
@@ -204,13 +229,14 @@ def _answers(table: pa.Table, step: int) -> dict[int, bytes]:
     return {b: x for s, b, x in zip(*(table.column(c).to_pylist() for c in ("step", "bucket", "bits"))) if s == step}
 
 
+_BITS = pa.schema([("t", pa.int64()), ("bucket", pa.int64()), ("bits", pa.binary())])
 _SENT = pa.schema([("t", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary())])
 
 
-def _sent(t: int, distinct: np.ndarray, shift: int, width: int) -> pa.Table:
+def _sent(t: int, distinct: np.ndarray, shift: int, width: int, add: int = 0) -> pa.Table:
     own, first = _slices(distinct, shift)
     parts = [_pack(distinct[i:j], 64 - shift, width) for i, j in zip(first[:-1], first[1:])]
-    return pa.table([pa.array([t] * len(own), pa.int64()), pa.array(own), pa.array(parts, pa.binary())], schema=_SENT)
+    return pa.table([pa.array([t] * len(own), pa.int64()), pa.array(own + add), pa.array(parts, pa.binary())], schema=_SENT)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
@@ -226,25 +252,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     dealt = src.withColumn("t", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def ranks(table: pa.Table) -> pa.Table:
-        block = Block(table)
-        return _sent(table.column("t")[0].as_py(), block.sample()[1], shift, SAMPLE_WIDTH)
+        block, t = Block(table), table.column("t")[0].as_py()
+        return pa.concat_tables([_sent(t, block.sample()[1], shift, SAMPLE_WIDTH), _sent(t, block.whole, shift, 8, WHOLE)])
 
     def state(table: pa.Table, answers: pa.Table):
         block = Block(table)
         at, distinct, of, often = block.sample()
-        flagged = (often > 1) | _flags(len(distinct), *_slices(distinct, shift), _answers(answers, 1))
-        places = block.open_suffixes(at, flagged[of])
-        return (block, places, *np.unique(keys(block.data, places, LENGTH), return_inverse=True, return_counts=True))
+        told = _answers(answers, 1)
+        flagged = (often > 1) | _flags(len(distinct), *_slices(distinct, shift), told)
+        same, spoken = block.copies(shift, told)
+        places = block.open_suffixes(at, flagged[of], spoken)
+        return (block, same, places, *np.unique(keys(block.data, places, LENGTH), return_inverse=True, return_counts=True))
 
     def suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _SENT.empty_table()
-        return _sent(table.column("t")[0].as_py(), state(table, answers)[2], shift, KEY_WIDTH)
+        return _sent(table.column("t")[0].as_py(), state(table, answers)[3], shift, KEY_WIDTH)
 
     def spans(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return out_schema.empty_table()
-        block, places, distinct, of, often = state(table, answers)
+        block, same, places, distinct, of, often = state(table, answers)
         flagged = (often > 1) | _flags(len(distinct), *_slices(distinct, shift), _answers(answers, 2))
         hot = places[flagged[of]]
         cover = np.zeros(len(block.data) + 1, np.int32)
@@ -252,7 +280,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
         cover[hot + LENGTH] -= 1
         gone = np.cumsum(cover[:-1]) > 0
         found, kept = [], []
-        for s, e in zip(block.starts.tolist(), block.ends.tolist()):
+        for s, e, all_gone in zip(block.starts.tolist(), block.ends.tolist(), same.tolist()):
+            gone[s:e] |= all_gone
             g = gone[s:e]
             edge = np.flatnonzero(np.diff(np.concatenate(([False], g, [False]))))
             found.append([{"start": i, "end": j} for i, j in edge.reshape(-1, 2).tolist()])

@@ -508,7 +508,8 @@ def test_url_rules(sp):
     r = random.Random(12)
     rows, labels = [], []
     for i in range(2000):
-        host = r.choice(["good.example.org", "shop.example.net", "evil.example.org", "News.Example.com"])
+        host = r.choice(["good.example.org", "calm.example.org", "fine.example.org", "shop.example.net", "evil.example.org",
+                         "News.Example.com"])
         seg = r.choice(["a", "b", "spam"])
         rows.append((i, f"https://{host}/{seg}/{r.randrange(99)}?x=1"))
         bad = host == "evil.example.org" and seg == "spam"
