@@ -4,11 +4,11 @@ Severity grades 0 < 1 < 2 < 3 are predicted with one weight vector shared by all
 P(grade <= k) = sigmoid(t_k - w.x), t_1 < t_2 < t_3 (proportional odds). The output is the expected
 severity, the sum over k of P(grade >= k); a document is toxic from ``REJECT`` on.
 
-Features are log(1 + count) of lower-cased words and of word beginnings (4 to 6 letters). Which
+Features are 1 + log(count) of lower-cased words and of word beginnings (4 to 6 letters). Which
 ones count is found by Spark on the labelled sample: documents with each feature are counted by
 label, and features that stand out in toxic rows (likelihood ratio of ``LEAST_G2`` or more, the
-``MAX_FEATURES`` strongest) are kept; a long clean text has none of them, so its length is no
-matter. The regression is fitted by the driver in numpy on these few numbers of each sample row.
+``MAX_FEATURES`` strongest) are candidates, of which ``explaining`` keeps a few; a long clean text has
+none of them, so its length is no matter. The regression is fitted by the driver in numpy on these few numbers of each sample row.
 
 Labels: a ``grade`` column is used if labels have one. With only a 0/1 ``toxic`` column, a toxic row
 gets grade 1, 2 or 3 by the thirds of how often the kept words occur in toxic rows, and others 0.
@@ -37,8 +37,9 @@ from tankflow.llm.common import id_and_text, map_batches, materialise
 MAX_ROWS = 20_000
 MAX_FEATURES = 2_000
 LEAST_G2 = 24.0
+NEW_ROWS = 2
 GRADES = 3
-REJECT = 0.5
+REJECT = 0.25
 BEGINNINGS = (4, 5, 6)
 #: Words that a worker remembers; past this its memory is emptied.
 REMEMBERED = 400_000
@@ -87,10 +88,12 @@ class Model:
 
 
 def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int,
-        steps: int = 500, rate: float = 0.1, ridge: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+        row_weights: np.ndarray | None = None, steps: int = 500, rate: float = 0.1,
+        ridge: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds that maximise the penalised likelihood of grades 0..K
     (full-batch Adam). ``rows``, ``cols`` and ``values`` hold the sparse features."""
     n, k = len(grades), int(grades.max())
+    of_row = np.full(n, 1.0 / n) if row_weights is None else row_weights / row_weights.sum()
     # parameters: weights, the first threshold, logs of the gaps to the next ones
     p = np.concatenate([np.zeros(n_features), [1.0], np.zeros(k - 1)])
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -101,10 +104,10 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarr
         up, low = np.append(t, np.inf)[grades], np.insert(t, 0, -np.inf)[grades]
         fu, fl = np.where(grades < k, sig(up - s), 1.0), np.where(grades > 0, sig(low - s), 0.0)
         prob = np.maximum(fu - fl, 1e-12)
-        du, dl = fu * (1 - fu) / prob, fl * (1 - fl) / prob
-        ds = (du - dl) / n  # of the loss, by s
+        du, dl = of_row * fu * (1 - fu) / prob, of_row * fl * (1 - fl) / prob
+        ds = du - dl  # of the loss, by s
         gw = np.bincount(cols, values * ds[rows], n_features) + ridge * w
-        gt = (-np.bincount(grades, du, k + 1)[:k] + np.bincount(grades, dl, k + 1)[1:]) / n
+        gt = -np.bincount(grades, du, k + 1)[:k] + np.bincount(grades, dl, k + 1)[1:]
         tail = np.cumsum(gt[::-1])[::-1]
         g = np.concatenate([gw, [tail[0]], tail[1:] * np.exp(p[n_features + 1:])])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -158,10 +161,27 @@ def choose_features(rows: DataFrame) -> tuple[list[str], int]:
               + cell(t - F.col("toxic"), (t + c - df) * t / (t + c)) + cell(c - F.col("clean"), (t + c - df) * c / (t + c)))
     best = (counts.where("feature <> ''").where(F.col("toxic") * c > F.col("clean") * t)
             .withColumn("g2", g2).where(F.col("g2") >= LEAST_G2)
-            .orderBy(F.desc("g2"), "feature").limit(MAX_FEATURES))
+            .orderBy(F.desc("g2"), F.desc(F.length("feature")), "feature").limit(MAX_FEATURES))
     return [r.feature for r in best.collect()], int(t)
 
 
+def explaining(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, features: list[str]) -> list[int]:
+    """Of features in order of strength those that explain toxic rows which no stronger one does
+    (``NEW_ROWS`` or more), and words in a tenth of the toxic rows. Words that only stand in copies of
+    a toxic text explain nothing that its slurs don't."""
+    explained, kept = ~toxic, []
+    order = np.argsort(cols, kind="stable")
+    bounds = np.searchsorted(cols[order], np.arange(len(features) + 1))
+    for f, name in enumerate(features):
+        mine = rows[order[bounds[f]:bounds[f + 1]]]
+        mine = mine[toxic[mine]]
+        often = not name.endswith("*") and 10 * len(mine) >= toxic.sum()
+        if often or (~explained[mine]).sum() >= NEW_ROWS:
+            kept.append(f)
+            explained[mine] = True
+    return kept
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
           text_col: str = "text") -> Model | None:
     rows = sample(docs, labels, max_rows, id_col, text_col)
@@ -186,6 +206,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     cols = np.array([i for r in got for i in r["at"]], np.int64)
     counts = np.array([i for r in got for i in r["n"]], float)
     toxic = np.array([r.toxic for r in got]) > 0
+    kept = explaining(at, cols, toxic, features)
+    features = [features[i] for i in kept]
+    new = np.full(len(number), -1)
+    new[kept] = np.arange(len(kept))
+    use = new[cols] >= 0
+    at, cols, counts = at[use], new[cols[use]], counts[use]
     if any(r.grade is not None for r in got):
         grades = np.array([max(r.grade or 0, 0) for r in got], np.int64)
     else:
@@ -196,7 +222,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     levels, grades = np.unique(grades, return_inverse=True)  # a grade that no row has gets no threshold
     if len(levels) < 2:
         return None
-    w, t = fit(at, cols, np.log1p(counts), grades, len(features))
+    # clean and toxic rows weigh the same in all: toxic ones are few
+    some = grades > 0
+    weights = np.where(some, 0.5 / some.sum(), 0.5 / (~some).sum())
+    w, t = fit(at, cols, 1 + np.log(counts), grades, len(features), weights)
     return Model(features, w, t)
 
 
@@ -205,7 +234,7 @@ def _score(b_texts: list[str], memory: Memory, model: Model) -> np.ndarray:
     for i, text in enumerate(b_texts):
         c = memory.counts(text)
         if c:
-            out[i] = sum(model.weights[k] * np.log1p(n) for k, n in sorted(c.items()))
+            out[i] = sum(model.weights[k] * (1 + np.log(n)) for k, n in sorted(c.items()))
     return out
 
 
