@@ -10,11 +10,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def null_to_zero(x) -> Column:
-    """``NVL(x, 0)`` / ``fillna(0)``."""
-    return F.coalesce(_c(x), F.lit(0.0))
-
-
 def accuracy(actual, forecast) -> Column:
     """``min/max * 100``; null if either side is null or max is 0.
 

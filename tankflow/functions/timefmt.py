@@ -60,11 +60,6 @@ def add_hours(ts, n) -> Column:
     """``+ n hours`` (n may be a column)."""
     return F.timestamp_add("HOUR", n if isinstance(n, Column) else F.lit(n), _c(ts))
 
-def add_minutes(ts, n) -> Column:
-    """``+ n minutes`` on a timestamp (n may be a column)."""
-    return F.timestamp_add("MINUTE", n if isinstance(n, Column) else F.lit(n), _c(ts))
-
-
 def add_days(ts, n) -> Column:
     """``+ n days`` on a timestamp."""
     return F.timestamp_add("DAY", n if isinstance(n, Column) else F.lit(n), _c(ts))

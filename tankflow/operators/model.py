@@ -18,11 +18,10 @@ re-estimated by fixed-point iteration: a ridge regression. The library puts
 a Laplace prior on changepoints and optimises jointly, so numbers are close
 in kind, not equal.
 
-Distribution: the features are native Spark columns; each Arrow batch of the
-training rows emits per-series partial sums (X'X, X'y, y'y, n) in
-``mapInArrow``; a group-by combines the partials and solves the small K x K
-system per series in ``applyInPandas`` (one group = one series' partial
-sums, never its rows). Prediction is a join with the coefficients and a
+Distribution: the features are native Spark columns; training rows are dealt
+out and sorted by series, each task sums up its series (X'X, X'y, y'y, n) in
+``mapInArrow``, and the small K x K system of each series is solved in
+``applyInPandas`` (one group = one series' sums, never its rows). Prediction is a join with the coefficients and a
 dot product in ``aggregate(zip_with(...))``, JVM-side.
 """
 
@@ -179,34 +178,50 @@ _PARTIAL_SCHEMA = T.StructType([
 
 
 def _partial_gram(batches, xcol: str = "x", ycol: str = "ys"):
-    """Per Arrow batch and series: X'X, X'y, y'y, n (y already scaled)."""
+    """X'X, X'y, y'y, n (y already scaled) of each series, from batches in which the rows of a series
+    follow each other: a series that goes on in the next batch is carried over."""
+    schema = pa.schema([("station", pa.string()), ("product", pa.int64()), ("tank", pa.int32()), ("n", pa.int64()),
+                        ("yty", pa.float64()), ("xty", pa.list_(pa.float64())), ("xtx", pa.list_(pa.float64()))])
+    open_key, sums = None, None
+
+    def row():
+        n, yty, xty, xtx = sums
+        return (*open_key, n, yty, xty.tolist(), xtx.ravel().tolist())
+
+    def emit(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
     for rb in batches:
         if rb.num_rows == 0:
             continue
         xs = rb.column(xcol)
-        k = len(xs[0].as_py()) if rb.num_rows else 0
-        X = xs.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+        X = xs.flatten().to_numpy(zero_copy_only=False).reshape(rb.num_rows, -1)
         y = rb.column(ycol).to_numpy(zero_copy_only=False)
-        keys = pd.DataFrame({c: rb.column(c).to_pandas() for c in K})
-        codes, uniq = pd.factorize(pd.MultiIndex.from_frame(keys))
-        out = {c: [] for c in _PARTIAL_SCHEMA.fieldNames()}
-        for g in range(len(uniq)):
-            sel = codes == g
-            Xg, yg = X[sel], y[sel]
-            st, pr, tk = uniq[g]
-            out["station"].append(st)
-            out["product"].append(int(pr))
-            out["tank"].append(int(tk))
-            out["n"].append(int(sel.sum()))
-            out["yty"].append(float(yg @ yg))
-            out["xty"].append((Xg.T @ yg).tolist())
-            out["xtx"].append((Xg.T @ Xg).ravel().tolist())
-        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-            ("station", pa.string()), ("product", pa.int64()), ("tank", pa.int32()), ("n", pa.int64()),
-            ("yty", pa.float64()), ("xty", pa.list_(pa.float64())), ("xtx", pa.list_(pa.float64()))]))
-
-
-def _solver(prior_scales: np.ndarray, iterations: int = 5):
+        codes = pd.MultiIndex.from_arrays([rb.column(c).to_pandas() for c in K]).factorize()[0]
+        starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))).tolist()
+        done = []
+        for i, j in zip(starts, [*starts[1:], rb.num_rows]):
+            key = tuple(rb.column(c)[i].as_py() for c in K)
+            part = (j - i, float(y[i:j] @ y[i:j]), X[i:j].T @ y[i:j], X[i:j].T @ X[i:j])
+            if key == open_key:
+                sums = tuple(a + b for a, b in zip(sums, part))
+                continue
+            if open_key is not None:
+                done.append(row())
+            open_key, sums = key, part
+        if done:
+            yield emit(done)
+    if open_key is not None:
+        yield emit([row()])
+
+
+NOISE_ITERATIONS = 200
+NOISE_TOLERANCE = 1e-10
+
+
+def _solver(prior_scales: np.ndarray, iterations: int = NOISE_ITERATIONS, tolerance: float = NOISE_TOLERANCE):
+    """Solves one series' system; the noise scale is iterated until it changes by less than ``tolerance``
+    (relative). ``change`` is its last change, so a series that ``iterations`` didn't settle shows."""
     inv_var = 1.0 / prior_scales ** 2
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -216,16 +231,19 @@ def _solver(prior_scales: np.ndarray, iterations: int = 5):
         yty = float(pdf["yty"].sum())
         n = int(pdf["n"].sum())
         sigma2 = 0.25  # prior mode region of the noise scale (half-normal 0.5)
-        beta = np.zeros(k)
+        beta, change = np.zeros(k), np.inf
         for _ in range(iterations):
             a = xtx + sigma2 * np.diag(inv_var)
             beta = np.linalg.solve(a, xty)
             rss = max(yty - 2 * beta @ xty + beta @ xtx @ beta, 0.0)
-            sigma2 = max(rss / max(n, 1), 1e-8)
+            before, sigma2 = sigma2, max(rss / max(n, 1), 1e-8)
+            change = abs(sigma2 - before) / before
+            if change < tolerance:
+                break
         return pd.DataFrame({
             "station": [pdf["station"].iloc[0]], "product": [pdf["product"].iloc[0]],
             "tank": [pdf["tank"].iloc[0]], "beta": [beta.tolist()],
-            "sigma": [math.sqrt(sigma2)], "n": [n]})
+            "sigma": [math.sqrt(sigma2)], "n": [n], "change": [change]})
     return solve
 
 
@@ -236,14 +254,39 @@ _COEF_SCHEMA = T.StructType([
     T.StructField("beta", T.ArrayType(T.DoubleType())),
     T.StructField("sigma", T.DoubleType()),
     T.StructField("n", T.LongType()),
+    T.StructField("change", T.DoubleType()),
 ])
 
 
+def gram_by_series(rows: DataFrame, xcol: str, ycol: str) -> DataFrame:
+    """One row per series: X'X (flat), X'y, y'y and n, summed up in the tasks that hold the series."""
+    together = rows.select(*K, xcol, ycol).repartition(*K).sortWithinPartitions(*K)
+    return together.mapInArrow(lambda it: _partial_gram(it, xcol, ycol), _PARTIAL_SCHEMA)
+
+
+def fit_check(grams: DataFrame, coefs: DataFrame, prior_scales: np.ndarray, tolerance: float = 1e-6) -> DataFrame:
+    """Per series whether its coefficients solve the penalised normal equations (largest residual relative
+    to the right side) and whether its noise scale settled."""
+    inv_var = 1.0 / np.asarray(prior_scales, dtype=float) ** 2
+
+    def check(key, gram: pd.DataFrame, coef: pd.DataFrame) -> pd.DataFrame:
+        xty = np.asarray(gram["xty"].iloc[0])
+        beta = np.asarray(coef["beta"].iloc[0])
+        xtx = np.asarray(gram["xtx"].iloc[0]).reshape(len(xty), -1)
+        rest = xtx @ beta + coef["sigma"].iloc[0] ** 2 * inv_var * beta - xty
+        return pd.DataFrame({"station": [key[0]], "product": [key[1]], "tank": [key[2]],
+                             "solved": [bool(np.abs(rest).max() <= tolerance * max(np.abs(xty).max(), 1e-12))],
+                             "settled": [bool(coef["change"].iloc[0] <= tolerance)]})
+
+    return grams.groupBy(*K).cogroup(coefs.groupBy(*K)).applyInPandas(
+        check, "station string, product long, tank int, solved boolean, settled boolean")
+
+
 def ridge_by_series(rows: DataFrame, xcol: str, ycol: str, prior_scales: np.ndarray) -> DataFrame:
-    """Per-series ridge/MAP solve of ``ycol ~ xcol``: partial sums per Arrow
-    batch (``mapInArrow``), then one small solve per series (``applyInPandas``)."""
-    partial = rows.select(*K, xcol, ycol).mapInArrow(
-        lambda it: _partial_gram(it, xcol, ycol), _PARTIAL_SCHEMA)
+    """Per-series ridge/MAP solve of ``ycol ~ xcol``: rows are dealt out by series (a series has at most one
+    row an hour, so none is hot) and sorted, each task sums up its series (``mapInArrow``), and one
+    small solve follows per series (``applyInPandas``)."""
+    partial = gram_by_series(rows, xcol, ycol)
     return partial.groupBy(*K).applyInPandas(_solver(np.asarray(prior_scales, dtype=float)), _COEF_SCHEMA)
 
 

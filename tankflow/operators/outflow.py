@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timefmt as tf
+from ..session import cut_lineage
 from ..sources.schema import SERIES_KEY
 
 K = SERIES_KEY
@@ -92,7 +93,8 @@ def receipts_with_shift(receipts: DataFrame, shifts: DataFrame, *, year: int,
                         months: Iterable[int], stations: Sequence[str] | None = None) -> DataFrame:
     """Receipts joined to their shift report (the WHERE clause makes it inner)."""
     months = list(months)
-    z = shifts.filter(year_month_filter(F.col("shift_start"), year, months))
+    # a few rows a station and day: written, so that the join is planned with their real size
+    z = cut_lineage(shifts.filter(year_month_filter(F.col("shift_start"), year, months)))
     # implied by the join equality; stated so it also reaches the receipts scan
     r = _restrict(receipts, stations, None).filter(year_month_filter(F.col("shift_start"), year, months))
     return r.join(z, ["station", "znum", "shift_start"], "inner")
@@ -202,6 +204,9 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
         lambda x: x.isNotNull())
     need = edge.select(*K, "hour_ts", "mi", F.explode(roles).alias("r")).select(
         *K, "hour_ts", "mi", F.col("r.m").alias("minute_ts"), "r.is_p", "r.is_mx", "r.is_mn", "r.prev_ts")
+    # at most three rows a tank-hour, written: adaptive execution would shuffle all readings before it could
+    # see that this side is small
+    need = cut_lineage(need)
     rows = rd.filter(F.col("in_cte")).select(*K, "minute_ts", "ts", "reading_id", "volume")
     cand = rows.join(need, K + ["minute_ts"], "inner")
     # Everything below is partitioned by (series, hour), so the pair window,
@@ -301,8 +306,3 @@ def hourly_tank_outflow(receipts: DataFrame, shifts: DataFrame, items: DataFrame
     return j.select(*K, tf.format_date("hour_ts").alias("date"),
                     F.hour("hour_ts").alias("hour"),
                     quantity.alias("quantity"), F.col("pairs").cast("bigint").alias("pairs"))
-
-
-def delivery_fallback(diff: Column, pos_volume: Column) -> Column:
-    """``CASE WHEN diff < 0 THEN pos_volume ELSE diff END`` (null diff stays null)."""
-    return F.when(diff < 0, pos_volume).otherwise(diff)

@@ -1,7 +1,7 @@
 """Data-quality findings as a table (replaces the scripts' log lines and exits).
 
 One aggregation pass over the extract gives every count; the fuel check is a
-left join against the fuel dimension (a fixed list, broadcast).
+left join against the fuel dimension, a nine-row list whose size the planner knows.
 """
 
 from __future__ import annotations
@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timefmt as tf
-from ..session import bounded_broadcast
 from ..sources.schema import SERIES_KEY
 
 K = SERIES_KEY
-CHECKS = ("empty_input", "unparseable_date", "null_quantity", "unknown_fuel")
+CHECKS = ("empty_input", "unparseable_date", "null_hour", "corrupt_row", "null_quantity", "unknown_fuel")
 
 
 def _date_is_bad(df: DataFrame):
@@ -36,25 +35,30 @@ def row_count_check(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("is_empty", F.col("rows") == 0)
 
 
-def fuel_code_join(df: DataFrame, fuels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Attach fuel names by product code; returns (known, rejected)."""
-    dim = bounded_broadcast(fuels.select("product", "fuel_name"), 10_000)
-    return df.join(dim, "product", "inner"), df.join(dim, "product", "left_anti")
+def fuel_code_join(df: DataFrame, fuels: DataFrame, name_col: str = "fuel_name") -> tuple[DataFrame, DataFrame]:
+    """The product code of each row's fuel name; returns (known, rejected). A name that the
+    list doesn't have, or no name, is rejected."""
+    dim = fuels.select(F.col("fuel_name").alias("_name"), F.col("product"))
+    same = F.col(name_col) == F.col("_name")
+    return df.join(dim, same, "inner").drop("_name"), df.join(dim, same, "left_anti")
 
 
 def quality_report(hourly: DataFrame, fuels: DataFrame | None = None) -> DataFrame:
-    """(check, rows) for empty input, unparseable dates, null quantities and
-    product codes missing from the fuel list. Always one row per check."""
-    df = hourly
-    unknown = F.lit(0)
+    """(finding, row_count): empty input, rows by reason why the series can't take them (bad date,
+    null hour, corrupt row), null quantities, and product codes missing from the fuel list. Always one
+    row per finding."""
+    corrupt = F.col("corrupt_record").isNotNull() if "corrupt_record" in hourly.columns else F.lit(False)
+    df, unknown = hourly, F.lit(0)
     if fuels is not None:
-        dim = bounded_broadcast(fuels.select("product", F.lit(True).alias("_known")), 10_000)
-        df = df.join(dim, "product", "left")
+        df = df.join(fuels.select("product", F.lit(True).alias("_known")), "product", "left")
         unknown = F.count_if(F.col("_known").isNull())
     agg = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.count_if(_date_is_bad(df)).alias("bad_date"),
+                 F.count_if(_date_is_bad(df) & ~corrupt).alias("bad_date"),
+                 F.count_if(F.col("hour").isNull() & ~_date_is_bad(df) & ~corrupt).alias("null_hour"),
+                 F.count_if(corrupt).alias("corrupt"),
                  F.count_if(F.col("quantity").isNull()).alias("null_q"),
                  unknown.cast("bigint").alias("unknown"))
     return agg.select(F.expr(
-        "stack(4, 'empty_input', CAST(IF(n = 0, 1, 0) AS BIGINT), 'unparseable_date', bad_date, "
+        "stack(6, 'empty_input', CAST(IF(n = 0, 1, 0) AS BIGINT), 'unparseable_date', bad_date, "
+        "'null_hour', null_hour, 'corrupt_row', corrupt, "
         "'null_quantity', null_q, 'unknown_fuel', unknown) AS (finding, row_count)"))

@@ -25,27 +25,39 @@ def orders_as_hourly(orders: DataFrame) -> DataFrame:
                          F.coalesce(F.col("volume"), F.lit(0.0)).alias("quantity"))
 
 
+def _parsed(hourly: DataFrame, rollover: str, lenient: bool) -> DataFrame:
+    """The extract with ds, q and w, and ``reason``: why a row can't be placed in its series (else null)."""
+    if isinstance(hourly.schema["date"].dataType, T.StringType):
+        d = tf.parse_date_lenient(hourly["date"]) if lenient else tf.parse_date(hourly["date"])
+    else:
+        d = hourly["date"].cast("date")
+    reason = F.when(d.isNull(), F.lit("bad_date")).when(hourly["hour"].isNull(), F.lit("null_hour"))
+    if "corrupt_record" in hourly.columns:
+        reason = F.when(hourly["corrupt_record"].isNotNull(), F.lit("corrupt_row")).otherwise(reason)
+    rolled, h = tf.hour24_rollover(d, hourly["hour"], rollover)
+    w = hourly["pairs"].cast("bigint") if "pairs" in hourly.columns else F.lit(1).cast("bigint")
+    return hourly.select(
+        *K, "date", "hour", "quantity",
+        tf.combine_date_hour(rolled, h).alias("ds"),
+        F.coalesce(hourly["quantity"].cast("double"), F.lit(0.0)).alias("q"),
+        w.alias("w"), reason.alias("reason"))
+
+
 def parse_hourly(hourly: DataFrame, *, rollover: str = "all", lenient: bool = True) -> DataFrame:
     """X5/X6 + X14 + X15 + X8: (key, date text, hour, quantity) -> (key, ds, q, w).
 
     ``w`` is the number of extract rows a row stands for (``pairs`` when the
-    extract carries it, else 1). Rows whose date does not parse are dropped
-    here and counted by the quality report.
+    extract carries it, else 1). ``lenient=False`` raises on a bad date, as the scripts do.
+    With ``lenient=True`` rows that can't be placed are what ``rejected_rows`` returns, and the
+    quality report counts them by reason.
     """
-    date_col = hourly["date"]
-    if isinstance(hourly.schema["date"].dataType, T.StringType):
-        d = tf.parse_date_lenient(date_col) if lenient else tf.parse_date(date_col)
-    else:
-        d = date_col.cast("date")
-    d, h = tf.hour24_rollover(d, hourly["hour"], rollover)
-    w = hourly["pairs"].cast("bigint") if "pairs" in hourly.columns else F.lit(1).cast("bigint")
-    out = hourly.select(
-        *K,
-        tf.combine_date_hour(d, h).alias("ds"),
-        F.coalesce(hourly["quantity"].cast("double"), F.lit(0.0)).alias("q"),
-        w.alias("w"),
-    )
-    return out.filter(F.col("ds").isNotNull())
+    return _parsed(hourly, rollover, lenient).filter(F.col("reason").isNull()).select(*K, "ds", "q", "w")
+
+
+def rejected_rows(hourly: DataFrame) -> DataFrame:
+    """The rows that ``parse_hourly`` leaves out: key, date, hour, quantity and the reason
+    (corrupt_row, bad_date or null_hour)."""
+    return _parsed(hourly, "all", True).filter(F.col("reason").isNotNull()).select(*K, "date", "hour", "quantity", "reason")
 
 
 def dedupe_mean(parsed: DataFrame) -> DataFrame:
@@ -79,15 +91,16 @@ def add_calendar_columns(series: DataFrame) -> DataFrame:
 
 
 def clean_hourly_series(hourly: DataFrame, cfg: DataFrame | None = None, *,
-                        rollover: str = "all", fill: float = 0.0) -> DataFrame:
+                        rollover: str = "all", fill: float = 0.0, lenient: bool = True) -> DataFrame:
     """Extract -> (key, ds, quantity, weekday, hour) on a complete hourly grid.
 
+    Rows without a place (see ``rejected_rows``) are left out, or raise with ``lenient=False``.
     When ``cfg`` is given only its series are kept (a semi join, the
     multi-series form of the scripts' product/tank filter).
     """
     if cfg is not None:
         hourly = hourly.join(cfg.select(*K), K, "left_semi")
-    obs = dedupe_mean(parse_hourly(hourly, rollover=rollover))
+    obs = dedupe_mean(parse_hourly(hourly, rollover=rollover, lenient=lenient))
     grid = series_grid(series_bounds(obs))
     return add_calendar_columns(gapfill(grid, obs, fill))
 

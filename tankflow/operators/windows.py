@@ -30,27 +30,23 @@ def segmented_lead_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     seg = "_seg"
     d = df.withColumn(seg, F.date_trunc(segment, F.col(tcol)).cast("timestamp_ntz"))
     w = Window.partitionBy(*keys, seg).orderBy(*order)
-    # in-segment neighbours, plus edge flags
+    # in-segment neighbours; a row without one stands at its segment's edge
     cols = {}
     for v in values:
         cols[f"_in_next_{v}"] = F.lead(v, 1).over(w)
         cols[f"_in_prev_{v}"] = F.lag(v, 1).over(w)
-    cols["_is_first"] = F.row_number().over(w) == 1
-    cols["_is_last"] = F.row_number().over(w.orderBy(*[F.col(c).desc() for c in order])) == 1
-    d = d.withColumns(cols)
-    # per-segment first and last values: full-frame windows over the same
-    # sorted partition, one row kept per segment (no aggregation needed)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumns({**{f"_sf_{v}": F.first(v).over(whole) for v in values},
-                       **{f"_sl_{v}": F.last(v).over(whole) for v in values}})
-    edges = d.filter(F.col("_is_first")).select(
-        *keys, seg, *[F.col(f"_sf_{v}").alias(f"_first_{v}") for v in values],
-        *[F.col(f"_sl_{v}").alias(f"_last_{v}") for v in values])
+    cols["_is_first"] = F.lag(order[0], 1).over(w).isNull()
+    cols["_is_last"] = F.lead(order[0], 1).over(w).isNull()
+    inside = d.withColumns(cols)
+    # first and last values of each segment by partial aggregates: one row a task and segment is shuffled
+    at = F.struct(*order)
+    edges = d.groupBy(*keys, seg).agg(*[F.min_by(v, at).alias(f"_first_{v}") for v in values],
+                                      *[F.max_by(v, at).alias(f"_last_{v}") for v in values])
     sw = Window.partitionBy(*keys).orderBy(seg)
     edges = edges.select(*keys, seg,
                          *[F.lag(f"_last_{v}", 1).over(sw).alias(f"_pseg_{v}") for v in values],
                          *[F.lead(f"_first_{v}", 1).over(sw).alias(f"_nseg_{v}") for v in values])
-    j = d.join(edges, keys + [seg], "left")
+    j = inside.join(edges, keys + [seg], "left")
     out = {}
     for v in values:
         out[prefix_lead + v] = F.when(F.col("_is_last"), F.col(f"_nseg_{v}")).otherwise(F.col(f"_in_next_{v}"))

@@ -46,7 +46,8 @@ register("hourly_tank_outflow", O.sql(
 
 
 @register("pos_hourly_sales", O.sql(
-    f"SELECT {K3}, da AS date, CAST(hour AS INTEGER) AS hour, {O.r6('volume', 'pos_volume')} FROM np", "np"))
+    f"SELECT {K3}, strftime(hour_ts, '%d.%m.%Y') AS date, CAST(hour(hour_ts) AS INTEGER) AS hour, "
+    f"{O.r6('sold', 'pos_volume')} FROM pos_volume", "pos_volume"))
 def _pos(spark, sf):
     p = Pipeline(spark, sf).pos_sales
     return rounded(p.select("station", "product", "tank", F.date_format("hour_ts", "dd.MM.yyyy").alias("date"),
@@ -54,8 +55,9 @@ def _pos(spark, sf):
 
 
 @register("hour_minute_bounds", O.sql(
-    f"SELECT {K3}, day AS date, CAST(hour AS INTEGER) AS hour, CAST(max_minute AS INTEGER) AS max_minute, "
-    "CAST(min_minute AS INTEGER) AS min_minute FROM maxminutes", "maxminutes"))
+    f"SELECT {K3}, strftime(hour_ts, '%d.%m.%Y') AS date, CAST(hour(hour_ts) AS INTEGER) AS hour, "
+    "CAST(minute(last_minute) AS INTEGER) AS max_minute, CAST(minute(first_minute) AS INTEGER) AS min_minute "
+    "FROM hour_edges", "hour_edges"))
 def _bounds(spark, sf):
     from ..operators import outflow as of
     p = Pipeline(spark, sf)
@@ -101,10 +103,22 @@ register("depletion_forecast", O.sql(
 # Same plan with a larger opening volume, so the extension rows are exercised.
 EXT_INITIAL = 2000.0
 register("depletion_extension", O.sql(
-    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('level', 'level')} FROM ext", "ext",
+    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('level', 'level')}, "
+    f"min(CASE WHEN level <= stock THEN 0 ELSE 1 END) OVER (PARTITION BY {K3}) = 1 AS capped "
+    f"FROM (SELECT e.*, c.dead_stock AS stock FROM ext e JOIN cfg c ON {O.keys_eq('e', 'c')})", "ext", "cfg",
     overrides={"cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL)))}))(
     lambda spark, sf: rounded(Pipeline(spark, sf, initial=EXT_INITIAL).extension))
 
+register("dead_stock_crossing", O.sql(f"""
+    SELECT {K3}, CAST(min(q * 168 + r) AS BIGINT) AS cross_step, COALESCE(min(q * 168 + r), 1001) > 1000 AS capped
+    FROM (SELECT {K3}, k AS r,
+                 CASE WHEN need <= run THEN 0 WHEN total > 0 THEN CAST(ceil((need - run) / total) AS BIGINT) END AS q
+          FROM (SELECT *, last_level - dead_stock AS need,
+                       SUM(y) OVER (PARTITION BY {K3} ORDER BY k) AS run, SUM(y) OVER (PARTITION BY {K3}) AS total
+                FROM steps_y WHERE k <= 168))
+    GROUP BY {K3}""", "steps_y", overrides={"cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL)))}))(
+    lambda spark, sf: Pipeline(spark, sf, initial=EXT_INITIAL).crossing)
+
 register("first_dead_stock_hour", O.sql(
     f"SELECT {K3}, ds, {O.r6('level', 'level')} FROM first_dead", "first_dead"))(
     lambda spark, sf: rounded(Pipeline(spark, sf).first_dead_stock))
@@ -140,6 +154,11 @@ register("orders_to_forecast", O.sql(
     f"{O.r6('accuracy', 'accuracy')} FROM scored", "scored", overrides=_ORDERS_OVERRIDES))(
     lambda spark, sf: rounded(Pipeline(spark, sf, source="orders").comparison))
 
+_SPOILT = {"spoilt": (("hourly",), """
+    SELECT station, CAST(CASE WHEN station = 'S3' AND hour = 5 THEN 42 ELSE product END AS BIGINT) AS product, tank,
+           CASE WHEN hour = 13 THEN '31.02.2024' ELSE date END AS date, hour = 13 AS bad_date,
+           CASE WHEN hour % 8 <> 7 THEN hour END AS hour, quantity
+    FROM hourly""")}
 _FUELS_SQL = ", ".join(f"('{n}', CAST({c} AS BIGINT))" for n, c in FUEL_CODES)
 _FUELS_CTE = {"fuels": ((), f"SELECT * FROM (VALUES {_FUELS_SQL}) AS t(fuel_name, product)")}
 
@@ -147,13 +166,40 @@ register("data_quality_report", O.sql("""
     SELECT finding, row_count FROM (
       SELECT 'empty_input' AS finding, CAST(CASE WHEN n = 0 THEN 1 ELSE 0 END AS BIGINT) AS row_count FROM qa
       UNION ALL SELECT 'unparseable_date', CAST(bad AS BIGINT) FROM qa
+      UNION ALL SELECT 'null_hour', CAST(nh AS BIGINT) FROM qa
+      UNION ALL SELECT 'corrupt_row', CAST(0 AS BIGINT) FROM qa
       UNION ALL SELECT 'null_quantity', CAST(nq AS BIGINT) FROM qa
       UNION ALL SELECT 'unknown_fuel', CAST(unk AS BIGINT) FROM qa)""", "qa",
-    overrides={**_FUELS_CTE, "qa": (("hourly", "fuels"), """
-        SELECT count(*) AS n, count_if(try_strptime(h.date, '%d.%m.%Y') IS NULL) AS bad,
-               count_if(h.quantity IS NULL) AS nq, count_if(f.product IS NULL) AS unk
-        FROM hourly h LEFT JOIN fuels f ON h.product = f.product""")}))(
-    lambda spark, sf: Pipeline(spark, sf).quality)
+    overrides={**_FUELS_CTE, **_SPOILT, "qa": (("spoilt", "fuels"), """
+        SELECT count(*) AS n, count_if(bad_date) AS bad, count_if(hour IS NULL AND NOT bad_date) AS nh,
+               count_if(quantity IS NULL) AS nq, count_if(f.product IS NULL) AS unk
+        FROM spoilt h LEFT JOIN fuels f ON h.product = f.product""")}))(
+    lambda spark, sf: _quality(spark, sf))
+
+
+def _spoilt_rows(spark, sf):
+    """The extract with bad dates, null hours and an unknown product in some rows."""
+    h = Pipeline(spark, sf).hourly_plan
+    return h.select("station", F.when((F.col("station") == "S3") & (F.col("hour") == 5), F.lit(42)).otherwise(F.col("product"))
+                    .cast("bigint").alias("product"), "tank",
+                    F.when(F.col("hour") == 13, F.lit("31.02.2024")).otherwise(F.col("date")).alias("date"),
+                    F.when(F.col("hour") % 8 != 7, F.col("hour")).alias("hour"), "quantity", "pairs")
+
+
+def _quality(spark, sf):
+    from ..operators.quality import quality_report
+    from ..sources import fixtures as fx
+    return quality_report(_spoilt_rows(spark, sf), fx.fuels(spark))
+
+
+@register("parse_date_lenient", O.sql(f"""
+    SELECT {K3}, date, COALESCE(hour, -1) AS hour, {O.r6('quantity', 'quantity')},
+           CASE WHEN bad_date THEN 'bad_date' ELSE 'null_hour' END AS reason
+    FROM spoilt WHERE bad_date OR hour IS NULL""", "spoilt", overrides=_SPOILT))
+def _x6(spark, sf):
+    """The rows that the series can't take, with the reason."""
+    from ..operators.series import rejected_rows
+    return rounded(rejected_rows(_spoilt_rows(spark, sf)).withColumn("hour", F.coalesce("hour", F.lit(-1))))
 
 register("chart_feed", O.sql(f"""
     SELECT {K3}, ds, series_name, {O.r6('value', 'value')} FROM (
@@ -181,39 +227,35 @@ register("model_future_frame", O.sql(f"""
     lambda spark, sf: md.model_future_frame(Pipeline(spark, sf).history))
 
 
-def _event_sql() -> str:
-    from ..operators.model import expand_event_rows
-    from ..sources.schema import SPECIAL_EVENTS
-    parts = []
-    for e, o, days in expand_event_rows(SPECIAL_EVENTS):
-        lst = ", ".join(f"DATE '{d.isoformat()}'" for d in days)
-        parts.append(f"CASE WHEN CAST(ds AS DATE) IN ({lst}) THEN 1.0 ELSE 0.0 END AS \"{e}_{o:+d}\"")
-    return f"SELECT {K3}, ds, {', '.join(parts)} FROM series"
-
-
-@register("event_window_expand", O.sql(_event_sql(), "series"))
+@register("event_window_expand", O.sql(f"""
+    SELECT {K3}, ds, event, CAST(CAST(ds AS DATE) - day AS INTEGER) AS day_offset
+    FROM series JOIN (VALUES ('fair', DATE '2024-01-10', -1, 1), ('holiday', DATE '2024-01-20', 0, 1),
+                             ('fair', DATE '2024-01-24', -1, 1)) AS e(event, day, lo, up)
+      ON CAST(ds AS DATE) BETWEEN day + lo AND day + up""", "series"))
 def _events(spark, sf):
-    from ..operators.model import expand_event_rows
-    from ..sources.schema import SPECIAL_EVENTS
-    s = Pipeline(spark, sf).series
-    d = F.to_date("ds")
-    cols = [F.when(d.isin(*[F.lit(x) for x in days]), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{e}_{o:+d}")
-            for e, o, days in expand_event_rows(SPECIAL_EVENTS)]
-    return s.select("station", "product", "tank", "ds", *cols)
+    """The event terms that are on, hour by hour."""
+    import datetime as dt
+
+    from ..sources import fixtures as fx
+    from ..sources import schema as S
+    days = spark.createDataFrame([(e, dt.date.fromisoformat(d), lo, up) for e, d, lo, up in fx.TEST_EVENTS], S.CALENDAR)
+    on = md.event_window_expand(days)
+    s = Pipeline(spark, sf).series.select(*S.SERIES_KEY, "ds", F.to_date("ds").alias("date"))
+    return s.join(on, "date").select(*S.SERIES_KEY, "ds", "event", F.col("offset").alias("day_offset"))
 
 
 def _model_parts(spark, sf):
     from ..operators import model as md
-    from ..sources.schema import SPECIAL_EVENTS
+    from ..sources.fixtures import TEST_EVENTS
     p = Pipeline(spark, sf)
-    spec = md.ModelSpec(events=md.expand_event_rows(SPECIAL_EVENTS))
+    spec = md.ModelSpec(events=md.expand_event_rows(TEST_EVENTS))
     return p, md, spec
 
 
 def _features_sql() -> str:
     """M2 in SQL: the same feature layout as ``model.model_features``, long form."""
-    from ..sources.schema import SPECIAL_EVENTS
-    spec = md.ModelSpec(events=md.expand_event_rows(SPECIAL_EVENTS))
+    from ..sources.fixtures import TEST_EVENTS
+    spec = md.ModelSpec(events=md.expand_event_rows(TEST_EVENTS))
     t = "((epoch(h.ds) - epoch(c.t0)) / 3600.0 / c.span_h)"
     feats = [f"{t}", "1.0"]
     for j in range(1, md.N_CHANGEPOINTS + 1):
@@ -251,6 +293,31 @@ def _features(spark, sf):
     return rounded(f.select("station", "product", "tank", "ds", F.posexplode("x").alias("feature", "value")))
 
 
+def _training(spark, sf):
+    p, md_, spec = _model_parts(spark, sf)
+    train = md_.model_training_frame(p.history)
+    feats = md_.model_features(train, md_.series_scaling(train, spec), spec)
+    return p, spec, feats.select("station", "product", "tank", "x", (F.col("y") / F.col("y_scale")).alias("ys"))
+
+
+@register("model_gram", None)
+def _gram(spark, sf):
+    """X'X of each series, upper half in long form."""
+    _, spec, rows = _training(spark, sf)
+    k = len(spec.feature_names())
+    g = md.gram_by_series(rows, "x", "ys").select("station", "product", "tank", F.posexplode("xtx").alias("at", "value"))
+    i, j = F.floor(F.col("at") / k).cast("int"), (F.col("at") % k).cast("int")
+    return rounded(g.select("station", "product", "tank", i.alias("i"), j.alias("j"), "value").where("i <= j"))
+
+
+@register("model_fit_check", O.sql(
+    f"SELECT DISTINCT {K3}, true AS solved, true AS settled FROM history", "history"))
+def _fit_check(spark, sf):
+    p, spec, rows = _training(spark, sf)
+    coefs, _ = md.fit_model(p.history, spec)
+    return md.fit_check(md.gram_by_series(rows, "x", "ys"), coefs, spec.prior_scales())
+
+
 @register("model_fit", None)
 def _fit(spark, sf):
     p, md, spec = _model_parts(spark, sf)
@@ -272,7 +339,7 @@ register("model_seasonality_mode", None)(
     lambda spark, sf: Pipeline(spark, sf, model="multiplicative").comparison)
 
 # ---------------------------------------------------------------- scalar functions, filters, joins
-register("format_timestamps", O.sql(f"""
+@register("format_timestamps", O.sql(f"""
     SELECT {K3}, reading_id, strftime(ts, '%d.%m.%Y') AS date_text, strftime(ts, '%H') AS hour_text,
            strftime(ts, '%M') AS minute_text, strftime(ts, '%d.%m.%Y %H:%M') AS datetime_text
     FROM gauges""", "gauges"))
@@ -333,21 +400,18 @@ def _f_ym(spark, sf):
 
 @register("filter_between_dates", O.sql(
     f"SELECT {K3}, reading_id, ts FROM gauges "
-    "WHERE ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'", "gauges"))
+    "WHERE ts >= TIMESTAMP '2024-01-02' AND ts <= TIMESTAMP '2024-01-28'", "gauges"))
 def _f_between(spark, sf):
-    import datetime as dt
-
     from ..operators.outflow import between_dates
+    from ..sources.fixtures import TEST_BOUNDS
     g = Pipeline(spark, sf).gauges
-    return g.filter(between_dates(F.col("ts"), dt.date(2024, 1, 1), dt.date(2024, 1, 31))).select(
-        "station", "product", "tank", "reading_id", "ts")
+    return g.filter(between_dates(F.col("ts"), *TEST_BOUNDS)).select("station", "product", "tank", "reading_id", "ts")
 
 
 @register("receipts_right_join_shift", O.sql("""
-    SELECT rec.id, z.station, z.znum, z.shift_start, rec.start_ts
-    FROM receipts rec RIGHT JOIN shifts z
-      ON z.station = rec.station AND z.znum = rec.znum AND z.shift_start = rec.shift_start
-    WHERE year(z.shift_start) = 2024 AND month(z.shift_start) IN (1) AND rec.station IS NOT NULL""",
+    SELECT r.id, r.station, r.znum, r.shift_start, r.start_ts
+    FROM receipts r SEMI JOIN shifts s USING (station, znum, shift_start)
+    WHERE r.shift_start >= TIMESTAMP '2024-01-01' AND r.shift_start < TIMESTAMP '2024-02-01'""",
     "receipts", "shifts"))
 def _j1(spark, sf):
     from ..operators.outflow import receipts_with_shift
@@ -356,61 +420,50 @@ def _j1(spark, sf):
         "id", "station", "znum", "shift_start", "start_ts")
 
 
-@register("receipts_left_join_items", O.sql(f"""
-    SELECT rec.id, rec.station, item.product, item.tank, {O.r6('item.volume', 'volume')}
-    FROM receipts rec RIGHT JOIN shifts z
-      ON z.station = rec.station AND z.znum = rec.znum AND z.shift_start = rec.shift_start
-    LEFT JOIN items item ON item.receipt_id = rec.id
-    WHERE year(z.shift_start) = 2024 AND month(z.shift_start) IN (1) AND rec.station IS NOT NULL
-      AND item.prodtype = 0
-      AND (item.bruto <> 0 OR (item.volume <> 0 AND item.prodtype = 0 AND rec.station IN ({O._NET_ONLY})))""",
-    "receipts", "shifts", "items"))
+@register("receipts_left_join_items", O.sql(
+    f"SELECT id, station, product, tank, {O.r6('volume', 'volume')} FROM sold_items", "sold_items"))
 def _j2(spark, sf):
     from ..operators.outflow import receipts_with_shift, sales_filter
-    from ..sources.schema import NET_ONLY_STATIONS
+    from ..sources.fixtures import TEST_NET_ONLY
     p = Pipeline(spark, sf)
     rz = receipts_with_shift(p.receipts, p.shifts, year=2024, months=[1])
     j = rz.select("id", "station").join(p.items, F.col("id") == F.col("receipt_id"))
     j = j.filter(sales_filter(F.col("station"), F.col("prodtype"), F.col("bruto"), F.col("volume"),
-                              NET_ONLY_STATIONS))
+                              TEST_NET_ONLY))
     return rounded(j.select("id", "station", "product", "tank", "volume"))
 
 
 @register("lead_lag_readings", O.sql(f"""
-    SELECT {K3}, reading_id, vm1 AS next_volume, vm2 AS prev_volume,
-           lead(strftime(ts, '%d.%m.%Y %H:%M')) OVER w AS next_text,
-           lag(strftime(ts, '%d.%m.%Y %H:%M')) OVER w AS prev_text,
-           CAST(tr11 AS DOUBLE) AS next_minute_same, CAST(tr21 AS DOUBLE) AS prev_minute_same
-    FROM (SELECT *, lead(volume) OVER w AS vm1, lag(volume) OVER w AS vm2,
-                 lead(CAST(strftime(ts, '%M') AS INTEGER)) OVER m AS tr11,
-                 lag(CAST(strftime(ts, '%M') AS INTEGER)) OVER m AS tr21
-          FROM gauges
-          WINDOW w AS (PARTITION BY {K3} ORDER BY ts, reading_id),
-                 m AS (PARTITION BY strftime(ts, '%d.%m.%Y %H:%M'), {K3} ORDER BY ts, reading_id))
-    WINDOW w AS (PARTITION BY {K3} ORDER BY ts, reading_id)""", "gauges"))
+    SELECT x.station, x.product, x.tank, x.reading_id, a.volume AS next_volume, b.volume AS prev_volume,
+           strftime(a.ts, '%d.%m.%Y %H:%M') AS next_text, strftime(b.ts, '%d.%m.%Y %H:%M') AS prev_text,
+           CASE WHEN date_trunc('minute', a.ts) = date_trunc('minute', x.ts)
+                THEN CAST(minute(x.ts) AS DOUBLE) END AS next_minute_same,
+           CASE WHEN date_trunc('minute', b.ts) = date_trunc('minute', x.ts)
+                THEN CAST(minute(x.ts) AS DOUBLE) END AS prev_minute_same
+    FROM nr x LEFT JOIN nr a ON {O.keys_eq('a', 'x')} AND a.nr = x.nr + 1
+              LEFT JOIN nr b ON {O.keys_eq('b', 'x')} AND b.nr = x.nr - 1""", "nr",
+    overrides={"nr": (("gauges",), f"SELECT *, row_number() OVER (PARTITION BY {K3} ORDER BY ts, reading_id) AS nr FROM gauges")}))
 def _w123(spark, sf):
-    from pyspark.sql import Window
-
     from ..functions import timefmt as tf
     from ..operators.windows import segmented_lead_lag
-    g = Pipeline(spark, sf).gauges.withColumn("text", tf.format_datetime("ts"))
-    r = segmented_lead_lag(g, ["station", "product", "tank"], ["ts", "reading_id"], ["volume", "text"])
-    m = Window.partitionBy("station", "product", "tank", tf.truncate_minute("ts")).orderBy("ts", "reading_id")
-    mi = F.minute("ts")
-    return r.select("station", "product", "tank", "reading_id", F.col("next_volume"), F.col("prev_volume"),
-                    F.col("next_text"), F.col("prev_text"),
-                    F.lead(mi, 1).over(m).cast("double").alias("next_minute_same"),
-                    F.lag(mi, 1).over(m).cast("double").alias("prev_minute_same"))
+    g = Pipeline(spark, sf).gauges
+    r = segmented_lead_lag(g.withColumn("at", F.col("ts")), ["station", "product", "tank"], ["ts", "reading_id"], ["volume", "at"])
+    minute = tf.truncate_minute("ts")
+    # neighbours of one minute are neighbours of the series, so no second window is needed
+    same = lambda c: F.when(tf.truncate_minute(c) == minute, F.minute("ts").cast("double"))
+    return r.select("station", "product", "tank", "reading_id", "next_volume", "prev_volume",
+                    tf.format_datetime("next_at").alias("next_text"), tf.format_datetime("prev_at").alias("prev_text"),
+                    same("next_at").alias("next_minute_same"), same("prev_at").alias("prev_minute_same"))
 
 
 @register("rolling_mean", O.sql(f"""
     SELECT {K3}, ds, weekday, hour, {O.r6('quantity', 'quantity')},
            {O.r6('avg(quantity) OVER (PARTITION BY station, product, tank, weekday, hour ORDER BY ds '
-                 'ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 'rolling_mean')}
+                 'ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)', 'rolling_mean')}
     FROM history""", "history"))
 def _w4(spark, sf):
     from ..operators.baseline import rolling_baseline
-    return rounded(rolling_baseline(Pipeline(spark, sf).history, 7))
+    return rounded(rolling_baseline(Pipeline(spark, sf).history, 2))
 
 
 @register("last_n_per_cell", O.sql(
@@ -501,15 +554,38 @@ def _p1(spark, sf):
     return h.toDF(*_HEADERS.keys())
 
 
-@register("fuel_code_join", O.sql(f"""
-    SELECT DISTINCT h.station, h.product, h.tank, f.fuel_name FROM hourly h JOIN fuels f ON h.product = f.product""",
-    "hourly", "fuels", overrides=_FUELS_CTE))
+# Names as an order would give them: two products by name, one by a name that the list doesn't have.
+_NAMED = {**_FUELS_CTE, "named": (("hourly",), f"""
+    SELECT {K3}, CASE product WHEN 3300000000 THEN 'Аи-80' WHEN 3300000002 THEN 'Аи-92' WHEN 3300000005 THEN 'Аи-95'
+                 WHEN 3300000008 THEN 'no such fuel' END AS fuel_name FROM hourly""")}
+
+
+def _named(spark, sf):
+    h = Pipeline(spark, sf).hourly_plan
+    p = F.col("product")
+    name = (F.when(p == 3300000000, "Аи-80").when(p == 3300000002, "Аи-92").when(p == 3300000005, "Аи-95")
+            .when(p == 3300000008, "no such fuel"))
+    return h.select("station", "tank", name.alias("fuel_name"))
+
+
+@register("fuel_code_join", O.sql("""
+    SELECT n.station, n.tank, n.fuel_name, f.product, CAST(count(*) AS BIGINT) AS row_count
+    FROM named n JOIN fuels f ON n.fuel_name = f.fuel_name GROUP BY ALL""", "named", "fuels", overrides=_NAMED))
 def _j11(spark, sf):
     from ..operators.quality import fuel_code_join
     from ..sources import fixtures as fx
-    p = Pipeline(spark, sf)
-    known, _ = fuel_code_join(p.hourly.select("station", "product", "tank"), fx.fuels(spark))
-    return known.select("station", "product", "tank", "fuel_name").distinct()
+    known, _ = fuel_code_join(_named(spark, sf), fx.fuels(spark))
+    return known.groupBy("station", "tank", "fuel_name", "product").agg(F.count("*").alias("row_count"))
+
+
+@register("fuel_code_rejects", O.sql("""
+    SELECT n.station, n.tank, n.fuel_name, CAST(count(*) AS BIGINT) AS row_count
+    FROM named n ANTI JOIN fuels f ON n.fuel_name = f.fuel_name GROUP BY ALL""", "named", "fuels", overrides=_NAMED))
+def _j11_rejects(spark, sf):
+    from ..operators.quality import fuel_code_join
+    from ..sources import fixtures as fx
+    _, unknown = fuel_code_join(_named(spark, sf), fx.fuels(spark))
+    return unknown.groupBy("station", "tank", "fuel_name").agg(F.count("*").alias("row_count"))
 
 
 # ---------------------------------------------------------------- J8 / J10 / O3 on their own
@@ -575,6 +651,14 @@ REGISTRY["model_features"] = (REGISTRY["model_features"][0],
                               _features_sql().strip()[len("WITH "):])
 
 
+_gram_features = REGISTRY["model_features"][1]
+_at = _gram_features.rindex("SELECT station, product, tank, ds, CAST(unnest")
+REGISTRY["model_gram"] = (REGISTRY["model_gram"][0], _gram_features[:_at].rstrip() + f""",
+    idx AS (SELECT CAST(unnest(range(0, (SELECT max(len(x)) FROM f))) AS INTEGER) AS i)
+    SELECT {K3}, a.i, b.i AS j, round(sum(f.x[a.i + 1] * f.x[b.i + 1]), 6) + 0.0 AS value
+    FROM f, idx a, idx b WHERE a.i <= b.i GROUP BY {K3}, a.i, b.i""")
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -21,7 +21,6 @@ from ..operators import outflow as of
 from ..operators import series as se
 from ..sources import fixtures as fx
 from ..session import cut_lineage
-from ..sources.schema import NET_ONLY_STATIONS, SPECIAL_EVENTS
 
 
 class Pipeline:
@@ -29,7 +28,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, sf_dir: str, *, year: int = fx.TEST_YEAR,
                  months=fx.TEST_MONTHS, bounds: tuple[dt.date, dt.date] = fx.TEST_BOUNDS,
-                 stations=None, net_only_stations=NET_ONLY_STATIONS, rollover: str = "all",
+                 stations=None, net_only_stations=fx.TEST_NET_ONLY, rollover: str = "all",
                  model: str | None = None, source: str = "extract", **scenario):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -100,7 +99,8 @@ class Pipeline:
     # -- config and C3 ----------------------------------------------------
     @cached_property
     def cfg(self) -> DataFrame:
-        return fx.make_config(self.hourly, **self.scenario)
+        """One row per series, written once: every stage joins it."""
+        return cut_lineage(fx.make_config(self.hourly, **self.scenario))
 
     @cached_property
     def series(self) -> DataFrame:
@@ -125,7 +125,7 @@ class Pipeline:
         if self.model_kind is None:
             return None
         from ..operators import model as md
-        return md.fit_predict(self.history, calendar=SPECIAL_EVENTS, mode=self.model_kind)
+        return md.fit_predict(self.history, calendar=fx.TEST_EVENTS, mode=self.model_kind)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -140,6 +140,10 @@ class Pipeline:
     def extension(self) -> DataFrame:
         return dp.extend_to_dead_stock(self.level, self.baseline, self.cfg)
 
+    @cached_property
+    def crossing(self) -> DataFrame:
+        return dp.crossing(self.level, self.baseline, self.cfg)
+
     @cached_property
     def depletion(self) -> DataFrame:
         return dp.depletion_forecast(self.forecast, self.baseline, self.cfg)
@@ -157,12 +161,7 @@ class Pipeline:
     def mean_accuracy(self) -> DataFrame:
         return ev.mean_accuracy(self.comparison, self.cfg)
 
-    # -- C8, O4 -------------------------------------------------------------
-    @cached_property
-    def quality(self) -> DataFrame:
-        from ..operators import quality as qu
-        return qu.quality_report(self.source_plan, fx.fuels(self.spark))
-
+    # -- O4 -----------------------------------------------------------------
     @cached_property
     def chart_feed(self) -> DataFrame:
         from ..operators import feeds

@@ -75,14 +75,17 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the session; only when it is unset (tests, local runs) do we
-    pick a scratch folder of our own.
+    Read from the session. Only a session whose executors are threads of this
+    process (tests, local runs) gets a scratch folder of its own when it is
+    unset; any other raises, since executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="tankflow-ckpt-")
         sc.setCheckpointDir(current)
     return current
@@ -104,16 +107,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
-
-    Used for dimension tables whose size is fixed by the caller (fuel list,
-    event calendar, per-series configuration). Beyond the bound the frame is
-    returned as is and Catalyst/AQE choose a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

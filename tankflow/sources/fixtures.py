@@ -41,9 +41,23 @@ TEST_SCENARIO = dict(
     score_from=dt.datetime(2024, 1, 25),
     score_to=dt.datetime(2024, 1, 26),
 )
+# What differs from TEST_SCENARIO in some series: (SQL condition on the key, parameters); later ones win.
+SERIES_SCENARIOS = (
+    ("station = 'S1'", dict(window=2, w_base=0.5, w_model=0.4, cutoff=dt.datetime(2024, 1, 24))),
+    ("station = 'S2'", dict(window=3, end=dt.datetime(2024, 1, 26, 23, 59, 59), initial=250.0)),
+    ("station = 'S3' AND product = 3300000005", dict(score_from=dt.datetime(2024, 1, 25, 6))),
+    # never reaches dead stock: its extension ends at the cap
+    ("station = 'S0' AND product = 3300000000", dict(dead_stock=-1e9)),
+)
+# Series that no configuration names: they are left out of every forecast.
+UNCONFIGURED = "station = 'S3' AND product = 3300000010"
 TEST_YEAR = 2024
 TEST_MONTHS = (1,)
-TEST_BOUNDS = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+TEST_BOUNDS = (dt.date(2024, 1, 2), dt.date(2024, 1, 28))
+# Days inside the test month, for the event terms: (event, day, lower, upper).
+TEST_EVENTS = [("fair", "2024-01-10", -1, 1), ("holiday", "2024-01-20", 0, 1), ("fair", "2024-01-24", -1, 1)]
+# Besides the fixed list one station of the test data counts as net-only.
+TEST_NET_ONLY = (*S.NET_ONLY_STATIONS, "S2")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -88,7 +102,10 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return receipts(spark, sf_dir).select("station", "znum", "shift_start").distinct()
+    """Shift reports: none for shift 9 (its receipts match nothing), and an empty shift 99 each day."""
+    seen = receipts(spark, sf_dir).select("station", "znum", "shift_start").distinct()
+    empty = seen.filter("znum = 0").withColumn("znum", F.lit(99).cast("bigint"))
+    return seen.filter("znum <> 9").unionByName(empty)
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +116,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(PRODUCT_BASE) + F.element_at(offsets, (li.l_suppkey % 5 + 1).cast("int"))).cast("bigint").alias("product"),
         F.lit(1).cast("int").alias("tank"),
         F.when(li.l_returnflag == "R", 1).otherwise(0).cast("int").alias("prodtype"),
-        li.l_extendedprice.alias("bruto"),
-        li.l_quantity.alias("volume"),
+        F.when(li.l_linenumber == 5, 0.0).otherwise(li.l_extendedprice).alias("bruto"),
+        F.when((li.l_linenumber == 5) & (li.l_quantity > 40), 0.0).otherwise(li.l_quantity).alias("volume"),
     )
 
 
@@ -145,13 +162,16 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 
 def make_config(series: DataFrame, **params) -> DataFrame:
-    """One config row per distinct series of ``series`` with the given constants."""
-    p = dict(TEST_SCENARIO)
-    p.update(params)
-    keys = series.select(*S.SERIES_KEY).distinct()
+    """One config row per distinct series of ``series`` but the unconfigured ones: the scenario's values,
+    what differs for the series, and ``params`` over both."""
+    keys = series.select(*S.SERIES_KEY).distinct().filter(~F.expr(UNCONFIGURED))
     cols = {}
     for f in S.CONFIG.fields:
         if f.name in S.SERIES_KEY:
             continue
-        cols[f.name] = F.lit(p[f.name]).cast(f.dataType)
+        value = F.lit(TEST_SCENARIO[f.name])
+        for condition, own in SERIES_SCENARIOS:
+            if f.name in own:
+                value = F.when(F.expr(condition), F.lit(own[f.name])).otherwise(value)
+        cols[f.name] = (F.lit(params[f.name]) if f.name in params else value).cast(f.dataType)
     return keys.withColumns(cols).select(*S.CONFIG.fieldNames())

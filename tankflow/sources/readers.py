@@ -27,10 +27,15 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
     """The hourly extract CSV (original headers) -> canonical columns.
 
     The schema is declared, applied by position, so an empty file still has
-    the right columns and types (S4).
+    the right columns and types (S4). A row that does not fit it keeps what could be
+    read and its whole text in ``corrupt_record`` (null elsewhere), so that the series
+    reject it and the quality report counts it.
     """
-    return (spark.read.schema(S.HOURLY).option("header", True).option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").csv(path))
+    # the reader's own name for that column: only with it are all cells parsed whatever the query selects, so
+    # what counts as corrupt does not depend on the query
+    schema = T.StructType([*S.HOURLY.fields, T.StructField("_corrupt_record", T.StringType())])
+    return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
+            .option("mode", "PERMISSIVE").csv(path).withColumnRenamed("_corrupt_record", "corrupt_record"))
 
 
 def empty_hourly(spark: SparkSession) -> DataFrame:
@@ -47,7 +52,8 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, *, table:
     ``fetchsize`` streams rows the way a server-side cursor does. Large
     tables should be read by ``table`` with a numeric or date
     ``partition_column`` so that executors read ranges in parallel; filters
-    applied afterwards are pushed into the database's WHERE clause.
+    applied afterwards are pushed into the database's WHERE clause. A query with a
+    ``partition_column`` is read the same way, as a derived table.
     """
     r = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetchsize))
     for k, v in (properties or {}).items():
@@ -55,7 +61,9 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, *, table:
     if query is not None:
         if table is not None:
             raise ValueError("give either query or table")
-        return r.option("query", query).load()
+        if partition_column is None:
+            return r.option("query", query).load()
+        table = f"({query}) q"
     if table is None:
         raise ValueError("query or table is required")
     r = r.option("dbtable", table)
@@ -65,14 +73,20 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, *, table:
     return r.load()
 
 
-def read_orders(spark: SparkSession, url: str, table: str, *, station=None, product=None, tank=None,
+def read_orders(spark: SparkSession, url: str, table: str, *, station=None, product=None, tank=None, fuel: str | None = None,
                 properties: dict | None = None, **jdbc) -> DataFrame:
     """S3: the parameterised read of hourly orders (station, fuel code, tank).
 
     Parameters become DataFrame filters, which Spark pushes into the JDBC
     query; the projection is the database script's (day truncated, volume
-    null -> 0 happens in ``series.orders_as_hourly``).
+    null -> 0 happens in ``series.orders_as_hourly``). ``fuel`` names the product; a name
+    that the fuel list does not have raises.
     """
+    if fuel is not None:
+        codes = dict(S.FUEL_CODES)
+        if fuel not in codes:
+            raise ValueError(f"unknown fuel {fuel!r}")
+        product = codes[fuel]
     df = read_jdbc(spark, url, table=table, properties=properties, **jdbc)
     df = df.select(*[F.col(src).alias(dst) for src, dst in ORDERS_SOURCE_COLUMNS.items()])
     if station is not None:
@@ -97,17 +111,22 @@ def with_original_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(back[c]) for c in back if c in df.columns])
 
 
-def write_extract_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The hourly extract as UTF-8 CSV with the original headers."""
+def write_extract_csv(df: DataFrame, path: str, mode: str = "overwrite", pairs: bool = False) -> None:
+    """The hourly extract as UTF-8 CSV with the original headers; ``pairs`` adds the number of
+    source rows that each row stands for."""
     out = with_original_headers(df, S.HOURLY_HEADERS)
+    if pairs:
+        out = with_original_headers(df, {**S.HOURLY_HEADERS, "pairs": "pairs"})
     out.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
 
 
 def write_comparison(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """(ds, yhat, quantity, accuracy) per series, partitioned by station
-    (and product, tank) so each tank's file is separate."""
-    out = df.select("station", "product", "tank", "ds", "yhat", "quantity", "accuracy")
-    w = out.write.mode(mode).partitionBy("station", "product", "tank")
+    """(ds, yhat, quantity, accuracy) per series with the original headers, partitioned by
+    station (and product, tank) so each tank's file is separate; rows are dealt out by tank first,
+    so that a tank gets one file."""
+    keys = ["station", "product", "tank"]
+    out = with_original_headers(df, {**S.COMPARISON_HEADERS, **{k: k for k in keys}}).repartition(*keys)
+    w = out.write.mode(mode).partitionBy(*keys)
     if fmt == "csv":
         w.option("header", True).option("encoding", "UTF-8").csv(path)
     else:

@@ -64,7 +64,21 @@ def test_bad_date_and_null_quantity(spark):
     assert s == 0
     from tankflow.operators.quality import quality_report
     rep = {r.finding: r.row_count for r in quality_report(h, fx.fuels(spark)).collect()}
-    assert rep == {"empty_input": 0, "unparseable_date": 1, "null_quantity": 1, "unknown_fuel": 0}
+    assert rep == {"empty_input": 0, "unparseable_date": 1, "null_hour": 0, "corrupt_row": 0, "null_quantity": 1,
+                   "unknown_fuel": 0}
+
+
+def test_no_row_is_lost_silently(spark):
+    """Each input row is either in the parsed rows or among the rejected ones, with a reason."""
+    from tankflow.operators.quality import quality_report
+    h = hourly_df(spark, [("xx.01.2024", 3, 1.0), ("02.01.2024", None, 2.0), ("02.01.2024", 3, 4.0), (None, None, 5.0)])
+    assert se.parse_hourly(h).count() == 1
+    assert sorted((r.reason, r.quantity) for r in se.rejected_rows(h).collect()) == [
+        ("bad_date", 1.0), ("bad_date", 5.0), ("null_hour", 2.0)]
+    rep = {r.finding: r.row_count for r in quality_report(h).collect()}
+    assert rep["unparseable_date"] == 2 and rep["null_hour"] == 1
+    with pytest.raises(Exception):
+        se.clean_hourly_series(h, lenient=False).count()
 
 
 def test_empty_input_flows_through(spark):
@@ -116,12 +130,17 @@ def loop_extension(last_ds, last_level, dead, profile, cap=1000):
     return out
 
 
-@pytest.mark.parametrize("seed,initial,dead", [(1, 500.0, 50.0), (2, 40.0, 50.0), (3, 900.0, 100.0), (4, 300.0, 0.0)])
+@pytest.mark.parametrize("seed,initial,dead", [(1, 500.0, 50.0), (2, 40.0, 50.0), (3, 900.0, 100.0), (4, 300.0, 0.0),
+                                               (5, 500.0, 50.0), (6, 500.0, 50.0)])
 def test_extension_equals_loop(spark, seed, initial, dead):
     rnd = random.Random(seed)
     profile = {(w, h): rnd.uniform(-3, 9) for w in range(7) for h in range(24)}
     if seed == 4:
         profile = {k: 0.0 for k in profile}      # zero profile: hits the 1000-step cap
+    if seed == 5:                                # sales and returns that cancel but for rounding
+        profile = {(0, 0): 0.1, (0, 1): 0.2, (0, 2): -0.3}
+    if seed == 6:
+        profile = {(0, 0): 1e-17}
     base = spark.createDataFrame([KEY + (w, h, v) for (w, h), v in profile.items()],
                                  "station string, product long, tank int, weekday int, hour int, baseline double")
     last = dt.datetime(2024, 1, 27, 23)
@@ -134,8 +153,20 @@ def test_extension_equals_loop(spark, seed, initial, dead):
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert g[0] == w[0] and g[1] == pytest.approx(w[1]) and g[2] == pytest.approx(w[2])
-    if seed == 4:
+    if seed >= 4:
         assert len(got) == 1000
+    assert {r.capped for r in dp.extend_to_dead_stock(level, base, cfg).collect()} <= {len(want) == 1000 and want[-1][2] > dead}
+
+
+def test_crossing_beyond_the_cap(spark):
+    base = spark.createDataFrame([KEY + (w, h, 0.25) for w in range(7) for h in range(24)],
+                                 "station string, product long, tank int, weekday int, hour int, baseline double")
+    last = dt.datetime(2024, 1, 27, 23)
+    level = spark.createDataFrame([KEY + (last, 1.0, 1000.0)],
+                                  "station string, product long, tank int, ds timestamp_ntz, yhat double, level double")
+    r = dp.crossing(level, base, cfg_df(spark, dead_stock=50.0)).first()
+    assert r.cross_step == 3800 and r.capped
+    assert not dp.crossing(level, base, cfg_df(spark, dead_stock=900.0)).first().capped
 
 
 @pytest.mark.parametrize("actual,forecast,expect", [

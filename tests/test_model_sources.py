@@ -1,6 +1,8 @@
 """Model recovery, segmented LEAD/LAG, CSV and JDBC sources."""
 
 import datetime as dt
+
+import pytest
 import math
 import random
 
@@ -69,12 +71,42 @@ def test_csv_roundtrip_and_empty(spark, tmp_path):
     rd.write_extract_csv(df, p)
     header = open([f for f in __import__("glob").glob(p + "/*.csv")][0], encoding="utf-8").readline().strip()
     assert header.split(",") == list(S.HOURLY_HEADERS)
-    back = rd.read_hourly_csv(spark, p)
+    back = rd.read_hourly_csv(spark, p).drop("corrupt_record")
     assert sorted(back.collect(), key=lambda r: r.hour) == sorted(df.collect(), key=lambda r: r.hour)
     e = str(tmp_path / "empty.csv")
     open(e, "w", encoding="utf-8").write(",".join(S.HOURLY_HEADERS) + "\n")
     em = rd.read_hourly_csv(spark, e)
-    assert em.count() == 0 and em.schema == S.HOURLY
+    assert em.count() == 0 and em.drop("corrupt_record").schema == S.HOURLY
+
+
+def test_corrupt_csv_rows_are_kept_and_counted(spark, tmp_path):
+    from tankflow.operators import series as se
+    from tankflow.operators.quality import quality_report
+    p = str(tmp_path / "bad.csv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(",".join(S.HOURLY_HEADERS) + "\nA1,3300000010,4,16.09.2024,17,1.5\nA1,x,4,16.09.2024,18,2.5\n")
+    h = rd.read_hourly_csv(spark, p)
+    assert se.parse_hourly(h).count() == 1
+    assert [r.reason for r in se.rejected_rows(h).collect()] == ["corrupt_row"]
+    assert {r.finding: r.row_count for r in quality_report(h).collect()}["corrupt_row"] == 1
+
+
+def test_extract_csv_with_pairs(spark, tmp_path):
+    df = spark.createDataFrame([("A100", 3300000010, 4, "16.09.2024", 17, 6.5, 3)],
+                               "station string, product long, tank int, date string, hour int, quantity double, pairs long")
+    p = str(tmp_path / "pairs")
+    rd.write_extract_csv(df, p, pairs=True)
+    lines = [x for f in __import__("glob").glob(p + "/*.csv") for x in open(f, encoding="utf-8")]
+    assert lines[0].strip().endswith(",pairs") and lines[1].strip().endswith(",3")
+
+
+def test_checkpoint_folder_must_be_shared():
+    from types import SimpleNamespace
+
+    from tankflow.session import checkpoint_dir
+    sc = SimpleNamespace(master="spark://somewhere:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))
 
 
 def test_comparison_sink(spark, tmp_path):
@@ -83,6 +115,8 @@ def test_comparison_sink(spark, tmp_path):
                                      "quantity double, accuracy double")
     p = str(tmp_path / "cmp")
     rd.write_comparison(df, p)
+    files = __import__("glob").glob(p + "/**/*.csv", recursive=True)
+    assert len(files) == 1 and open(files[0], encoding="utf-8").readline().strip() == ",".join(S.COMPARISON_HEADERS)
     back = rd.read_comparison(spark, p).collect()
     assert len(back) == 1 and back[0].yhat == 628.32 and back[0].station == "A100"
 
