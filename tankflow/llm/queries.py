@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from tankflow.llm import hostrules, language, pieces, pii, simhash, suffixes, tokenfiles, toxicity, urlrules, winnowing
 from tankflow.llm.common import prepare, table
+from tankflow.llm.sql import ORACLE  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def register(name: str):
@@ -62,7 +62,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_host_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word statistics, base verdict and host verdict of every document."""
-    return hostrules.judge(table(spark, sf_dir, "documents")).drop("host")
+    found = hostrules.judge(table(spark, sf_dir, "documents"))
+    return found.drop("host").withColumn("host_rate", F.round("host_rate", 9))
 
 
 @register("op6_language")
