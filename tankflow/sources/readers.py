@@ -31,11 +31,15 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
     read and its whole text in ``corrupt_record`` (null elsewhere), so that the series
     reject it and the quality report counts it.
     """
-    # the reader's own name for that column: only with it are all cells parsed whatever the query selects, so
-    # what counts as corrupt does not depend on the query
-    schema = T.StructType([*S.HOURLY.fields, T.StructField("_corrupt_record", T.StringType())])
-    return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").csv(path).withColumnRenamed("_corrupt_record", "corrupt_record"))
+    # read as text and cast here: the reader only notices bad cells of columns that the query selects
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in S.HOURLY.fields])
+    raw = spark.read.schema(text).option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path)
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in S.HOURLY.fields}
+    bad = F.lit(False)
+    for name, value in cast.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in S.HOURLY.fields])
+    return raw.select(*[c.alias(n) for n, c in cast.items()], F.when(bad, line).alias("corrupt_record"))
 
 
 def empty_hourly(spark: SparkSession) -> DataFrame:
