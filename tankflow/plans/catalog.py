@@ -234,12 +234,9 @@ register("model_future_frame", O.sql(f"""
       ON CAST(ds AS DATE) BETWEEN day + lo AND day + up""", "series"))
 def _events(spark, sf):
     """The event terms that are on, hour by hour."""
-    import datetime as dt
-
     from ..sources import fixtures as fx
     from ..sources import schema as S
-    days = spark.createDataFrame([(e, dt.date.fromisoformat(d), lo, up) for e, d, lo, up in fx.TEST_EVENTS], S.CALENDAR)
-    on = md.event_window_expand(days)
+    on = md.event_window_expand(fx.calendar(spark))
     s = Pipeline(spark, sf).series.select(*S.SERIES_KEY, "ds", F.to_date("ds").alias("date"))
     return s.join(on, "date").select(*S.SERIES_KEY, "ds", "event", F.col("offset").alias("day_offset"))
 

@@ -156,8 +156,9 @@ def fuels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(S.FUEL_CODES, S.FUELS)
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    rows = [(e, dt.date.fromisoformat(d), lo, up) for e, d, lo, up in S.SPECIAL_EVENTS]
+def calendar(spark: SparkSession, events=TEST_EVENTS) -> DataFrame:
+    """The event calendar (``schema.SPECIAL_EVENTS`` has the scripts' own days)."""
+    rows = [(e, dt.date.fromisoformat(d), lo, up) for e, d, lo, up in events]
     return spark.createDataFrame(rows, S.CALENDAR)
 
 
