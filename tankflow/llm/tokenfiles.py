@@ -38,7 +38,6 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tankflow.llm.common import id_and_text
 from tankflow.session import checkpoint_dir
@@ -164,18 +163,20 @@ def _with_ids(shard, folder: str):
         task = TaskContext.get()
         store, at = open_store(folder)
         name, attempt = f"docs-{task.partitionId():05d}.arrow", f"_{task.taskAttemptId()}"
-        sink = None
 
         def seen():
-            nonlocal sink
+            stream = sink = None
             for b in batches:
                 if b.num_rows:
                     ids = pa.RecordBatch.from_arrays([b.column(1)], ["doc_id"])
-                    sink = sink or pa.ipc.new_file(store.open_output_stream(f"{at}/{attempt}-{name}"), ids.schema)
+                    if sink is None:
+                        stream = store.open_output_stream(f"{at}/{attempt}-{name}")
+                        sink = pa.ipc.new_file(stream, ids.schema)
                     sink.write_batch(ids)
                     yield b
-            if sink:
+            if sink is not None:
                 sink.close()
+                stream.close()
                 store.move(f"{at}/{attempt}-{name}", f"{at}/{name}")
 
         yield from shard(seen())
