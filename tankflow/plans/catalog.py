@@ -68,6 +68,55 @@ def _bounds(spark, sf):
                     F.hour("hour_ts").alias("hour"), "max_minute", "min_minute")
 
 
+@register("hour_edge_readings", O.sql(
+    f"SELECT {K3}, CAST(hour_ts AS TIMESTAMP) AS hour_ts, edge, {O.r6('value', 'value')} FROM edge_readings", "edge_readings"))
+def _edges(spark, sf):
+    """The values that stand for an hour's first and last minute."""
+    from ..operators import outflow as of
+    p = Pipeline(spark, sf)
+    v = of.boundary_values(p.gauges, year=p.year, months=p.months, start=p.bounds[0], end=p.bounds[1])
+    return rounded(v.select("station", "product", "tank", "hour_ts",
+                            F.when(F.col("is_b"), "last").otherwise("first").alias("edge"), "value"))
+
+
+# ---------------------------------------------------------------- S1, S5, S6: written, then read again
+def _new_folder(spark, name: str) -> str:
+    """A folder of its own under the checkpoint folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("scan_hourly_csv", O.sql(
+    f"SELECT {K3}, date, hour, {O.r6('quantity', 'quantity')} FROM hourly", "hourly"))
+def _s1(spark, sf):
+    from ..sources import readers as rd
+    path = _new_folder(spark, "extract-csv")
+    rd.write_extract_csv(Pipeline(spark, sf).hourly_plan, path)
+    return rounded(rd.read_hourly_csv(spark, path).where("corrupt_record IS NULL").drop("corrupt_record"))
+
+
+@register("sink_extract_csv", O.sql(
+    f"SELECT {K3}, date, hour, {O.r6('quantity', 'quantity')}, pairs FROM hourly", "hourly"))
+def _s5(spark, sf):
+    from ..sources import readers as rd
+    path = _new_folder(spark, "extract-csv")
+    rd.write_extract_csv(Pipeline(spark, sf).hourly_plan, path, pairs=True)
+    kinds = "station string, product long, tank int, date string, hour int, quantity double, pairs long"
+    return rounded(spark.read.schema(kinds).option("header", True).csv(path))
+
+
+@register("sink_comparison_csv", O.sql(
+    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('quantity', 'quantity')}, "
+    f"{O.r6('accuracy', 'accuracy')} FROM scored", "scored"))
+def _s6(spark, sf):
+    from ..sources import readers as rd
+    path = _new_folder(spark, "comparison-csv")
+    rd.write_comparison(Pipeline(spark, sf).comparison, path)
+    return rounded(rd.read_comparison(spark, path))
+
+
 # ---------------------------------------------------------------- C3 and splits
 register("clean_hourly_series", O.sql(
     f"SELECT {K3}, ds, {O.r6('quantity', 'quantity')}, weekday, hour FROM series", "series"))(
