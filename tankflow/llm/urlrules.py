@@ -78,9 +78,10 @@ def mine(cut: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, mi
                        .select("bad", F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BAD))))
                                .otherwise(F.col("tokens")).alias("items")))
     total = rows.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
-    none = cut.sparkSession.createDataFrame([], "rule_id long, items array<string>, pages long, bad long, confidence double")
     if not total.bad:
-        return none
+        number = F.lit(0).cast("long")
+        return cut.limit(0).select(number.alias("rule_id"), F.col("tokens").alias("items"), number.alias("pages"),
+                                   number.alias("bad"), F.lit(0.0).alias("confidence"))
     least = max(min_pages, -(-total.n * min_support // 1))
     sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total.n).fit(rows).freqItemsets
     sets = materialise(sets.where(F.size(F.array_remove("items", BAD)) <= MAX_ITEMS)
