@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tankflow.llm import hostrules, urlrules, winnowing
+from tankflow.llm import hostrules, suffixes, urlrules, winnowing
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -118,4 +118,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE = {"op2_url_filters": URL_FILTERS, "op5_host_rules": HOST_RULES, "op9_decontamination": DECONTAMINATION}
+SUFFIX_DEDUP = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (
+    SELECT r, i, md5(substr(h, 2 * i + 1, {2 * suffixes.LENGTH})) AS k
+    FROM (SELECT r, h, unnest(range(0, length(h) // 2 - {suffixes.LENGTH - 1})) AS i FROM doc WHERE length(h) >= {2 * suffixes.LENGTH})),
+again AS (SELECT r, i FROM place QUALIFY count(*) OVER (PARTITION BY k) > 1),
+step AS (
+    SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {suffixes.LENGTH} THEN 0 ELSE 1 END AS fresh FROM again),
+run AS (
+    SELECT r, min(i) AS lo, max(i) + {suffixes.LENGTH} AS hi
+    FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS nr FROM step) GROUP BY r, nr),
+gap AS (
+    SELECT r, lo, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS since FROM run),
+kept AS (
+    SELECT gap.r, string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS front
+    FROM gap JOIN doc USING (r) GROUP BY gap.r),
+total AS (SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last FROM run GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN total USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLE = {"op8_suffix_dedup": SUFFIX_DEDUP, "op2_url_filters": URL_FILTERS, "op5_host_rules": HOST_RULES, "op9_decontamination": DECONTAMINATION}
