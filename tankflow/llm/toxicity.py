@@ -42,7 +42,9 @@ GRADES = 3
 REJECT = 0.25
 BEGINNINGS = (4, 5, 6)
 #: Words that a worker remembers; past this its memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+#: Features that a task counts before it sends its counts on.
+COUNTED = 150_000
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -133,20 +135,21 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
 def choose_features(rows: DataFrame) -> tuple[list[str], int]:
     """The features that stand out in toxic rows, and how many rows are toxic."""
     def count(batches):
-        n, t, seen = Counter(), Counter(), [0, 0]
+        n, t = Counter(), Counter()  # the empty feature counts rows
+
+        def counted(some):
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([n[x] for x in some], pa.int64()),
+                                               pa.array([t[x] for x in some], pa.int64())], ["feature", "clean", "toxic"])
+
         for b in batches:
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = set(_WORDS(text.lower()))
-                found = {f for w in words for f in word_features(w)}
-                seen[bool(toxic)] += 1
-                (t if toxic else n).update(found)
-        keys = list(n.keys() | t.keys())
-        for i in range(0, len(keys), 50_000):
-            some = keys[i:i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([n[x] for x in some], pa.int64()),
-                                              pa.array([t[x] for x in some], pa.int64())], ["feature", "clean", "toxic"])
-        yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array(seen[:1], pa.int64()), pa.array(seen[1:], pa.int64())],
-                                         ["feature", "clean", "toxic"])
+                (t if toxic else n).update({f for w in words for f in word_features(w)} | {""})
+            if len(n) + len(t) > COUNTED:  # Spark adds up what a task sends in parts
+                yield counted(list(n.keys() | t.keys()))
+                n.clear()
+                t.clear()
+        yield counted(list(n.keys() | t.keys()))
 
     counts = (rows.select("toxic", "text").mapInArrow(count, "feature string, clean long, toxic long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
