@@ -47,37 +47,93 @@ REMEMBERED = 200_000
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 2_000_000
 
+#: New words that the library gets in one text.
+JOINED = 5_000
+
+_LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
+# letters and signs apart where neither side can join the other: signs without the apostrophe (contractions) and
+# those that have composed forms; a piece with anything else stays whole
+_PARTS = re.compile(f"[{_LETTERS}]+(?=[.,!?$%&*#;:]|\\Z)|[.,!?$%&*#;:]+(?=[{_LETTERS}]|\\Z)|.+", re.S).findall
+
 _encoders: dict[tuple[int, int], "Encoder"] = {}
 
 
+class _Memory:
+    """Bytes of the ids of pieces met lately, in two generations."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def new(self, seen: set[str]) -> list[str]:
+        """The pieces of ``seen`` that are not known; the others are in ``young`` from here on."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        out = []
+        for w in seen.difference(self.young):
+            if w in self.old:
+                self.young[w] = self.old[w]
+            else:
+                out.append(w)
+        return out
+
+
 class Encoder:
-    """Ids of texts as bytes of ``width`` each, with a memory of pieces between white space."""
+    """Ids of texts as bytes of ``width`` each.
+
+    A text is cut at spaces and line ends into pieces. A new piece is cut further between letters and
+    signs, where the tokenizer's own pattern cuts too. Words of plain letters (ASCII and precomposed
+    Latin, which normalisation leaves alone but for the case) are one unit of that pattern, so new ones
+    are encoded by the library in one joined text and parted at the ids that end a word; all else goes to the
+    library piece by piece.
+    """
 
     def __init__(self, tokenizer: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_str(tokenizer)
         self.kind = np.dtype(f"<u{width}")
-        self.memory: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        vocabulary = self.lib.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.pieces, self.words = _Memory(), _Memory()
+
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, new: list[str]) -> None:
+        plain = [w for w in new if _PLAIN(w)]
+        known = self.words.young
+        for i in range(0, len(plain), JOINED):
+            some = plain[i:i + JOINED]
+            ids = np.array(self.lib.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(some):  # a vocabulary without word ends
+                known.update(zip(some, self._bytes(some)))
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(some, (cut * self.kind.itemsize).tolist()):
+                known[w] = raw[at:end]
+                at = end
+        other = [w for w in new if not _PLAIN(w)]
+        known.update(zip(other, self._bytes(other)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         seen: set[str] = set()
         for c in cut:
             seen.update(c)
-        if len(self.memory) > REMEMBERED:
-            self.memory, self.older = {"": b""}, self.memory
-        new = []
-        for w in seen.difference(self.memory):
-            if w in self.older:
-                self.memory[w] = self.older[w]
-            else:
-                new.append(w)
+        new = self.pieces.new(seen)
         if new:
-            for w, e in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False)):
-                self.memory[w] = np.array(e.ids, self.kind).tobytes()
-        get = self.memory.__getitem__
+            parts = [_PARTS(w.lower() if w.isascii() and "<" not in w else w) for w in new]
+            met: set[str] = set()
+            for p in parts:
+                met.update(p)
+            self._learn_words(self.words.new(met))
+            get = self.words.young.__getitem__
+            self.pieces.young.update(zip(new, [b"".join(map(get, p)) for p in parts]))
+        get = self.pieces.young.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 
