@@ -43,7 +43,7 @@ from tankflow.llm.common import id_and_text
 from tankflow.session import checkpoint_dir
 
 #: Pieces of text that a worker remembers at once; past this it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 2_000_000
 
@@ -66,18 +66,26 @@ class _Memory:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def new(self, seen: set[str]) -> list[str]:
-        """The pieces of ``seen`` that are not known; the others are in ``young`` from here on."""
+    def turn(self) -> None:
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
-        out = []
-        for w in seen.difference(self.young):
-            if w in self.old:
-                self.young[w] = self.old[w]
-            else:
+
+    def recall(self, missing: set[str]) -> list[str]:
+        """Of pieces that aren't in ``young`` those that are new; the others are put there."""
+        out, old, young = [], self.old, self.young
+        for w in missing:
+            b = old.get(w)
+            if b is None:
                 out.append(w)
+            else:
+                young[w] = b
         return out
 
+    def new(self, seen: set[str]) -> list[str]:
+        """The pieces of ``seen`` that are not known; the others are in ``young`` from here on."""
+        self.turn()
+        return self.recall(seen.difference(self.young))
+
 
 class Encoder:
     """Ids of texts as bytes of ``width`` each.
@@ -119,22 +127,28 @@ class Encoder:
         other = [w for w in new if not _PLAIN(w)]
         known.update(zip(other, self._bytes(other)))
 
+    def _learn_pieces(self, new: list[str]) -> None:
+        parts = [_PARTS(w.lower() if w.isascii() and "<" not in w else w) for w in new]
+        met: set[str] = set()
+        for p in parts:
+            met.update(p)
+        self._learn_words(self.words.new(met))
+        get = self.words.young.__getitem__
+        self.pieces.young.update(zip(new, [b"".join(map(get, p)) for p in parts]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        self.pieces.turn()
+        known = self.pieces.young
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        seen: set[str] = set()
-        for c in cut:
-            seen.update(c)
-        new = self.pieces.new(seen)
-        if new:
-            parts = [_PARTS(w.lower() if w.isascii() and "<" not in w else w) for w in new]
-            met: set[str] = set()
-            for p in parts:
-                met.update(p)
-            self._learn_words(self.words.new(met))
-            get = self.words.young.__getitem__
-            self.pieces.young.update(zip(new, [b"".join(map(get, p)) for p in parts]))
-        get = self.pieces.young.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        got = [list(map(known.get, c)) for c in cut]  # one look-up for each piece; None for what is new
+        missing: set[str] = set()
+        for c, g in zip(cut, got):
+            if None in g:
+                missing.update([w for w, b in zip(c, g) if b is None])
+        if missing:
+            self._learn_pieces(self.pieces.recall(missing))
+            got = [[b if b is not None else known[w] for w, b in zip(c, g)] if None in g else g for c, g in zip(cut, got)]
+        return [b"".join(g) for g in got]
 
 
 def encoder(tokenizer: str, width: int) -> Encoder:
