@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tankflow.session import configure, cut_lineage, sf_path
 
 #: Rows of an Arrow batch. Texts may be long, and a Python worker holds a few batches at once.
-BATCH_ROWS = 200
+BATCH_ROWS = 350
 
 
 def prepare(spark: SparkSession) -> SparkSession:
