@@ -13,18 +13,22 @@ answered, and it is answered blockwise with a difference cover:
    within 200 bytes, so its comparison is decided by the sample ranks alone. What remains (the
    long ties) are the suffixes near repeated blocks.
 3. *Buckets.* The remaining suffixes are dealt to buckets by their 200-byte key, and each bucket is
-   sorted by itself, which bounds memory; equal neighbours are repeats.
+   sorted by itself, which bounds memory; equal neighbours may be repeats.
+4. *Check.* Of strings whose key another block sent too, a second hash that has nothing to do with the
+   first goes the same way. Only strings of which that agrees as well are repeats.
 
 Documents are dealt to blocks by a hash (about ``BLOCK_BYTES`` of text each). A block sends each
 bucket one sorted array of its *distinct* keys (a passage that a third of all documents hold is one
 entry for each block), and gets back one bit for each: whether another block has it too. Repeats
-inside a block are seen there. Keys of whole texts go the same way in step 1: all bytes of exact copies
-are repeated, and only the first copy's suffixes are compared with those of other texts. Blocks are cut from one exchange of the texts, which all steps use.
+inside a block are seen there, and compared byte by byte. Keys of whole texts go the same way in step 1: all bytes of
+exact copies are repeated, and only the first copy's suffixes are compared with those of other texts. Blocks are cut
+from one exchange of the texts, which all steps use.
 
-Keys are 64-bit rolling hashes (of table values for bytes, mixed). The sample needs no more than 32
-bits beside the bucket, the final keys have 56: 62 bits and more with the bucket, which grows with
-the input. Two different strings share a key with a chance of about n * n / 2 ** 63 for n open suffixes
-(0.4 % for any such pair in 0.8 GB of text); ``KEY_WIDTH`` 8 makes that less.
+Keys are 64-bit rolling hashes (of table values for bytes, mixed), sent as 32 bits (sample) or 40 bits beside the
+bucket. They only say what has to be checked: a key that two strings share costs a comparison and changes no
+result. Step 4 sends all 64 bits of xxh3 of the 200 bytes, whole texts have 128 bits. A wrong
+repeat needs two chances at once: of n open suffixes about n * n / 2 ** (40 + bits of the bucket) share a key
+with a different string, and each of those meets one of m checked strings with a chance of m / 2 ** 64.
 
 Cases: a null text counts as empty; texts under 200 bytes lose nothing; repeated rows (and any copies)
 of 200 bytes or more lose all their bytes; no documents give no rows; extra columns are ignored.
@@ -38,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_digest, xxh3_128_digest
 
 from tankflow.llm.common import id_and_text
 
@@ -49,13 +53,14 @@ V_BLOCK = LENGTH - V + 1
 #: Text in a block, and text whose keys go to one bucket.
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
-#: Bytes of a key that are sent beside its bucket: of a sample block (a false repeat only costs a comparison), and of
-#: a 200-byte string.
-SAMPLE_WIDTH, KEY_WIDTH = 4, 7
+#: Bytes of a key that are sent beside its bucket: of a sample block and of a 200-byte string (a false repeat only
+#: costs a comparison), and of the hash that decides.
+SAMPLE_WIDTH, KEY_WIDTH, CHECK_WIDTH = 4, 5, 8
 #: Added to the bucket of keys of whole texts; twice for the answer which of them another block speaks for.
 WHOLE = 1 << 40
-#: Bytes hashed at once.
+#: Bytes hashed at once, and strings compared at once.
 PIECE = 1 << 19
+COMPARED = 1 << 15
 
 
 def difference_set(q: int) -> list[int]:
@@ -130,10 +135,11 @@ class Block:
         self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.raw = b"".join(texts)
+        self.data = np.frombuffer(self.raw, np.uint8)
         # the distinct keys of whole texts that are long enough, which each has, and how often each occurs
         self.long = np.flatnonzero(self.sizes >= LENGTH)
-        whole = np.array([xxh3_64_intdigest(texts[i]) for i in self.long.tolist()], np.uint64)
+        whole = np.array([xxh3_128_digest(texts[i]) for i in self.long.tolist()], "S16")
         self.whole, self.first, self.of_whole, self.often = np.unique(whole, return_index=True, return_inverse=True,
                                                                       return_counts=True)
 
@@ -168,9 +174,47 @@ class Block:
             open_[s if no else max(s, e - LENGTH + 1):e] = False  # the last places of a document start no whole string
         return np.flatnonzero(open_)
 
+    def strings(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The keys of the distinct LENGTH-byte strings at places, in order (different strings of one key each have
+        theirs), which string each place has, how often each occurs, and one place of each."""
+        distinct, of, often = np.unique(keys(self.data, places, LENGTH), return_inverse=True, return_counts=True)
+        one = np.empty(len(distinct), np.int64)
+        one[of] = places
+        other = self.different(places, one[of])
+        if other.any():
+            number: dict[tuple[int, bytes], int] = {}
+            part = np.zeros(len(places), np.int64)
+            for i in np.flatnonzero(np.isin(of, of[other])).tolist():
+                string = (int(of[i]), self.raw[places[i]:places[i] + LENGTH])
+                part[i] = number.setdefault(string, len(number))
+            found, of, often = np.unique(of * (len(number) + 1) + part, return_inverse=True, return_counts=True)
+            distinct = distinct[found // (len(number) + 1)]
+            one = np.empty(len(distinct), np.int64)
+            one[of] = places
+        return distinct, of, often, one
+
+    def different(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the LENGTH bytes at a and b differ."""
+        out = np.zeros(len(a), bool)
+        todo = np.flatnonzero(a != b)
+        if len(todo):
+            every = np.ndarray(len(self.data) - LENGTH + 1, f"V{LENGTH}", self.raw, strides=(1,))
+            for i in range(0, len(todo), COMPARED):
+                at = todo[i:i + COMPARED]
+                x, y = (every[z[at]].view(np.uint64).reshape(-1, LENGTH // 8) for z in (a, b))
+                out[at] = (x != y).any(1)
+        return out
+
+    def checks(self, one: np.ndarray) -> np.ndarray:
+        """The second hash of the LENGTH bytes at each place."""
+        raw = self.raw
+        return np.frombuffer(b"".join([xxh3_64_digest(raw[i:i + LENGTH]) for i in one.tolist()]), ">u8").astype(np.uint64)
+
 
 def _slices(distinct: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets that sorted keys fall into, and where each bucket's slice begins (and the last ends)."""
+    if distinct.dtype.kind == "S":
+        distinct = distinct.view(">u8").reshape(-1, 2)[:, 0].astype(np.uint64)
     b = (distinct >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(distinct), np.int64)
     own, first = np.unique(b, return_index=True)
     return own, np.append(first, len(b))
@@ -187,7 +231,10 @@ def _flags(n: int, own: np.ndarray, first: np.ndarray, answers: dict[int, bytes]
 
 def _pack(keys_: np.ndarray, bits: int, width: int) -> bytes:
     """Sorted keys of one bucket: the ``width`` bytes after the bucket's bits, first bytes of all, second
-    bytes of all and so on. The first ones hardly change from key to key, and shuffles compress them away."""
+    bytes of all and so on. The first ones hardly change from key to key, and shuffles compress them away.
+    Keys of whole texts are sent as they are."""
+    if keys_.dtype.kind == "S":
+        return keys_.tobytes()
     low = (keys_ << np.uint64(bits)) >> np.uint64(64 - 8 * width)
     return low.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:].T.tobytes()
 
@@ -205,7 +252,8 @@ def _shared(rows: DataFrame, width: int) -> DataFrame:
         bucket = table.column("bucket")[0].as_py()
         blocks = table.column("t").to_pylist()
         order = sorted(range(len(blocks)), key=blocks.__getitem__)
-        sent = [_unpack(table.column("keys")[i].as_py(), width if bucket < WHOLE else 8) for i in order]
+        sent = [table.column("keys")[i].as_py() for i in order]
+        sent = [_unpack(x, width) if bucket < WHOLE else np.frombuffer(x, "S16") for x in sent]
         every = np.sort(np.concatenate(sent))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
         del every
@@ -262,18 +310,32 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
         flagged = (often > 1) | _flags(len(distinct), *_slices(distinct, shift), told)
         same, spoken = block.copies(shift, told)
         places = block.open_suffixes(at, flagged[of], spoken)
-        return (block, same, places, *np.unique(keys(block.data, places, LENGTH), return_inverse=True, return_counts=True))
+        return (block, same, places, *block.strings(places))
+
+    def suspects(block: Block, distinct: np.ndarray, one: np.ndarray, answers: pa.Table):
+        """The strings whose key another block sent too, their second hashes in order, which hash each has."""
+        met = np.flatnonzero(_flags(len(distinct), *_slices(distinct, shift), _answers(answers, 2)))
+        return (met, *np.unique(block.checks(one[met]), return_inverse=True))
 
     def suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _SENT.empty_table()
         return _sent(table.column("t")[0].as_py(), state(table, answers)[3], shift, KEY_WIDTH)
 
+    def seconds(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows or 2 not in answers.column("step").unique().to_pylist():
+            return _SENT.empty_table()
+        block, _, _, distinct, _, _, one = state(table, answers)
+        return _sent(table.column("t")[0].as_py(), suspects(block, distinct, one, answers)[1], shift, CHECK_WIDTH)
+
     def spans(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return out_schema.empty_table()
-        block, same, places, distinct, of, often = state(table, answers)
-        flagged = (often > 1) | _flags(len(distinct), *_slices(distinct, shift), _answers(answers, 2))
+        block, same, places, distinct, of, often, one = state(table, answers)
+        flagged = often > 1
+        if 3 in answers.column("step").unique().to_pylist():
+            met, checks, which = suspects(block, distinct, one, answers)
+            flagged[met] |= _flags(len(checks), *_slices(checks, shift), _answers(answers, 3))[which]
         hot = places[flagged[of]]
         cover = np.zeros(len(block.data) + 1, np.int32)
         cover[hot] += 1
@@ -300,7 +362,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     second = _shared(by_block.cogroup(first.groupBy("t")).applyInArrow(suffixes, "t long, bucket long, keys binary"),
                      KEY_WIDTH).withColumn("step", F.lit(2))
     both = first.unionByName(second)
-    return by_block.cogroup(both.groupBy("t")).applyInArrow(spans, out_type)
+    third = _shared(by_block.cogroup(both.groupBy("t")).applyInArrow(seconds, "t long, bucket long, keys binary"),
+                    CHECK_WIDTH).withColumn("step", F.lit(3))
+    return by_block.cogroup(both.unionByName(third).groupBy("t")).applyInArrow(spans, out_type)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

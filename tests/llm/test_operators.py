@@ -147,6 +147,16 @@ def test_repeats_exact_boundaries(sp):
     same(got, [(d, *b) for (d, _), b in zip(rows, brute.repeats(rows))])
 
 
+@pytest.mark.parametrize("block", [1 << 20, 5000, 700])
+def test_repeats_with_weak_keys(docs, rows, monkeypatch, block):
+    """Keys that many different strings share change no result: equal keys are only taken for a repeat once checked."""
+    strong = suffixes.keys
+    monkeypatch.setattr(suffixes, "keys", lambda data, at, length: strong(data, at, length) & suffixes.np.uint64(0xF0000000000000F0))
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256)
+           for r in suffixes.repeats(docs, block_bytes=block, bucket_bytes=3000).collect()]
+    same(got, [(d, *x) for (d, *_), x in zip(rows, brute.repeats([(d, t) for d, t, *_ in rows]))])
+
+
 def test_difference_cover():
     d = suffixes.D
     assert {(a - b) % suffixes.V for a in d for b in d} == set(range(suffixes.V))
