@@ -3,15 +3,15 @@
 Base patterns (email, ip, card, phone) are found in every whole text. The tagger
 (``tagger.Tagger``, numpy) is trained from labelled spans: windows of a bounded sample of documents
 (``SAMPLE_DOCS``, by a hash of the id) with their base spans, together with copies in which a span
-is rewritten the way people hide one (no country code, blanks around the @ sign, dots in brackets, other
-separators). It then finds spans that the patterns miss.
+is rewritten the way people hide one (no country code, blanks around the @ sign, "at" and dots in brackets or
+as words, other separators). It then finds spans that the patterns miss.
 
-Windows: a span of any kind has a digit or an @ sign, so only the surroundings of those characters (``MARGIN``
-to each side, merged where they touch) are cut into windows of ``WINDOW`` characters, each ``STEP``
-after the one before. Every character takes its tag from the window in which it lies farthest from
+Windows: a span of any kind has a digit, an @ sign or a disguised one, so only the surroundings of those and of
+disguised dots (``MARGIN`` to each side and on to the end of the address or word that this cuts, merged where they
+touch) are cut into windows of ``WINDOW`` characters, each ``STEP`` after the one before. Every character takes its tag from the window in which it lies farthest from
 an edge; spans are then read from the tags of the whole text. Nothing is lost by leaving out the
-rest: a span that has neither sign is not accepted wherever it is. A span of the tagger is added if its text, with
-the known disguises undone, is valid for its kind (digits, Luhn sum, parts of at most 255), and if
+rest: a span that has no sign is not accepted wherever it is. An address of which the tagger marks a part is
+taken whole. A span of the tagger is added if its text, with the known disguises undone, is valid for its kind (digits, Luhn sum, parts of at most 255), and if
 it touches no base span. Base spans always stay.
 
 Cases: a null or empty text has no spans; without any labelled span in the sample there is no
@@ -36,6 +36,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 3_000
 SAMPLE_WINDOWS = 1_200
 WINDOW, STEP, MARGIN = 96, 48, 32
+#: Disguised copies of a span of each kind: there are more ways to hide an e-mail address.
+COPIES = (3, 1, 1, 1)
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # a match can only begin where a run of digits does, so later places in the run needn't be tried
@@ -44,6 +46,14 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]+")
 _LOCAL_SET = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+# disguised signs, and what a text with one of them holds
+_HIDDEN = re.compile(r"\(at\)|\[at\]|\[dot\]|\[\.\]|\(\.\)| dot ")
+_HIDDEN_PARTS = ("(at)", "[at]", "[dot]", "[.]", "(.)", " dot ")
+_JOINT = r" *+(?:@|\(at\)|\[at\]|\[dot\]|\[\.\]|\(\.\)) *+| ++dot ++"
+_PLAIN = re.compile(r"[A-Za-z0-9._%+-]*+")
+_AFTER = re.compile(rf" *+(?:[A-Za-z0-9._%+-]++|{_JOINT})*+")
+_JOINT_BEFORE = re.compile(rf"(?:{_JOINT})\Z")
+_REST = re.compile(r"[A-Za-z0-9-]*+(?:(?:\.| *+(?:\[dot\]|\[\.\]|\(\.\)) *+| ++dot ++)[A-Za-z0-9-]++)*+")
 
 Span = tuple[int, int, int]  # start, kind's number, end: in the order in which spans are listed
 
@@ -95,13 +105,48 @@ def listed(spans: list[Span]) -> str:
 
 # -- windows ------------------------------------------------------------------------------------
 
+def _signs(text: str) -> list[tuple[int, int, bool]]:
+    """Digits, @ signs and disguised signs: start, end, whether it may join the parts of an address."""
+    out = [(m.start(), m.end(), "@" in m.group()) for m in _SIGN.finditer(text)]
+    if any(p in text for p in _HIDDEN_PARTS):
+        out += [(*m.span(), True) for m in _HIDDEN.finditer(text)]
+        out.sort()
+    return out
+
+
+def _address_start(text: str, i: int, least: int) -> int:
+    """Where the address whose sign is at i begins, or ``least``."""
+    while i > least and text[i - 1] == " ":
+        i -= 1
+    while i > least:
+        before = i
+        while i > least and text[i - 1] in _LOCAL_SET:
+            i -= 1
+        m = _JOINT_BEFORE.search(text, max(least, i - 12), i)
+        i = m.start() if m else i
+        if i == before:
+            break
+    return i
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """Surroundings of digits and @ signs, merged where they touch."""
+    """Surroundings of digits, @ signs and disguised signs, merged where they touch; none ends inside an
+    address or a word."""
     out: list[tuple[int, int]] = []
-    for m in _SIGN.finditer(text):
-        i, j = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if out and i <= out[-1][1]:
-            out[-1] = (out[-1][0], j)
+    address = 0  # where the last address ends
+    for a, b, joins in _signs(text):
+        least = out[-1][1] if out else 0
+        i, j = max(0, a - MARGIN), min(len(text), b + MARGIN)
+        if joins and b > address:
+            i = min(i, _address_start(text, a, min(a, least)))
+            address = _AFTER.match(text, b).end()
+            j = max(j, address)
+        while i > least and text[i - 1] in _LOCAL_SET and text[i] in _LOCAL_SET:
+            i -= 1
+        if j > least:
+            j = _PLAIN.match(text, j).end() if text[j - 1] in _LOCAL_SET else j
+        if out and i <= least:
+            out[-1] = (out[-1][0], max(j, least))
         else:
             out.append((i, j))
     return out
@@ -151,7 +196,12 @@ def acceptable(k: int, text: str) -> bool:
 
 def _disguise(k: int, text: str, r: np.random.Generator) -> str:
     if k == 0:
-        return text.replace("@", (" @ ", " @", "@ ")[r.integers(3)])
+        if r.integers(3) == 0:
+            return text.replace("@", (" @ ", " @", "@ ")[r.integers(3)])
+        name, _, domain = text.partition("@")
+        at = ("@", " @ ", " [at] ", " (at) ", "[at]", "(at)", " [at] ", " (at) ")[r.integers(8)]
+        dot = (".", " dot ", "[dot]", "[.]", "(.)", ".")[r.integers(6)]
+        return (name.replace(".", dot) if r.integers(2) else name) + at + domain.replace(".", dot)
     if k == 1:
         return text.replace(".", ("[.]", " . ", "(.)")[r.integers(3)])
     if k == 2:
@@ -168,7 +218,7 @@ def examples(rows: list[tuple[str, list[Span]]], seed: int = 3) -> tuple[np.ndar
     texts = list(rows)
     for text, spans in rows:
         whole = [s for s in spans if not any(o != s and o[0] < s[2] and s[0] < o[2] for o in spans)]
-        for a, k, b in whole:
+        for a, k, b in [s for s in whole for _ in range(COPIES[s[1]])]:
             new = _disguise(k, text[a:b], r)
             if new != text[a:b] and acceptable(k, new):
                 moved = len(new) - (b - a)
@@ -247,9 +297,12 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
                 s, e = a + start, a + i
                 text = texts[n][s:e]
                 s, e = s + len(text) - len(text.lstrip()), e - (len(text) - len(text.rstrip()))
-                if s < e and _SIGN.search(texts[n], s, e) and acceptable(k, texts[n][s:e]) and not any(
-                        x < e and y > s for x, _, y in base[n]):
-                    out[n].append((s, k, e))
+                # no kind accepts a text without a sign
+                for s, e in ([_whole(texts[n], s, e)] if s < e and k == 0 else []) + [(s, e)]:
+                    if s < e and acceptable(k, texts[n][s:e]) and not any(
+                            x < e and y > s for x, _, y in [*base[n], *out[n][-1:]]):
+                        out[n].append((s, k, e))
+                        break
                 k = None
             if t % 2:
                 k, start = (t - 1) // 2, i
@@ -257,6 +310,13 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
     return out
 
 
+def _whole(text: str, s: int, e: int) -> tuple[int, int]:
+    """The whole address that s..e is a part of."""
+    while s > 0 and text[s - 1] in _LOCAL_SET:
+        s -= 1
+    return s, _REST.match(text, e).end()
+
+
 def _found(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
     base = [base_spans(t) for t in texts]
     return list(zip(base, added_spans(texts, base, tagger) if tagger else [[] for _ in texts]))

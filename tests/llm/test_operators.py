@@ -469,6 +469,42 @@ def test_pii_tagger_finds_disguised(sp, tagger):
     assert wrong <= 2
 
 
+@pytest.mark.parametrize("at,dot", [(" [at] ", "."), (" (at) ", " dot "), ("[at]", "[dot]"), ("(at)", "."), (" @ ", " dot ")])
+def test_pii_address_without_digit(sp, at, dot):
+    r = random.Random(13)
+    name = lambda: f"{prose(r, 1, 3)}.{prose(r, 1, 3)}@{prose(r, 1, 3)}.{r.choice(['com', 'org', 'net'])}"
+    def text(address):
+        w = prose(r, 40).split(" ")
+        return " ".join([*w[:20], address, *w[20:]])
+    if "tagger" not in ADDRESS:
+        ADDRESS["tagger"] = pii.train(sp.createDataFrame([(i, text(name())) for i in range(400)], "doc_id long, text string"))
+    found = 0
+    for _ in range(40):
+        address = name().replace("@", at)
+        local, domain = address.split(at)
+        address = local + at + domain.replace(".", dot)
+        new = text(address)
+        a = new.index(address)
+        found += (a, 0, a + len(address)) in pii.added_spans([new], [pii.base_spans(new)], ADDRESS["tagger"])[0]
+    assert found >= 32
+
+
+ADDRESS = {}
+
+
+def test_pii_regions_end_with_the_address():
+    label = "a" * 50
+    for at in ("@", " @ ", " [at] ", "(at)"):
+        for dot in (".", " dot ", "[dot]", "[.]", " (.) "):
+            address = f"{label}.{label}{dot}{label}{at}{label}{dot}{label}{dot}org"
+            text = f"{'word ' * 30}{address}{' word' * 30}"
+            a = text.index(address)
+            assert any(i <= a and j >= a + len(address) for i, j in pii.regions(text)), (at, dot)
+    assert pii.regions("word " * 50) == []
+    for text in ("a@" * 100_000, "1a" * 100_000, "a dot " * 50_000, " " * 100_000 + "@" + " " * 100_000):
+        assert all(i < j for i, j in pii.regions(text))
+
+
 def test_pii_windows_cover():
     r = random.Random(11)
     for _ in range(200):
