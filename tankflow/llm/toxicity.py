@@ -5,10 +5,11 @@ P(grade <= k) = sigmoid(t_k - w.x), t_1 < t_2 < t_3 (proportional odds). The out
 severity, the sum over k of P(grade >= k); a document is toxic from ``REJECT`` on.
 
 Features are 1 + log(count) of lower-cased words and of word beginnings (4 to 6 letters). Which
-ones count is found by Spark on the labelled sample: documents with each feature are counted by
-label, and features that stand out in toxic rows (likelihood ratio of ``LEAST_G2`` or more, the
-``MAX_FEATURES`` strongest) are candidates, of which ``explaining`` keeps a few; a long clean text has
-none of them, so its length is no matter. The regression is fitted by the driver in numpy on these few numbers of each sample row.
+ones count is found by Spark on the labelled sample, each distinct text of it once: texts with each feature are
+counted by label, and all features that stand out in toxic ones (likelihood ratio of ``LEAST_G2`` or more) are
+candidates, of which ``explaining`` keeps a few before anything else is sent; a long clean text has
+none of them, so its length is no matter. The regression is fitted by the driver in numpy on these few numbers of each
+distinct text of the sample. The candidates of toxic texts, which reach the driver as numbers, are bounded by the sample.
 
 Labels: a ``grade`` column is used if labels have one. With only a 0/1 ``toxic`` column, a toxic row
 gets grade 1, 2 or 3 by the thirds of how often the kept words occur in toxic rows, and others 0.
@@ -17,7 +18,7 @@ The fit uses a bounded sample: labelled rows whose hashed id falls below a thres
 ``max_rows`` of them (all, if there are fewer). Scoring covers every whole text.
 
 Cases: a null or empty text has severity of a text without features; of several labels for one id
-the highest counts; without toxic labels (or without documents for them) nothing is toxic and the
+the highest counts, and of several labels for one text too; without toxic labels (or without documents for them) nothing is toxic and the
 severity is 0; repeated rows count each; extra columns are ignored.
 """
 
@@ -35,7 +36,6 @@ from pyspark.sql import functions as F
 from tankflow.llm.common import id_and_text, map_batches, materialise
 
 MAX_ROWS = 20_000
-MAX_FEATURES = 2_000
 LEAST_G2 = 24.0
 NEW_ROWS = 2
 GRADES = 3
@@ -119,7 +119,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarr
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """(toxic, grade, text) of about ``max_rows`` labelled rows, chosen by a hash of their id."""
+    """(toxic, grade, text) of the distinct texts of about ``max_rows`` labelled rows, chosen by a hash of their id."""
     grade = F.col("grade").cast("int") if "grade" in labels.columns else F.lit(None).cast("int")
     known = (labels.where("doc_id is not null and toxic is not null")
              .groupBy(F.col("doc_id").alias("label_id"))
@@ -129,11 +129,12 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     some = materialise(known.where(F.pmod(F.xxhash64("label_id", F.lit("sample")), F.lit(1 << 30)) < below))
     # some has about max_rows rows at most, whatever the table holds
     return materialise(id_and_text(docs, id_col, text_col).join(F.broadcast(some), F.col("doc_id") == F.col("label_id"))
+                       .groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("grade").alias("grade"))
                        .select("toxic", "grade", "text"))
 
 
-def choose_features(rows: DataFrame) -> tuple[list[str], int]:
-    """The features that stand out in toxic rows, and how many rows are toxic."""
+def choose_features(rows: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The features that stand out in toxic rows, and in which part of the clean rows each is."""
     def count(batches):
         n, t = Counter(), Counter()  # the empty feature counts rows
 
@@ -156,7 +157,7 @@ def choose_features(rows: DataFrame) -> tuple[list[str], int]:
     counts = materialise(counts.where("toxic >= 3 or feature = ''"))
     total = counts.where("feature = ''").first()
     if total is None or not total.toxic or not total.clean:
-        return [], 0
+        return [], np.zeros(0)
     t, c = float(total.toxic), float(total.clean)
     cell = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(F.lit(0.0))
     df = F.col("toxic") + F.col("clean")
@@ -164,23 +165,28 @@ def choose_features(rows: DataFrame) -> tuple[list[str], int]:
               + cell(t - F.col("toxic"), (t + c - df) * t / (t + c)) + cell(c - F.col("clean"), (t + c - df) * c / (t + c)))
     best = (counts.where("feature <> ''").where(F.col("toxic") * c > F.col("clean") * t)
             .withColumn("g2", g2).where(F.col("g2") >= LEAST_G2)
-            .orderBy(F.desc("g2"), F.desc(F.length("feature")), "feature").limit(MAX_FEATURES))
-    return [r.feature for r in best.collect()], int(t)
-
-
-def explaining(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, features: list[str]) -> list[int]:
-    """Of features in order of strength those that explain toxic rows which no stronger one does
-    (``NEW_ROWS`` or more), and words in a tenth of the toxic rows. Words that only stand in copies of
-    a toxic text explain nothing that its slurs don't."""
-    explained, kept = ~toxic, []
+            .orderBy(F.desc("g2"), F.desc(F.length("feature")), "feature"))
+    best = best.collect()
+    return [r.feature for r in best], np.array([r.clean / c for r in best])
+
+
+def explaining(rows: np.ndarray, cols: np.ndarray, n: int, features: list[str], clean: np.ndarray) -> list[int]:
+    """Of features in order of strength those that explain some of n toxic texts which no stronger one does
+    (``NEW_ROWS`` or more), and words in a tenth of the toxic texts and ten times as rare in clean ones. ``rows`` and ``cols``: which text has
+    which feature; ``clean``: the part of clean texts with each. A feature in no more of the texts left than
+    chance lets expect by that (three deviations) explains none of them: an ordinary word of a text with many near
+    copies takes no other text from its slurs."""
+    explained, kept = np.zeros(n, bool), []
     order = np.argsort(cols, kind="stable")
     bounds = np.searchsorted(cols[order], np.arange(len(features) + 1))
     for f, name in enumerate(features):
         mine = rows[order[bounds[f]:bounds[f + 1]]]
-        mine = mine[toxic[mine]]
-        often = not name.endswith("*") and 10 * len(mine) >= toxic.sum()
-        if often or (~explained[mine]).sum() >= NEW_ROWS:
+        often = not name.endswith("*") and 10 * len(mine) >= n and len(mine) >= 10 * clean[f] * n
+        chance = clean[f] * (~explained).sum()
+        explains = (~explained[mine]).sum() >= max(NEW_ROWS, chance + 3 * chance ** 0.5)
+        if often or explains:
             kept.append(f)
+        if explains:
             explained[mine] = True
     return kept
 
@@ -188,33 +194,34 @@ def explaining(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, features:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
           text_col: str = "text") -> Model | None:
     rows = sample(docs, labels, max_rows, id_col, text_col)
-    features, _ = choose_features(rows)
+    features, clean = choose_features(rows)
     if not features:
         return None
-    number = {f: i for i, f in enumerate(features)}
 
-    def make():
-        memory = Memory(number)
+    def collected(some: DataFrame, chosen: list[str]):
+        number = {f: i for i, f in enumerate(chosen)}
 
-        def f(b: pa.RecordBatch) -> list:
-            found = [memory.counts(t) for t in b.column(2).to_pylist()]
-            return [b.column(0), b.column(1), [list(c) for c in found], [list(c.values()) for c in found]]
-        return f
+        def make():
+            memory = Memory(number)
 
-    src = rows.select("toxic", "grade", "text")
-    got = map_batches(src, make, "toxic int, grade int, at array<int>, n array<int>").collect()  # about max_rows rows
+            def f(b: pa.RecordBatch) -> list:
+                found = [memory.counts(t) for t in b.column(2).to_pylist()]
+                return [b.column(0), b.column(1), [list(c) for c in found], [list(c.values()) for c in found]]
+            return f
+        return map_batches(some.select("toxic", "grade", "text"), make, "toxic int, grade int, at array<int>, n array<int>")
+
+    has = collected(rows.where("toxic > 0"), features).select("at").toArrow().column("at").combine_chunks()
+    kept = explaining(has.value_parent_indices().to_numpy(), has.flatten().to_numpy(), len(has), features, clean)
+    features = [features[i] for i in kept]
+    if not features:
+        return None
+    got = collected(rows, features).collect()  # about max_rows rows
     got.sort(key=lambda r: (r.toxic, r.grade or 0, sorted(zip(r["at"], r["n"]))))  # the order of tasks is no matter
     size = np.array([len(r["at"]) for r in got])
     at = np.repeat(np.arange(len(got)), size)
     cols = np.array([i for r in got for i in r["at"]], np.int64)
     counts = np.array([i for r in got for i in r["n"]], float)
     toxic = np.array([r.toxic for r in got]) > 0
-    kept = explaining(at, cols, toxic, features)
-    features = [features[i] for i in kept]
-    new = np.full(len(number), -1)
-    new[kept] = np.arange(len(kept))
-    use = new[cols] >= 0
-    at, cols, counts = at[use], new[cols[use]], counts[use]
     if any(r.grade is not None for r in got):
         grades = np.array([max(r.grade or 0, 0) for r in got], np.int64)
     else:

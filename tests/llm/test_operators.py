@@ -378,6 +378,33 @@ def test_toxicity(sp):
     assert sorted(r.doc_id for r in toxicity.drop_toxic(docs, model).collect()) == [i for i, bad in truth.items() if not bad]
 
 
+@pytest.mark.parametrize("change", [False, True])
+def test_toxicity_copies_do_not_hide_slurs(sp, change):
+    """A long toxic text whose copies (or near copies) are most of the toxic rows leaves room for slurs of other texts."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("bcdfghklmnprstvw") + r.choice("aeiou") for _ in range(5))
+    common, long = [word() for _ in range(400)], [word() for _ in range(900)]
+    slurs = ["zlurkish", "vorglean"]
+    rows, labels = [], []
+    for i in range(1500):
+        w = [r.choice(common) for _ in range(60)]
+        kind = "copy" if i % 10 < 3 else "slur" if i % 50 == 3 else "clean"
+        if kind == "copy":
+            w = [*long, "quixnated"]
+            if change:
+                w[r.randrange(900)] = f"changed{word()}"
+        elif kind == "slur":
+            w.insert(r.randrange(60), slurs[i // 50 % 2])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(kind != "clean"), 1))
+    docs = sp.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = toxicity.train(docs, sp.createDataFrame(labels, "doc_id long, toxic int, quality int"))
+    new = [(i, " ".join([*(r.choice(common) for _ in range(30)), s, *(r.choice(common) for _ in range(30))]))
+           for i, s in enumerate([*slurs, "plain"] * 5)]
+    got = {x.doc_id: x.is_toxic for x in toxicity.score(sp.createDataFrame(new, "doc_id long, text string"), model).collect()}
+    assert got == {i: any(s in t for s in slurs) for i, t in new}
+
+
 def test_toxicity_gradient():
     """The fit's solution has a vanishing numerical gradient of the penalised likelihood."""
     import numpy as np
