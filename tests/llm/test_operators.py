@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import brute
@@ -405,6 +406,67 @@ def test_toxicity_copies_do_not_hide_slurs(sp, change):
     assert got == {i: any(s in t for s in slurs) for i, t in new}
 
 
+def test_toxicity_toxic_rows_without_slur(sp):
+    """A third of the toxic labels are on ordinary texts: these and clean texts stay, those with a slur are found."""
+    r = random.Random(4)
+    rows, labels, slur = [], [], set()
+    for i in range(900):
+        w = prose(r, r.randrange(30, 120)).split(" ")
+        if i % 10 == 0 and i % 30:
+            slur.add(i)
+            w[r.randrange(len(w))] = r.choice(["zlurkish", "vorglean"])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(i % 10 == 0), 1))
+    docs = sp.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = toxicity.train(docs, sp.createDataFrame(labels, "doc_id long, toxic int, quality int"))
+    assert model.severity(toxicity.np.zeros(1))[0] < model.reject
+    got = toxicity.score(docs, model).collect()
+    assert all(x.is_toxic == (x.grade > 0) for x in got)
+    found = {x.doc_id for x in got if x.is_toxic}
+    assert slur <= found and len(found - slur) <= 0.005 * len(rows)
+
+
+@pytest.mark.parametrize("toxic", [1, 3, 8])
+def test_toxicity_few_labels(sp, toxic):
+    """With one toxic label nothing stands out and nothing is toxic; with a few, no text without a learned word is."""
+    r = random.Random(5)
+    rows = [(i, prose(r, 60) + (" zlurkish" if i < toxic else "")) for i in range(60)]
+    docs = sp.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, sp.createDataFrame([(i, int(i < toxic), 1) for i in range(60)], "doc_id long, toxic int, quality int"))
+    found = {x.doc_id for x in toxicity.score(docs, model).where("is_toxic").collect()}
+    assert found == (set(range(8)) if toxic == 8 else set())
+
+
+def test_toxicity_scores_brute(sp, docs):
+    """Scores of the operator are those of the formula, word by word."""
+    import math
+    import re
+    model = toxicity.Model(["an", "ther*", "change*", "lost"], toxicity.np.array([1.5, 0.25, 3.0, 9.0]), toxicity.np.array([1.0, 2.0, 4.0]), 1.25)
+    want = []
+    for x in docs.select("doc_id", "text").collect():
+        count = [0] * 4
+        for w in re.findall(r"[^\W\d_]+", (x.text or "").lower()):
+            for k, f in enumerate(model.features):
+                count[k] += w == f or (f.endswith("*") and len(w) > len(f) - 1 and w.startswith(f[:-1]))
+        s = sum(v * (1 + math.log(n)) for v, n in zip(model.weights, count) if n)
+        over = [1 / (1 + math.exp(-(s - t))) for t in model.thresholds]
+        p = [over[0] - over[1], over[1] - over[2], over[2]]
+        bad = sum(over) >= 1.25
+        want.append((x.doc_id, round(sum(over), 9), 1 + p.index(max(p)) if bad else 0, bad))
+    same([(x.doc_id, round(x.expected_severity, 9), x.grade, x.is_toxic) for x in toxicity.score(docs, model).collect()], want)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test data not present")
+@pytest.mark.parametrize("size,caught", [("sf0.001", 7), ("sf0.01", 32)])
+def test_toxicity_given_tables(sp, size, caught):
+    from tankflow.llm.common import table
+    docs, labels = (table(sp, f"/root/testdata/{size}", t) for t in ("documents", "labels"))
+    got = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").groupBy("toxic").agg(
+        F.sum(F.col("is_toxic").cast("int")).alias("n"), F.count("*").alias("of")).collect()
+    n = {x.toxic: x for x in got}
+    assert n[0].n <= 0.005 * n[0]["of"] and n[1].n >= caught
+
+
 def test_toxicity_gradient():
     """The fit's solution has a vanishing numerical gradient of the penalised likelihood."""
     import numpy as np

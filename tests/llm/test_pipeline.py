@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 import corpus_pipeline  # noqa: E402
 from tankflow.llm import pii, queries  # noqa: E402
-from tankflow.llm.common import prepare  # noqa: E402
+from tankflow.llm.common import materialise, prepare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,6 +89,19 @@ def test_run_equals_the_stages(spark, folder):
     assert sorted(corpus_pipeline.run(spark, d).collect()) == sorted(docs.collect())
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test data not present")
+def test_each_stage_keeps_most_of_the_given_documents(spark):
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    had = docs.count()
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialise(stage(spark, docs, d))
+        left = docs.count()
+        least = {"toxicity": 0.85, "simhash": 0.8, "decontamination": 0.9}.get(name, 1)
+        assert least * had <= left <= had, name
+        had = left
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_its_sql(spark, name):
