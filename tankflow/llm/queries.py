@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tankflow.llm import hostrules, language, pieces, pii, simhash, suffixes, tokenfiles, toxicity, urlrules, winnowing
+from tankflow.llm import (clusters, hostrules, language, mixing, pieces, pii, resample, simhash, suffixes, tokenfiles,
+                          toxicity, urlrules, winnowing)
 from tankflow.llm.common import prepare, table
 from tankflow.llm.sql import ORACLE  # noqa: F401
 
@@ -100,3 +101,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by the merge agenda, and their decoded text, as digests."""
     return pieces.round_trip(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@register("op11_clusters")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and final centroid of every usable vector."""
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_resample")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank in the draw of every document, towards the benchmark's words."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_mix")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a mix of all sources by weight takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
