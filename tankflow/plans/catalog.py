@@ -290,18 +290,24 @@ def _events(spark, sf):
     return s.join(on, "date").select(*S.SERIES_KEY, "ds", "event", F.col("offset").alias("day_offset"))
 
 
-def _model_parts(spark, sf):
-    from ..operators import model as md
-    from ..sources.fixtures import TEST_EVENTS
-    p = Pipeline(spark, sf)
-    spec = md.ModelSpec(events=md.expand_event_rows(TEST_EVENTS))
-    return p, md, spec
+# C4 with a model's prediction (``standin``) and its fallback.
+_LOOKUP = (("horizon", "baseline", "cfg", "standin"), f"""
+        SELECT z.station, z.product, z.tank, z.ds, z.weekday, z.hour,
+               COALESCE(b.baseline, 0) AS baseline, s.yhat AS model_yhat,
+               c.w_base * COALESCE(b.baseline, 0) + c.w_model * COALESCE(s.yhat, b.baseline, 0) AS yhat
+        FROM horizon z
+        JOIN cfg c ON {O.keys_eq('z', 'c')}
+        LEFT JOIN baseline b ON {O.keys_eq('z', 'b')} AND z.weekday = b.weekday AND z.hour = b.hour
+        LEFT JOIN standin s ON {O.keys_eq('z', 's')} AND z.ds = s.ds""")
+
+#: The event terms of fixtures.TEST_EVENTS in the order of the features.
+_TERMS = [("fair", -1), ("fair", 0), ("fair", 1), ("holiday", 0), ("holiday", 1)]
 
 
-def _features_sql() -> str:
-    """M2 in SQL: the same feature layout as ``model.model_features``, long form."""
-    from ..sources.fixtures import TEST_EVENTS
-    spec = md.ModelSpec(events=md.expand_event_rows(TEST_EVENTS))
+def _model_ctes(coefficients: str | None = None, mode: str = "additive") -> dict:
+    """The model's features in SQL, the layout of ``model.model_features``: ``mfeat`` over the history, ``pfeat`` over the
+    history and 48 hours more; and the prediction from a written table of coefficients, as ``standin`` of J8."""
+    spec = md.ModelSpec(events=tuple(_TERMS))
     t = "((epoch(h.ds) - epoch(c.t0)) / 3600.0 / c.span_h)"
     feats = [f"{t}", "1.0"]
     for j in range(1, md.N_CHANGEPOINTS + 1):
@@ -313,76 +319,131 @@ def _features_sql() -> str:
             w = repr(2.0 * i * math.pi / period)
             feats.append(f"CASE WHEN c.use_{name} THEN sin({w} * {day}) ELSE 0.0 END")
             feats.append(f"CASE WHEN c.use_{name} THEN cos({w} * {day}) ELSE 0.0 END")
-    for _, _, days in spec.events:
-        lst = ", ".join(f"DATE '{d.isoformat()}'" for d in days)
-        feats.append(f"CASE WHEN CAST(h.ds AS DATE) IN ({lst}) THEN 1.0 ELSE 0.0 END")
+    feats += [f"CASE WHEN list_contains(e.terms, '{event}:{offset}') THEN 1.0 ELSE 0.0 END" for event, offset in _TERMS]
     flags = ", ".join(f"span_h / 24.0 >= {m!r} AS use_{n}" for n, _, _, _, m in spec.seasonal_blocks)
-    return f"""
-    WITH c AS (
-        SELECT {K3}, t0, hist_size, greatest(least(25, hist_size - 1), 0) AS ncp, span_h, {flags}
-        FROM (SELECT {K3}, min(ds) AS t0, CAST(floor(count(*) * 0.8) AS INTEGER) AS hist_size,
+    features = f"""
+        SELECT h.*, c.y_scale, [{", ".join(feats)}] AS x
+        FROM {{rows}} h JOIN mscale c ON {O.keys_eq('h', 'c')} LEFT JOIN event_on e ON e.d = CAST(h.ds AS DATE)"""
+    ctes = {
+        "mscale": (("history",), f"""
+        SELECT {K3}, t0, hist_size, greatest(least(25, hist_size - 1), 0) AS ncp, span_h, CASE WHEN ymax > 0 THEN ymax ELSE 1.0 END AS y_scale, {flags}
+        FROM (SELECT {K3}, min(ds) AS t0, CAST(floor(count(*) * 0.8) AS INTEGER) AS hist_size, max(abs(quantity)) AS ymax,
                      greatest((epoch(max(ds)) - epoch(min(ds))) / 3600.0, 1.0) AS span_h
-              FROM history GROUP BY {K3})),
-    f AS (
-        SELECT h.station, h.product, h.tank, h.ds, [{", ".join(feats)}] AS x
-        FROM history h JOIN c ON {O.keys_eq('h', 'c')})
-    SELECT {K3}, ds, CAST(unnest(range(0, {len(feats)})) AS INTEGER) AS feature,
-           round(unnest(x), 6) + 0.0 AS value
-    FROM f"""
-
-
-@register("model_features", None)
+              FROM history GROUP BY {K3})"""),
+        "event_on": ((), """
+        SELECT day + CAST(off AS INTEGER) AS d, list(event || ':' || off) AS terms
+        FROM (SELECT event, day, unnest(generate_series(lo, up)) AS off
+              FROM (VALUES ('fair', DATE '2024-01-10', -1, 1), ('holiday', DATE '2024-01-20', 0, 1),
+                           ('fair', DATE '2024-01-24', -1, 1)) AS e(event, day, lo, up)) GROUP BY ALL"""),
+        "mfeat": (("history", "mscale", "event_on"), features.format(rows="history")),
+        "pframe": (("history",), f"""
+        SELECT {K3}, ds FROM history
+        UNION ALL
+        SELECT {K3}, last_ds + to_hours(CAST(i AS BIGINT)) AS ds
+        FROM (SELECT {K3}, max(ds) AS last_ds, unnest(generate_series(1, 48)) AS i FROM history GROUP BY {K3})"""),
+        "pfeat": (("pframe", "mscale", "event_on"), features.format(rows="pframe")),
+    }
+    ctes["event_on"] = ((), ctes["event_on"][1].replace("GROUP BY ALL", "GROUP BY day + CAST(off AS INTEGER)"))
+    if coefficients:
+        dot = lambda lo, hi: f"list_sum(list_transform(range({lo + 1}, {hi + 1}), lambda i: p.x[i] * b.beta[i]))"
+        k, n = len(spec.feature_names()), md.N_TREND
+        yhat = dot(0, k) if mode == "additive" else f"{dot(0, n)} * (1.0 + {dot(n, k)})"
+        ctes["coef"] = ((), f"SELECT * FROM read_parquet('{RESULTS}/{coefficients}/*.parquet')")
+        ctes["standin"] = (("pfeat", "coef"), f"""
+        SELECT p.station, p.product, p.tank, p.ds, ({yhat}) * p.y_scale AS yhat FROM pfeat p JOIN coef b ON {O.keys_eq('p', 'b')}""")
+        ctes["forecast"] = _LOOKUP
+    return ctes
+
+
+#: Stands for ``session.results_base()`` until ``oracle_sql()`` is called.
+RESULTS = "@results@"
+
+
+def _model_pipeline(spark, sf, name: str, mode: str = "additive") -> Pipeline:
+    """A pipeline whose fitted coefficients are saved under ``name``, for SQL that evaluates them."""
+    from ..session import save_result
+    p = Pipeline(spark, sf, model=mode)
+    save_result(p.fitted[0], name)
+    return p
+
+
+@register("model_features", O.sql(f"""
+    SELECT {K3}, ds, CAST(unnest(range(0, len(x))) AS INTEGER) AS feature, round(unnest(x), 6) + 0.0 AS value FROM mfeat""",
+    "mfeat", overrides=_model_ctes()))
 def _features(spark, sf):
-    p, md_, spec = _model_parts(spark, sf)
-    train = md_.model_training_frame(p.history)
-    f = md_.model_features(train, md_.series_scaling(train, spec), spec)
+    p = Pipeline(spark, sf)
+    train = md.model_training_frame(p.history)
+    f = md.model_features(train, md.series_scaling(train, p.spec), p.spec, p.event_days)
     return rounded(f.select("station", "product", "tank", "ds", F.posexplode("x").alias("feature", "value")))
 
 
-def _training(spark, sf):
-    p, md_, spec = _model_parts(spark, sf)
-    train = md_.model_training_frame(p.history)
-    feats = md_.model_features(train, md_.series_scaling(train, spec), spec)
-    return p, spec, feats.select("station", "product", "tank", "x", (F.col("y") / F.col("y_scale")).alias("ys"))
+def _grams(p: Pipeline) -> DataFrame:
+    train = md.model_training_frame(p.history)
+    return md.gram_by_series(md.training_rows(train, md.series_scaling(train, p.spec), p.spec, p.event_days))
 
 
-@register("model_gram", None)
+@register("model_gram", O.sql(f"""
+    SELECT {K3}, a.i, b.i AS j, round(sum(f.x[a.i + 1] * f.x[b.i + 1]), 6) + 0.0 AS value
+    FROM mfeat f, idx a, idx b WHERE a.i <= b.i GROUP BY {K3}, a.i, b.i""", "mfeat", "idx", overrides=_model_ctes() | {
+        "idx": (("mfeat",), "SELECT CAST(unnest(range(0, (SELECT max(len(x)) FROM mfeat))) AS INTEGER) AS i")}))
 def _gram(spark, sf):
     """X'X of each series, upper half in long form."""
-    _, spec, rows = _training(spark, sf)
-    k = len(spec.feature_names())
-    g = md.gram_by_series(rows, "x", "ys").select("station", "product", "tank", F.posexplode("xtx").alias("at", "value"))
+    p = Pipeline(spark, sf)
+    k = len(p.spec.feature_names())
+    g = _grams(p).select("station", "product", "tank", F.posexplode("xtx").alias("at", "value"))
     i, j = F.floor(F.col("at") / k).cast("int"), (F.col("at") % k).cast("int")
     return rounded(g.select("station", "product", "tank", i.alias("i"), j.alias("j"), "value").where("i <= j"))
 
 
-@register("model_fit_check", O.sql(
-    f"SELECT DISTINCT {K3}, true AS solved, true AS settled FROM history", "history"))
+# What makes coefficients the MAP solution: the residuals' pull on each of them equals the slope of its prior (or stays
+# within it, for a changepoint at 0), and the noise variance is the residuals' mean square.
+_PRIORS = "[" + ", ".join("NULL" if s else repr(float(v)) for v, s in zip(md.ModelSpec(events=tuple(_TERMS)).prior_scales(),
+                                                                         md.ModelSpec(events=tuple(_TERMS)).prior().sparse)) + "]"
+
+
+@register("model_fit_check", O.sql(f"""
+    SELECT {K3}, any_value(n) AS n, round(sqrt(any_value(mse)), 6) + 0.0 AS noise,
+           count(*) FILTER (WHERE scale IS NULL AND beta <> 0) AS breaks,
+           bool_and(CASE WHEN scale IS NOT NULL THEN abs(pull - v * beta / (scale * scale)) <= tol
+                         WHEN beta <> 0 THEN abs(pull - v / {md.CHANGEPOINT_PRIOR} * sign(beta)) <= tol
+                         ELSE abs(pull) <= v / {md.CHANGEPOINT_PRIOR} + tol END) AS solved,
+           abs(any_value(mse) / any_value(v) - 1) <= 1e-6 AS settled
+    FROM pulls JOIN noise USING ({K3}) GROUP BY {K3}, v, mse""", "pulls", "noise",
+    overrides=_model_ctes("model_fit_check") | {
+        "rest": (("mfeat", "coef"), f"""
+        SELECT p.station, p.product, p.tank, p.x, p.quantity / p.y_scale AS ys, b.beta, b.sigma * b.sigma AS v,
+               p.quantity / p.y_scale - list_sum(list_transform(range(1, len(p.x) + 1), lambda i: p.x[i] * b.beta[i])) AS e
+        FROM mfeat p JOIN coef b ON {O.keys_eq('p', 'b')}"""),
+        "noise": (("rest",), f"SELECT {K3}, any_value(v) AS v, count(*) AS n, avg(e * e) AS mse FROM rest GROUP BY {K3}"),
+        "pulls": (("rest",), f"""
+        SELECT {K3}, i, any_value(beta[i]) AS beta, any_value({_PRIORS}[i]) AS scale, sum(xi * e) AS pull,
+               1e-6 * max(greatest(abs(sum(xi * ys)), 1e-6)) OVER (PARTITION BY {K3}) AS tol
+        FROM (SELECT {K3}, e, ys, beta, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS xi FROM rest) GROUP BY {K3}, i"""),
+    }))
 def _fit_check(spark, sf):
-    p, spec, rows = _training(spark, sf)
-    coefs, _ = md.fit_model(p.history, spec)
-    return md.fit_check(md.gram_by_series(rows, "x", "ys"), coefs, spec.prior_scales())
+    p = _model_pipeline(spark, sf, "model_fit_check")
+    return rounded(md.fit_check(_grams(p), p.fitted[0], p.spec.prior()))
 
 
 @register("model_fit", None)
 def _fit(spark, sf):
-    p, md, spec = _model_parts(spark, sf)
-    coefs, _ = md.fit_model(p.history, spec)
-    return coefs
+    return Pipeline(spark, sf, model="additive").fitted[0]
 
 
-@register("model_predict", None)
+@register("model_predict", O.sql(f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')} FROM standin", "standin",
+                                 overrides={k: v for k, v in _model_ctes("model_predict").items() if k != "forecast"}))
 def _predict(spark, sf):
-    p, md, spec = _model_parts(spark, sf)
-    coefs, scaling = md.fit_model(p.history, spec)
-    return md.predict_model(coefs, scaling, md.model_future_frame(p.history), spec)
+    return rounded(_model_pipeline(spark, sf, "model_predict").model_frame_prediction)
+
 
+def _scored_by_model(name: str, mode: str) -> None:
+    register(name, O.sql(f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('quantity', 'quantity')}, {O.r6('accuracy', 'accuracy')} FROM scored",
+                         "scored", overrides=_model_ctes(name, mode)))(
+        lambda spark, sf: rounded(_model_pipeline(spark, sf, name, mode).comparison))
 
-register("model_forecast", None)(
-    lambda spark, sf: Pipeline(spark, sf, model="additive").comparison)
 
-register("model_seasonality_mode", None)(
-    lambda spark, sf: Pipeline(spark, sf, model="multiplicative").comparison)
+_scored_by_model("model_forecast", "additive")
+_scored_by_model("model_seasonality_mode", "multiplicative")
 
 # ---------------------------------------------------------------- scalar functions, filters, joins
 @register("format_timestamps", O.sql(f"""
@@ -664,14 +725,7 @@ _STANDIN = {
             FROM (SELECT {K3}, max(ds) AS last_ds, unnest(generate_series(1, 48)) AS i FROM history GROUP BY {K3})) f
         JOIN (SELECT {K3}, hour, avg(quantity) AS yhat FROM history GROUP BY {K3}, hour) m
           ON {O.keys_eq('f', 'm')} AND m.hour = hour(f.ds)"""),
-    "forecast": (("horizon", "baseline", "cfg", "standin"), f"""
-        SELECT z.station, z.product, z.tank, z.ds, z.weekday, z.hour,
-               COALESCE(b.baseline, 0) AS baseline, s.yhat AS model_yhat,
-               c.w_base * COALESCE(b.baseline, 0) + c.w_model * COALESCE(s.yhat, b.baseline, 0) AS yhat
-        FROM horizon z
-        JOIN cfg c ON {O.keys_eq('z', 'c')}
-        LEFT JOIN baseline b ON {O.keys_eq('z', 'b')} AND z.weekday = b.weekday AND z.hour = b.hour
-        LEFT JOIN standin s ON {O.keys_eq('z', 's')} AND z.ds = s.ds"""),
+    "forecast": _LOOKUP,
 }
 
 
@@ -690,24 +744,11 @@ def _j8(spark, sf):
     return rounded(fc.hybrid_forecast(p.baseline, p.cfg, standin))
 
 
-# the feature oracle needs the history CTEs ahead of its own WITH clause
-_hist = O.sql("SELECT 1", "history")
-REGISTRY["model_features"] = (REGISTRY["model_features"][0],
-                              _hist[:_hist.rindex("SELECT 1")].rstrip() + ",\n" +
-                              _features_sql().strip()[len("WITH "):])
-
-
-_gram_features = REGISTRY["model_features"][1]
-_at = _gram_features.rindex("SELECT station, product, tank, ds, CAST(unnest")
-REGISTRY["model_gram"] = (REGISTRY["model_gram"][0], _gram_features[:_at].rstrip() + f""",
-    idx AS (SELECT CAST(unnest(range(0, (SELECT max(len(x)) FROM f))) AS INTEGER) AS i)
-    SELECT {K3}, a.i, b.i AS j, round(sum(f.x[a.i + 1] * f.x[b.i + 1]), 6) + 0.0 AS value
-    FROM f, idx a, idx b WHERE a.i <= b.i GROUP BY {K3}, a.i, b.i""")
-
-
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+    from ..session import results_base
+    found = {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+    return {k: v.replace(RESULTS, results_base()) if RESULTS in v else v for k, v in found.items()}

@@ -121,11 +121,35 @@ class Pipeline:
         return bl.similar_day_baseline(self.history, self.cfg)
 
     @cached_property
-    def model_prediction(self) -> DataFrame | None:
-        if self.model_kind is None:
-            return None
+    def calendar(self) -> DataFrame:
+        return fx.calendar(self.spark)
+
+    @cached_property
+    def spec(self):
+        from ..operators import model as md
+        return md.ModelSpec(events=md.event_terms(self.calendar), mode=self.model_kind or "additive")
+
+    @cached_property
+    def event_days(self) -> DataFrame:
         from ..operators import model as md
-        return md.fit_predict(self.history, calendar=fx.TEST_EVENTS, mode=self.model_kind)
+        return md.event_days(self.calendar, self.spec.events)
+
+    @cached_property
+    def fitted(self) -> tuple[DataFrame, DataFrame]:
+        """(coefficients, scaling): the coefficients, one row per series, are written once."""
+        from ..operators import model as md
+        coefs, scaling = md.fit_model(self.history, self.spec, self.event_days)
+        return cut_lineage(coefs), scaling
+
+    @cached_property
+    def model_frame_prediction(self) -> DataFrame:
+        """The model's prediction of the history and the hours after it."""
+        from ..operators import model as md
+        return md.predict_model(*self.fitted, md.model_future_frame(self.history), self.spec, self.event_days)
+
+    @cached_property
+    def model_prediction(self) -> DataFrame | None:
+        return None if self.model_kind is None else self.model_frame_prediction
 
     @cached_property
     def forecast(self) -> DataFrame:

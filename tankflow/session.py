@@ -107,5 +107,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def results_base(spark: SparkSession | None = None) -> str:
+    """Where ``save_result`` puts tables for readers outside Spark: on a cluster under its ``spark.checkpoint.dir``, in a local
+    run (one machine, one file system) in a folder of this user's that doesn't depend on the session."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext.master.startswith("local["):
+        return os.path.join(tempfile.gettempdir(), f"tankflow-{os.getuid()}", "results")
+    return f"{checkpoint_dir(spark).removeprefix('file://').rstrip('/')}/tankflow-results"
+
+
+def save_result(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under a name that others can read it by (a later call replaces it), and read it back."""
+    path = f"{results_base(df.sparkSession)}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

@@ -33,7 +33,7 @@ def _norm(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = pd.to_datetime(df[c]).astype("datetime64[us]")
-    df = df.astype(object).where(pd.notnull(df), None)
+    df = df.astype(object).where(pd.notnull(df), None).map(lambda v: int(v) if isinstance(v, (bool, float)) is False and hasattr(v, "__index__") else v)
     rows = sorted((tuple(repr(v) for v in r) for r in df.itertuples(index=False)))
     return rows
 
@@ -42,6 +42,9 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s = sdf.toPandas()
+    for f in sdf.schema.fields:  # whole numbers with nulls come as floats
+        if f.dataType.typeName() in ("byte", "short", "integer", "long"):
+            s[f.name] = s[f.name].astype("Int64")
     t1 = time.time()
     res = {"query": name, "spark_rows": len(s), "spark_sec": round(t1 - t0, 2)}
     if sql is None:

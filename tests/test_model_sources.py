@@ -36,15 +36,108 @@ def test_model_recovers_planted_signal(spark):
     assert len(got) == len(want) + 2 * 48
 
 
-def test_event_expansion():
-    ev = md.expand_event_rows([("special_event", "2024-08-30", 0, 1), ("special_event", "2024-08-31", 0, 1)])
-    assert ev == (("special_event", 0, (dt.date(2024, 8, 30), dt.date(2024, 8, 31))),
-                  ("special_event", 1, (dt.date(2024, 8, 31), dt.date(2024, 9, 1))))
+def series_frame(spark, values, station="A"):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(station, 1, 1, start + dt.timedelta(hours=i), float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "station string, product long, tank int, ds timestamp_ntz, quantity double")
+
+
+def test_changepoints_are_sparse(spark):
+    """Two planted breaks of the trend: the Laplace prior leaves most changepoints at exactly 0 and finds both breaks."""
+    n, rnd = 1000, random.Random(1)
+    y = [100 + 0.02 * i + 0.5 * max(i - 160, 0) - 0.9 * max(i - 512, 0) + rnd.gauss(0, 6) for i in range(n)]
+    coefs, _ = md.fit_model(series_frame(spark, y), md.ModelSpec(weekly=False, daily=False, yearly=False))
+    r = coefs.first()
+    d = np.array(r.beta[2:2 + md.N_CHANGEPOINTS])
+    at = np.round(np.arange(1, 26) * (0.8 * n - 1) / 25)
+    assert r.settled and 2 <= (d != 0).sum() <= 10
+    for place, sign in ((160, 1), (512, -1)):
+        assert max(d[np.abs(at - place) < 50] * sign) > 0.5 * max(np.abs(d))
+    assert np.abs(d[(np.abs(at - 160) > 70) & (np.abs(at - 512) > 70)]).sum() < 0.1 * np.abs(d).sum()
+
+
+def test_map_solution_is_optimal():
+    """Feature-sign search against the optimality conditions, and against other points' loss, on badly conditioned systems."""
+    r = np.random.default_rng(4)
+    for trial in range(40):
+        n, k = 60, 14
+        t = np.linspace(0, 1, n)
+        X = np.column_stack([np.ones(n), t] + [np.maximum(t - s, 0) for s in np.linspace(0.02, 0.9, k - 2)])
+        y = 3 * np.maximum(t - 0.4, 0) + r.normal(0, 0.1, n) + (trial % 3)
+        prior = md.Prior(np.where(np.arange(k) < 2, 5.0, 0.05 * 4 ** (trial % 4)), np.arange(k) >= 2)
+        v = 10.0 ** -(trial % 5)
+        beta = prior.solve(X.T @ X, X.T @ y, v)
+        pull = X.T @ (y - X @ beta)
+        slope = v / prior.scales
+        tol = 1e-6 * np.abs(X.T @ y).max()
+        on = prior.sparse & (beta != 0)
+        assert np.abs(pull - slope * beta / prior.scales)[~prior.sparse].max() <= tol
+        assert np.abs(pull - slope * np.sign(beta))[on].max(initial=0) <= tol
+        assert (np.abs(pull) - slope)[prior.sparse & ~on].max(initial=-1) <= tol
+        loss = lambda b: ((y - X @ b) ** 2).sum() / 2 + v * (np.abs(b / prior.scales)[2:].sum() + (b[:2] ** 2).sum() / 50)
+        assert all(loss(beta) <= loss(beta + r.normal(0, s, k)) for s in (1e-3, 1e-2, 0.1) for _ in range(20))
+
+
+def test_multiplicative_recovers_planted_signal(spark):
+    """y = trend * (1 + daily season), noise-free, as one exchange by series; the passes settle."""
+    y = [(50 + 0.05 * i) * (1 + 0.3 * math.sin(2 * math.pi * i / 24) - 0.1 * math.cos(4 * math.pi * i / 24)) for i in range(24 * 30)]
+    hist = series_frame(spark, y).unionByName(series_frame(spark, [v / 3 for v in y], "B"))
+    spec = md.ModelSpec(mode="multiplicative")
+    coefs, scaling = md.fit_model(hist, spec)
+    assert all(r.settled and r.change < md.PASS_TOLERANCE for r in coefs.collect())
+    got = {(r.station, r.ds): r.yhat for r in md.predict_model(coefs, scaling, hist, spec).collect()}
+    want = {(r.station, r.ds): r.quantity for r in hist.collect()}
+    assert max(abs(got[k] - v) / abs(v) for k, v in want.items()) < 0.02
+    plan = md.fit_model(hist, spec)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_feature_rows_stay_in_their_task(spark):
+    """What is exchanged for the fit is narrow: no array of features crosses an exchange or a sort."""
+    hist = series_frame(spark, range(200))
+    cal = spark.createDataFrame([("e", dt.date(2024, 1, 3), 0, 1)], S.CALENDAR)
+    spec = md.ModelSpec(events=md.event_terms(cal))
+    coefs, _ = md.fit_model(hist, spec, md.event_days(cal, spec.events))
+    plan = coefs._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, x in enumerate(plan) if "MapInArrow" in x and "ys#" in x)
+    below = plan[at + 1:]
+    made = next(i for i, x in enumerate(below) if "Project" in x and " AS x#" in x)
+    assert not any("Exchange" in x or "Sort" in x for x in below[:made])
+    assert not any(" AS x#" in x for x in below[made + 1:])
+
+
+def test_event_terms_and_days(spark):
+    cal = spark.createDataFrame([("special_event", dt.date(2024, 8, 30), 0, 1), ("special_event", dt.date(2024, 8, 31), 0, 1)], S.CALENDAR)
+    terms = md.event_terms(cal)
+    assert terms == (("special_event", 0), ("special_event", 1))
+    got = {r.date: r.terms_on for r in md.event_days(cal, terms).collect()}
+    assert got == {dt.date(2024, 8, 30): [0], dt.date(2024, 8, 31): [0, 1], dt.date(2024, 9, 1): [1]}
+    with pytest.raises(ValueError):
+        md.event_terms(spark.createDataFrame([(f"e{i}", dt.date(2024, 1, 1), 0, 0) for i in range(9)], S.CALENDAR), most=8)
+
+
+def test_station_calendars_change_only_their_station(spark):
+    """A calendar of 10,000 rows by station, and rows for all stations: the fit finds each effect where it is."""
+    n = 24 * 60
+    cal = [(None, "fair", dt.date(2024, 1, 20), 0, 0), ("A", "works", dt.date(2024, 1, 10), 0, 1), ("B", "works", dt.date(2024, 2, 10), 0, 1)]
+    cal += [(f"X{i % 40}", "works", dt.date(2020, 1, 1) + dt.timedelta(days=i % 900), 0, 1) for i in range(10_000)]
+    cal = spark.createDataFrame(cal, "station string, event string, date date, lower int, upper int")
+    y = lambda day: [20 + 5 * (i // 24 == 19) - 7 * (i // 24 in (day, day + 1)) for i in range(n)]
+    hist = series_frame(spark, y(9)).unionByName(series_frame(spark, y(40), "B"))
+    spec = md.ModelSpec(weekly=False, daily=False, yearly=False, events=md.event_terms(cal))
+    days = md.event_days(cal, spec.events)
+    assert spec.events == (("fair", 0), ("works", 0), ("works", 1))
+    coefs, scaling = md.fit_model(hist, spec, days)
+    top = {r.station: r.y_scale for r in scaling.collect()}
+    for r in coefs.collect():
+        assert np.allclose(np.array(r.beta[-3:]) * top[r.station], [5, -7, -7], atol=0.2)
+    pred = md.predict_model(coefs, scaling, hist, spec, days).join(hist, ["station", "product", "tank", "ds"])
+    assert pred.select(F.max(F.abs(F.col("yhat") - F.col("quantity")))).first()[0] < 0.5
 
 
 def test_event_window_expand_frame(spark):
     cal = spark.createDataFrame([("e", dt.date(2024, 8, 30), -1, 1)], S.CALENDAR)
-    got = sorted((r.offset, r.date) for r in md.event_window_expand(cal).collect())
+    got = sorted((r.offset, r.date) for r in md.event_window_expand(cal).where("station is null").collect())
     assert got == [(-1, dt.date(2024, 8, 29)), (0, dt.date(2024, 8, 30)), (1, dt.date(2024, 8, 31))]
 
 

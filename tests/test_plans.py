@@ -56,12 +56,12 @@ def test_readings_are_not_shuffled_row_by_row(spark):
         assert first != "Exchange"
 
 
-def test_partials_of_the_model_fit_are_one_a_series(spark):
+def test_sums_of_the_model_fit_are_one_a_series(spark):
     from tankflow.operators import model as md
     from tankflow.plans.pipeline import Pipeline
     import pyspark.sql.functions as F
-    rows = Pipeline(spark, SF).history.select("station", "product", "tank", F.array("quantity", F.lit(1.0)).alias("x"),
-                                              F.col("quantity").alias("y")).repartition(16)
-    grams = md.gram_by_series(rows, "x", "y")
-    assert grams.count() == rows.select("station", "product", "tank").distinct().count()
-    assert grams.agg(F.sum("n")).first()[0] == rows.count()
+    train = md.model_training_frame(Pipeline(spark, SF).history)
+    spec = md.ModelSpec()
+    grams = md.gram_by_series(md.training_rows(train, md.series_scaling(train, spec), spec))
+    assert grams.count() == train.select("station", "product", "tank").distinct().count()
+    assert grams.agg(F.sum("n")).first()[0] == train.count()
