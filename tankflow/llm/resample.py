@@ -60,11 +60,11 @@ def featurize(texts: list[bytes], ngrams: int, buckets: int, hashes: Hashes) ->
         words.append(m.group())
         starts.append(m.start())
     of = np.searchsorted(ends, np.array(starts, np.int64), side="right")
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint32, len(words))
+    h = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words))
     docs, found = [of], [h]
     for n in range(2, ngrams + 1):
         whole = np.flatnonzero(of[n - 1:] == of[:len(of) - n + 1]) if len(of) >= n else np.zeros(0, np.int64)
-        h = np.fromiter((zlib.crc32(b" ".join(words[i:i + n])) for i in whole.tolist()), np.uint32, len(whole))
+        h = np.fromiter((zlib.crc32(b" ".join(words[i:i + n])) for i in whole.tolist()), np.int64, len(whole))
         docs.append(of[whole])
         found.append(h)
     at = np.concatenate(docs)

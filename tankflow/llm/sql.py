@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tankflow.llm import hostrules, suffixes, urlrules, winnowing
+from tankflow.llm import clusters, hostrules, mixing, resample, suffixes, urlrules, winnowing
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -141,4 +141,106 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM doc LEFT JOIN total USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLE = {"op8_suffix_dedup": SUFFIX_DEDUP, "op2_url_filters": URL_FILTERS, "op5_host_rules": HOST_RULES, "op9_decontamination": DECONTAMINATION}
+# Rounds are written out, each as distances in long form (row, component) x (centroid, component).
+_ASSIGNED = """
+a{i} AS (
+    SELECT r, c, d FROM (SELECT r, c, sum((comp.x - c{i}.x) * (comp.x - c{i}.x)) AS d FROM comp JOIN c{i} USING (j) GROUP BY r, c)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+_MOVED = """
+c{n} AS (
+    SELECT c, j, coalesce(y, x) AS x FROM c{i} LEFT JOIN (
+        SELECT c, j, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS y FROM comp JOIN a{i} USING (r) GROUP BY c, j)
+    USING (c, j))"""
+
+CLUSTERS = rf"""
+WITH fine AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = {clusters.DIMS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {clusters.DIMS}),
+comp AS (
+    SELECT r, j, CAST(floor({clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT r, unnest(range({clusters.DIMS})) AS j, unnest(embedding) AS x FROM fine)),
+first AS (
+    SELECT r, row_number() OVER (ORDER BY sha256('{clusters.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), vec_id, embedding) - 1 AS c
+    FROM fine QUALIFY c < {clusters.K}),
+c0 AS (SELECT c, j, x FROM first JOIN comp USING (r)),
+{",".join(_ASSIGNED.format(i=i) + "," + _MOVED.format(i=i, n=i + 1) for i in range(clusters.ROUNDS))},
+{_ASSIGNED.format(i=clusters.ROUNDS)},
+digest AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS s FROM c{clusters.ROUNDS} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, s AS centroid_sha256
+FROM fine JOIN a{clusters.ROUNDS} USING (r) JOIN digest USING (c)
+"""
+
+# crc32 by its table, for each distinct word once.
+RESAMPLE = rf"""
+WITH crc AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+        FROM range(256) AS n(i))),
+doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+used AS (
+    SELECT r, unnest(words) AS w FROM doc
+    UNION ALL SELECT NULL, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+word AS (
+    SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295,
+               list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % {resample.BUCKETS} AS k
+    FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM used), crc),
+feature AS (SELECT r, k FROM used JOIN word USING (w)),
+total AS (SELECT count(r) AS s, count(*) - count(r) AS t FROM feature),
+gain AS (
+    SELECT k, CAST(floor(1000 * ln((CAST(n_t AS DOUBLE) + 1) * (s + {resample.BUCKETS}) / ((CAST(n_s AS DOUBLE) + 1) * (t + {resample.BUCKETS})))) AS BIGINT) AS g
+    FROM (SELECT k, count(r) AS n_s, count(*) - count(r) AS n_t FROM feature GROUP BY k), total),
+weight AS (
+    SELECT r, count(*) AS n, CAST((sum(g) - ((sum(g) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS w
+    FROM feature JOIN gain USING (k) WHERE r IS NOT NULL GROUP BY r),
+scored AS (
+    SELECT r, doc_id, len(words) AS n, coalesce(w, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' ||
+               substr(sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score,
+           coalesce(w, 0) AS weight
+    FROM doc LEFT JOIN weight USING (r)),
+ranked AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n) AS place, count(*) OVER () * {resample.PERCENT} // 100 AS draws
+    FROM scored WHERE n >= {resample.LEAST_WORDS})
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CAST(CASE WHEN place <= draws THEN place END AS BIGINT) AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+_BYTE_ORDER = "source NULLS LAST"
+MIX = rf"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+doc AS (SELECT row_number() OVER () AS r, *, row_number() OVER (PARTITION BY doc_id, source, size) AS number FROM sized),
+src AS (
+    SELECT source, source_size, [{", ".join(map(str, mixing.WEIGHTS))}][(row_number() OVER (ORDER BY {_BYTE_ORDER}) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight
+    FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM doc GROUP BY source)),
+budget AS (SELECT CAST(sum(source_size) * {mixing.SHARE_PERCENT} // 100 AS BIGINT) AS budget FROM src),
+-- sources in the order in which they reach their most: the level is the first by which the next one stays below
+open AS (
+    SELECT budget - coalesce(sum({mixing.EPOCHS} * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+           sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights,
+           {mixing.EPOCHS} * source_size AS most, weight, row_number() OVER w AS nr
+    FROM src, budget WINDOW w AS (ORDER BY CAST({mixing.EPOCHS} * source_size AS DOUBLE) / weight, {_BYTE_ORDER})),
+level AS (SELECT rest, weights FROM open WHERE weight * rest < most * weights ORDER BY nr LIMIT 1),
+target AS (
+    SELECT source, source_size, coalesce((SELECT least(CAST(weight * rest AS DOUBLE) / CAST(weights AS DOUBLE), CAST({mixing.EPOCHS} * source_size AS DOUBLE)) FROM level),
+                                         CAST({mixing.EPOCHS} * source_size AS DOUBLE)) AS target FROM src),
+queue AS (
+    SELECT r, doc_id, d.source, size, number, source_size, target, shuffled,
+           sum(size) OVER (PARTITION BY d.source ORDER BY shuffled, doc_id NULLS LAST, size, number) AS upto
+    FROM (SELECT *, CAST('0x' || substr(sha256(concat_ws(':', '{mixing.SEED}', CAST(doc_id AS VARCHAR), CAST(size AS VARCHAR), CAST(number AS VARCHAR))), 1, 15) AS BIGINT) AS shuffled
+          FROM doc) d JOIN target t ON d.source IS NOT DISTINCT FROM t.source),
+line AS (
+    SELECT r, size, sum(size) OVER (ORDER BY (upto + epoch * source_size) / target, {_BYTE_ORDER}, shuffled, doc_id NULLS LAST, size, number
+                                    ROWS UNBOUNDED PRECEDING) AS words
+    FROM queue, range({mixing.EPOCHS}) AS e(epoch) WHERE size > 0 AND target > 0),
+got AS (SELECT r, sum(size) AS taken FROM line, budget WHERE words <= budget GROUP BY r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM queue LEFT JOIN got USING (r)
+"""
+
+ORACLE = {"op8_suffix_dedup": SUFFIX_DEDUP, "op2_url_filters": URL_FILTERS, "op5_host_rules": HOST_RULES, "op9_decontamination": DECONTAMINATION,
+          "op11_clusters": CLUSTERS, "op12_resample": RESAMPLE, "op13_mix": MIX}

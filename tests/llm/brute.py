@@ -111,3 +111,101 @@ def pii_base(text):
 
 def crc(ids):
     return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
+
+
+LATIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def cluster(rows, k=40, rounds=5, dims=64, scale=256, seed="2"):
+    """(vec_id, cluster, distance, cluster inertia, inertia, digest) of the usable (vec_id, vector) rows, by all distances."""
+    kept = [(i, [scale * n // d for n, d in map(float.as_integer_ratio, v)], v) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and x == x and abs(x) != float("inf") for x in v)]
+    first = sorted(kept, key=lambda r: (hashlib.sha256(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[2]))[:k]
+    centroids = [x for _, x, _ in first]
+
+    def near(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        of = defaultdict(list)
+        for _, x, _ in kept:
+            of[near(x)[1]].append(x)
+        for n, some in of.items():
+            centroids[n] = [sum(c) // len(some) for c in zip(*some)]
+    found = [(i, *near(x)) for i, x, _ in kept]
+    inertia = Counter()
+    for _, d, n in found:
+        inertia[n] += d
+    long = lambda v: v if v < 1 << 63 else None
+    whole = {n: None if any(long(d) is None for _, d, m in found if m == n) else v for n, v in inertia.items()}
+    every = None if None in whole.values() else long(sum(whole.values()))
+    return [(i, n, long(d), None if whole[n] is None else long(whole[n]), every,
+             hashlib.sha256(",".join(map(str, centroids[n])).encode()).hexdigest()) for i, d, n in found]
+
+
+def resample(rows, items, ngrams=1, buckets=10_000, seed="2024", least=20, percent=10):
+    """(doc_id, n_features, weight, score, rank) of each (doc_id, text)."""
+    import math
+
+    def hashed(text):
+        w = LATIN.findall(lower(text or ""))
+        return len(w), [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets for n in range(1, ngrams + 1) for i in range(len(w) - n + 1)]
+
+    raw, goal = Counter(), Counter()
+    docs = [(i, *hashed(t)) for i, t in rows]
+    for _, _, f in docs:
+        raw.update(f)
+    for _, t in items:
+        goal.update(hashed(t)[1])
+    s, t = sum(raw.values()), sum(goal.values())
+    gain = lambda b: math.floor(1000 * math.log((goal[b] + 1) * (s + buckets) / ((raw[b] + 1) * (t + buckets))))
+    out = []
+    for i, n, f in docs:
+        weight = sum(map(gain, f)) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, n])
+    some = sorted((r for r in out if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for place, r in enumerate(some[:len(some) * percent // 100], 1):
+        r[4] = place
+    return [tuple(r[:5]) for r in out]
+
+
+def mix(rows, weights=(5, 2, 1), epochs=3, percent=100, seed="13"):
+    """(doc_id, size, source, source size, target, taken) of each (doc_id, text, source): one queue, served document by document."""
+    seen, docs = Counter(), []
+    for i, t, source in rows:
+        size = len(WORDS.findall(t or ""))
+        seen[i, source, size] += 1
+        number = seen[i, source, size]
+        parts = [seed, *([str(i)] if i is not None else []), str(size), str(number)]
+        h = int(hashlib.sha256(":".join(parts).encode()).hexdigest()[:15], 16)
+        docs.append((source, h, i, size, number))
+    sources = sorted({d[0] for d in docs}, key=lambda x: (x is None, (x or "").encode()))
+    total = {x: sum(d[3] for d in docs if d[0] == x) for x in sources}
+    weight = {x: weights[n % len(weights)] for n, x in enumerate(sources)}
+    budget = sum(total.values()) * percent // 100
+    target, open_ = {}, set(sources)
+    while open_:  # the excess goes to the others until none is above
+        rest, w = budget - sum(target.values()), sum(weight[x] for x in open_)
+        above = {x for x in open_ if weight[x] * rest / w >= epochs * total[x]}
+        if not above:
+            target |= {x: weight[x] * rest / w for x in open_}
+            break
+        target |= {x: epochs * total[x] for x in above}
+        open_ -= above
+    line = []
+    key = lambda d: (d[1], d[2] is None, d[2] or 0, d[3], d[4])
+    for x in sources:
+        words = 0
+        for _ in range(epochs):
+            for n, d in sorted(((n, d) for n, d in enumerate(docs) if d[0] == x), key=lambda p: key(p[1])):
+                words += d[3]
+                if d[3]:
+                    line.append((words / target[x], x is None, x or "", *key(d), n))
+    taken, left = Counter(), budget
+    for *_, n in sorted(line):
+        if docs[n][3] > left:
+            break
+        left -= docs[n][3]
+        taken[n] += docs[n][3]
+    return [(d[2], d[3], d[0], total[d[0]], round(float(target[d[0]]), 6), taken[n]) for n, d in enumerate(docs)]
