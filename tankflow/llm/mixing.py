@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tankflow.llm.common import materialise
-from tankflow.llm.ordering import range_sorted, rank, with_base
+from tankflow.llm.ordering import range_sorted, running, with_base
 
 WEIGHTS, SHARE_PERCENT, EPOCHS, SEED = (5, 2, 1), 100, 3, "13"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -45,14 +45,19 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return materialise(chunks.select("doc_id", "source", "size", F.explode(F.sequence("first", last)).alias("number")))
 
 
-def targets(by_source: DataFrame, weights: tuple = WEIGHTS, percent: int = SHARE_PERCENT, epochs: int = EPOCHS) -> DataFrame:
-    """(source, source_size, weight, target) from (source, source_size): one row a source."""
-    numbered = rank(materialise(by_source), [F.asc_nulls_last("source")], "at")
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("at") - 1, F.lit(len(weights))) + 1).cast("int"))
-    rows = materialise(numbered.select("source", "source_size", weight.cast("long").alias("weight")))
-    budget = (rows.agg(F.sum("source_size")).first()[0] or 0) * percent // 100
+def targets(by_source: DataFrame, weights: tuple = WEIGHTS, percent: int = SHARE_PERCENT, epochs: int = EPOCHS) -> tuple[DataFrame, int]:
+    """(source, source_size, before, target) from (source, source_size), one row a source, and the budget; ``before``: words
+    of all sources before it."""
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    sized = with_base(range_sorted(materialise(by_source), [F.asc_nulls_last("source")]), _at=F.lit(1), _before=F.col("source_size"))
+    turn = F.pmod(F.col("_at") + F.col("place"), F.lit(len(weights)))
+    rows = materialise(sized.select(
+        "source", "source_size", (F.col("_before") + F.coalesce(F.sum("source_size").over(inside), F.lit(0))).alias("before"),
+        F.element_at(F.array(*[F.lit(w) for w in weights]), (turn + 1).cast("int")).cast("long").alias("weight")))
+    whole = rows.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    budget = (whole.size or 0) * percent // 100
     most = F.col("source_size") * epochs
-    full, open_weight = 0, rows.agg(F.sum("weight")).first()[0] or 0  # what sources at their most hold, weight of the others
+    full, open_weight = 0, whole.weight or 0  # what sources at their most hold, weight of the others
     while open_weight:
         share = F.col("weight") * F.lit(budget - full) / F.lit(float(open_weight))
         got = rows.agg(F.sum(F.when(share >= most, most)).alias("full"), F.sum(F.when(share < most, F.col("weight"))).alias("open")).first()
@@ -60,13 +65,7 @@ def targets(by_source: DataFrame, weights: tuple = WEIGHTS, percent: int = SHARE
         if before == (full, open_weight):
             break
     target = F.least(F.col("weight") * F.lit(budget - full) / F.lit(float(open_weight)), most.cast("double")) if open_weight else most.cast("double")
-    return rows.withColumn("target", target)
-
-
-def running(rows: DataFrame, amount: str, name: str) -> DataFrame:
-    """``rows`` of ``range_sorted`` with the sum of ``amount`` over all rows up to each one."""
-    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    return with_base(rows, F.col(amount), "_base").withColumn(name, F.col("_base") + F.sum(amount).over(inside)).drop("_base")
+    return rows.withColumn("target", target), budget
 
 
 #: The order in which documents finish; only the first is needed but for ties.
@@ -77,22 +76,20 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, percent: int = SHARE_PERCENT,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, size, source, source_size, target, taken) of every row; taken: words the mix takes of it, repeats counted."""
     rows = sizes(docs, id_col, text_col, source_col)
-    by_source = materialise(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, epochs))
+    by_source, budget = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, epochs)
     hashed = F.sha2(F.concat_ws(":", F.lit(seed), *[F.col(c).cast("string") for c in ("doc_id", "size", "number")]), 256)
     rows = rows.withColumn("shuffled", F.conv(F.substring(hashed, 1, 15), 16, 10).cast("long"))
     # sources follow each other in this order: a source's words so far are all words so far, less those of the sources before
     upto = running(range_sorted(rows, [F.asc_nulls_last(c) for c in LINE[1:]]), "size", "upto")
-    before = running(range_sorted(by_source, [F.asc_nulls_last("source")]), "source_size", "_all")
-    before = before.select(F.col("source").alias("_source"), "source_size", "target", (F.col("_all") - F.col("source_size")).alias("before"))
-    queue = materialise(upto.join(before, F.col("source").eqNullSafe(F.col("_source")))
+    of_source = by_source.select(F.col("source").alias("_source"), "source_size", "target", "before")
+    queue = materialise(upto.join(of_source, F.col("source").eqNullSafe(F.col("_source")))
                         .select(*LINE[1:], "source_size", "target", (F.col("upto") - F.col("before")).alias("upto")))
     finish = lambda epoch: (F.col("upto") + epoch * F.col("source_size")) / F.col("target")
     entries = (queue.where("size > 0 and target > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
                .select(finish(F.col("epoch")).alias("finish"), *LINE[1:]))
-    line = range_sorted(materialise(entries), [F.asc_nulls_last(c) for c in LINE])
-    budget = (by_source.agg(F.sum("source_size")).first()[0] or 0) * percent // 100
+    line = range_sorted(entries, [F.asc_nulls_last(c) for c in LINE])
     # the range in which the budget ends, and the first entry in it that doesn't fit
-    ends = with_base(line.groupBy("part").agg(F.sum("size").alias("size")), F.col("size"), "_base")
+    ends = with_base(line.groupBy("part").agg(F.sum("size").alias("size")), _base=F.col("size"))
     cut = ends.where(F.col("_base") + F.col("size") > budget).orderBy("part").first()
     if cut is None:
         taken_in = lambda epoch: F.lit(True)
