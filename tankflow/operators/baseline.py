@@ -16,29 +16,36 @@ K = SERIES_KEY
 CELL = K + ["weekday", "hour"]
 
 
-def rolling_baseline(history: DataFrame, window: int) -> DataFrame:
+def observed(history: DataFrame, exclude_filled: bool) -> DataFrame:
+    """``history``, or only its hours with an observation (``series.clean_hourly_series(provenance=True)`` has the flag)."""
+    return history.filter(~F.col("filled")).drop("filled") if exclude_filled else history
+
+
+def rolling_baseline(history: DataFrame, window: int, *, exclude_filled: bool = False) -> DataFrame:
     """Rolling mean per (key, weekday, hour) over the last ``window`` rows,
-    ``min_periods=1``; one output row per history row."""
+    ``min_periods=1``; one output row per history row. ``exclude_filled`` leaves gap-filled hours out (here and
+    below), so that zeros which nobody measured don't enter the mean."""
+    history = observed(history, exclude_filled)
     w = Window.partitionBy(*CELL).orderBy("ds").rowsBetween(-(window - 1), 0)
     return history.withColumn("rolling_mean", F.avg("quantity").over(w))
 
 
-def last_n_per_cell(history: DataFrame, cfg: DataFrame) -> DataFrame:
+def last_n_per_cell(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False) -> DataFrame:
     """The last ``window`` rows (by ds) of each (key, weekday, hour) cell.
 
     ``window`` comes from the per-series configuration.
     """
-    h = history.join(cfg.select(*K, "window"), K)
+    h = observed(history, exclude_filled).join(cfg.select(*K, "window"), K)
     rank = F.row_number().over(Window.partitionBy(*CELL).orderBy(F.col("ds").desc()))
     return h.withColumn("rn", rank).filter(F.col("rn") <= F.col("window")).drop("rn", "window")
 
 
-def similar_day_baseline(history: DataFrame, cfg: DataFrame) -> DataFrame:
+def similar_day_baseline(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False) -> DataFrame:
     """Mean of the last ``window`` observations of each (weekday, hour).
 
     Equal to the last value of a ``min_periods=1`` rolling mean.
     """
-    return (last_n_per_cell(history, cfg)
+    return (last_n_per_cell(history, cfg, exclude_filled=exclude_filled)
             .groupBy(*CELL).agg(F.avg("quantity").alias("baseline")))
 
 

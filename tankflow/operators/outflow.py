@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefmt as tf
 from ..session import cut_lineage
+from ..sources.layout import MONTH
 from ..sources.schema import SERIES_KEY
 
 K = SERIES_KEY
@@ -63,6 +64,13 @@ def year_month_filter(ts: Column, year: int, months: Iterable[int]) -> Column:
     return cond if cond is not None else F.lit(False)
 
 
+def in_months(df: DataFrame, ts: str, year: int, months: Iterable[int]) -> DataFrame:
+    """F2 on a frame: the range filter, and on a frame laid out by ``layout.MONTH`` also its partitions."""
+    months = sorted(set(int(m) for m in months))
+    out = df.filter(year_month_filter(F.col(ts), year, months))
+    return out.filter(F.col(MONTH).isin([100 * year + m for m in months])).drop(MONTH) if MONTH in df.columns else out
+
+
 def between_dates(ts: Column, start: dt.date, end: dt.date) -> Column:
     """``ts BETWEEN TO_DATE(start) AND TO_DATE(end)``; the upper bound is midnight."""
     lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
@@ -96,16 +104,33 @@ def receipts_with_shift(receipts: DataFrame, shifts: DataFrame, *, year: int,
     # a few rows a station and day: written, so that the join is planned with their real size
     z = cut_lineage(shifts.filter(year_month_filter(F.col("shift_start"), year, months)))
     # implied by the join equality; stated so it also reaches the receipts scan
-    r = _restrict(receipts, stations, None).filter(year_month_filter(F.col("shift_start"), year, months))
+    r = in_months(_restrict(receipts, stations, None), "shift_start", year, months)
     return r.join(z, ["station", "znum", "shift_start"], "inner")
 
 
+def shifts_with_receipts(receipts: DataFrame, shifts: DataFrame, *, year: int, months: Iterable[int],
+                         stations: Sequence[str] | None = None) -> DataFrame:
+    """J1 in its outer form (receipts RIGHT JOIN shifts): every shift report of the months, with its receipts or, where it
+    has none, with null ``id`` and ``start_ts``."""
+    cond = year_month_filter(F.col("shift_start"), year, months)
+    z = _restrict(shifts, stations, None).filter(cond).select("station", "znum", "shift_start")
+    r = _restrict(receipts, stations, None).filter(cond).select("id", "station", "znum", "shift_start", "start_ts")
+    return r.join(z, ["station", "znum", "shift_start"], "right")
+
+
+def receipts_with_items(receipts: DataFrame, items: DataFrame) -> DataFrame:
+    """J2 in its outer form (receipts LEFT JOIN items): every row of ``receipts``, with its items or null item columns."""
+    it = items.select("receipt_id", "product", "tank", "prodtype", "bruto", "volume")
+    return receipts.join(it, F.col("id") == F.col("receipt_id"), "left").drop("receipt_id")
+
+
 def pos_hourly_sales(receipts: DataFrame, shifts: DataFrame, items: DataFrame, *,
                      year: int, months: Iterable[int], stations: Sequence[str] | None = None,
                      net_only_stations: Sequence[str] = ()) -> DataFrame:
     """A1 (NP): POS volume per station, product, tank and hour.
 
-    Output: station, product, tank, hour_ts, pos_volume.
+    Output: station, product, tank, hour_ts, pos_volume. Receipts and items bucketed by receipt id
+    (``sources.layout``) are joined without an exchange.
     """
     rz = receipts_with_shift(receipts, shifts, year=year, months=months, stations=stations)
     it = items.select("receipt_id", "product", "tank", "prodtype", "bruto", "volume")

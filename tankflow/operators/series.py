@@ -79,10 +79,11 @@ def series_grid(bounds: DataFrame) -> DataFrame:
     return bounds.select(*K, F.explode(tf.hourly_grid("grid_start", "grid_end")).alias("ds"))
 
 
-def gapfill(grid: DataFrame, obs: DataFrame, fill: float = 0.0) -> DataFrame:
-    """Reindex onto the grid; missing hours get ``fill``."""
-    j = grid.join(obs, K + ["ds"], "left")
-    return j.select(*K, "ds", F.coalesce(F.col("quantity"), F.lit(float(fill))).alias("quantity"))
+def gapfill(grid: DataFrame, obs: DataFrame, fill: float = 0.0, *, provenance: bool = False) -> DataFrame:
+    """Reindex onto the grid; missing hours get ``fill``. With ``provenance`` a flag ``filled`` says which."""
+    j = grid.join(obs.withColumn("_seen", F.lit(True)), K + ["ds"], "left")
+    flag = [F.col("_seen").isNull().alias("filled")] if provenance else []
+    return j.select(*K, "ds", F.coalesce(F.col("quantity"), F.lit(float(fill))).alias("quantity"), *flag)
 
 
 def add_calendar_columns(series: DataFrame) -> DataFrame:
@@ -91,8 +92,10 @@ def add_calendar_columns(series: DataFrame) -> DataFrame:
 
 
 def clean_hourly_series(hourly: DataFrame, cfg: DataFrame | None = None, *,
-                        rollover: str = "all", fill: float = 0.0, lenient: bool = True) -> DataFrame:
-    """Extract -> (key, ds, quantity, weekday, hour) on a complete hourly grid.
+                        rollover: str = "all", fill: float = 0.0, lenient: bool = True,
+                        provenance: bool = False) -> DataFrame:
+    """Extract -> (key, ds, quantity, weekday, hour) on a complete hourly grid; with ``provenance``
+    also ``filled``, true for hours that no observation stands behind.
 
     Rows without a place (see ``rejected_rows``) are left out, or raise with ``lenient=False``.
     When ``cfg`` is given only its series are kept (a semi join, the
@@ -102,7 +105,7 @@ def clean_hourly_series(hourly: DataFrame, cfg: DataFrame | None = None, *,
         hourly = hourly.join(cfg.select(*K), K, "left_semi")
     obs = dedupe_mean(parse_hourly(hourly, rollover=rollover, lenient=lenient))
     grid = series_grid(series_bounds(obs))
-    return add_calendar_columns(gapfill(grid, obs, fill))
+    return add_calendar_columns(gapfill(grid, obs, fill, provenance=provenance))
 
 
 def mean_by_ds_weekday(series: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 A plain ``lag().over(partitionBy(series).orderBy(ts))`` sends every reading
 of a tank to one task; a tank holding a third of all readings would then be
-a third of the job in one task. ``segmented_lead_lag`` splits each series
-into time segments (an hour by default): in-segment LEAD/LAG are windows
-over (series, segment); the rows at a segment edge take their neighbour
-from a per-segment first/last aggregate (partial aggregation, one row per
-segment) shifted by one segment. The result equals the unsegmented window.
+a third of the job in one task. ``segmented_lead_lag`` range-partitions the
+readings by (series, time segment), an hour by default. The windows over (series,
+segment) need no other exchange, as rows of a segment are together, so readings
+are dealt out and sorted once. They are written with their neighbours; only the first and last row
+of each segment, which lack one, are read again: the halo of each segment is the last row of
+the segment before it and the first of the one after. The result equals the
+unsegmented window.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def segmented_lead_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                        values: Sequence[str], segment: str = "HOUR", time_col: str | None = None,
@@ -28,29 +32,24 @@ def segmented_lead_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order, values = list(keys), list(order), list(values)
     tcol = time_col or order[0]
     seg = "_seg"
+    at = "_at"  # one column: a key column that the planner finds constant would be left out of the windows only
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     d = df.withColumn(seg, F.date_trunc(segment, F.col(tcol)).cast("timestamp_ntz"))
-    w = Window.partitionBy(*keys, seg).orderBy(*order)
-    # in-segment neighbours; a row without one stands at its segment's edge
+    d = d.withColumn(at, F.struct(*keys, seg)).repartitionByRange(n, at)
+    w = Window.partitionBy(at).orderBy(*order)
     cols = {}
     for v in values:
-        cols[f"_in_next_{v}"] = F.lead(v, 1).over(w)
-        cols[f"_in_prev_{v}"] = F.lag(v, 1).over(w)
+        cols[prefix_lead + v] = F.lead(v, 1).over(w)
+        cols[prefix_lag + v] = F.lag(v, 1).over(w)
     cols["_is_first"] = F.lag(order[0], 1).over(w).isNull()
     cols["_is_last"] = F.lead(order[0], 1).over(w).isNull()
-    inside = d.withColumns(cols)
-    # first and last values of each segment by partial aggregates: one row a task and segment is shuffled
-    at = F.struct(*order)
-    edges = d.groupBy(*keys, seg).agg(*[F.min_by(v, at).alias(f"_first_{v}") for v in values],
-                                      *[F.max_by(v, at).alias(f"_last_{v}") for v in values])
-    sw = Window.partitionBy(*keys).orderBy(seg)
-    edges = edges.select(*keys, seg,
-                         *[F.lag(f"_last_{v}", 1).over(sw).alias(f"_pseg_{v}") for v in values],
-                         *[F.lead(f"_first_{v}", 1).over(sw).alias(f"_nseg_{v}") for v in values])
-    j = inside.join(edges, keys + [seg], "left")
-    out = {}
+    inside = cut_lineage(d.withColumns(cols).drop(at))
+    edge = F.col("_is_first") | F.col("_is_last")
+    # one or two rows a segment: each takes what it lacks from the edge row next to it
+    sw = Window.partitionBy(*keys).orderBy(seg, F.desc("_is_first"), "_is_last", *order)
+    fixed = {}
     for v in values:
-        out[prefix_lead + v] = F.when(F.col("_is_last"), F.col(f"_nseg_{v}")).otherwise(F.col(f"_in_next_{v}"))
-        out[prefix_lag + v] = F.when(F.col("_is_first"), F.col(f"_pseg_{v}")).otherwise(F.col(f"_in_prev_{v}"))
-    j = j.withColumns(out)
-    drop = [c for c in j.columns if c.startswith("_")]
-    return j.drop(*drop)
+        fixed[prefix_lead + v] = F.when(F.col("_is_last"), F.lead(v, 1).over(sw)).otherwise(F.col(prefix_lead + v))
+        fixed[prefix_lag + v] = F.when(F.col("_is_first"), F.lag(v, 1).over(sw)).otherwise(F.col(prefix_lag + v))
+    edges = inside.filter(edge).withColumns(fixed)
+    return inside.filter(~edge).unionByName(edges).drop(seg, "_is_first", "_is_last")

@@ -540,6 +540,125 @@ def _j2(spark, sf):
     return rounded(j.select("id", "station", "product", "tank", "volume"))
 
 
+@register("receipts_right_join_shift_outer", O.sql("""
+    SELECT r.id, z.station, z.znum, z.shift_start, r.start_ts
+    FROM receipts r RIGHT JOIN shifts z ON r.station = z.station AND r.znum = z.znum AND r.shift_start = z.shift_start
+    WHERE z.shift_start >= TIMESTAMP '2024-01-01' AND z.shift_start < TIMESTAMP '2024-02-01'""", "receipts", "shifts"))
+def _j1_outer(spark, sf):
+    """Shift reports with their receipts, and those without any."""
+    from ..operators.outflow import shifts_with_receipts
+    p = Pipeline(spark, sf)
+    return shifts_with_receipts(p.receipts, p.shifts, year=2024, months=[1]).select("id", "station", "znum", "shift_start", "start_ts")
+
+
+@register("receipts_left_join_items_outer", O.sql(f"""
+    SELECT r.id, r.station, i.product, i.tank, i.prodtype, {O.r6('i.volume', 'volume')}
+    FROM receipts r LEFT JOIN items i ON i.receipt_id = r.id
+    WHERE r.start_ts >= TIMESTAMP '2024-01-01' AND r.start_ts < TIMESTAMP '2024-02-01'""", "receipts", "items"))
+def _j2_outer(spark, sf):
+    """Receipts with their items, and those without any."""
+    from ..operators.outflow import in_months, receipts_with_items
+    p = Pipeline(spark, sf)
+    r = in_months(p.receipts, "start_ts", 2024, [1])
+    return rounded(receipts_with_items(r, p.items).select("id", "station", "product", "tank", "prodtype", "volume"))
+
+
+def _laid_out(spark, sf, buckets: int = 16):
+    from ..sources import layout
+    p = Pipeline(spark, sf)
+    return p, layout.bucketed(p.receipts, "id", buckets, month_ts="shift_start"), layout.bucketed(p.items, "receipt_id", buckets)
+
+
+@register("laid_out_pos_sales", O.sql(
+    f"SELECT {K3}, hour_ts, {O.r6('sold', 'pos_volume')} FROM pos_volume", "pos_volume"))
+def _laid_out_pos(spark, sf):
+    """A1 over receipts laid out by month and, like their items, bucketed by receipt id."""
+    from ..operators import outflow as of
+    p, receipts, items = _laid_out(spark, sf)
+    return rounded(of.pos_hourly_sales(receipts, p.shifts, items, year=p.year, months=p.months, net_only_stations=p.net_only_stations))
+
+
+@register("laid_out_readings", O.sql(f"""
+    SELECT {K3}, CAST(count(*) AS BIGINT) AS readings, min(ts) AS first_ts, max(ts) AS last_ts
+    FROM gauges WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01' GROUP BY {K3}""", "gauges"))
+def _laid_out_readings(spark, sf):
+    """F2 over readings laid out by month."""
+    from ..operators.outflow import in_months
+    from ..sources import layout
+    g = in_months(layout.by_month(Pipeline(spark, sf).gauges, "ts"), "ts", 2024, [1])
+    return g.groupBy("station", "product", "tank").agg(F.count("*").alias("readings"), F.min("ts").alias("first_ts"),
+                                                       F.max("ts").alias("last_ts"))
+
+
+@register("scan_jdbc_params", O.sql(f"""
+    SELECT station, strftime(r_day, '%d.%m.%Y') AS r_day, r_hour, product, tank, {O.r6('COALESCE(volume, 0)', 'volume')} FROM orders
+    WHERE station = 'S1' AND product = {3300000002} AND tank = 1""", "orders"))
+def _s3(spark, sf):
+    """Hourly orders of one station, fuel and tank by SQL text with bound parameters."""
+    from ..sources import readers
+    found = readers.bound_orders(Pipeline(spark, sf).orders, station="S1", product=3300000002, tank=1)
+    return rounded(found.withColumn("r_day", F.date_format("r_day", "dd.MM.yyyy")))
+
+
+# ---------------------------------------------------------------- baselines of observed hours only (Q10)
+_OBSERVED = {"seen": (("history", "obs"), f"""
+        SELECT h.* FROM history h SEMI JOIN obs o ON {O.keys_eq('h', 'o')} AND h.ds = o.ds""")}
+_OBSERVED["ranked"] = (("seen", "cfg"), O.CTES["ranked"][1].replace("FROM history h", "FROM seen h"))
+
+register("similar_day_mean_observed", O.sql(
+    f"SELECT {K3}, weekday, hour, {O.r6('baseline', 'baseline')} FROM baseline", "baseline", overrides=_OBSERVED))(
+    lambda spark, sf: rounded(Pipeline(spark, sf, exclude_filled=True).baseline))
+
+register("hybrid_forecast_observed", O.sql(
+    f"SELECT {K3}, ds, weekday, hour, {O.r6('baseline', 'baseline')}, model_yhat, {O.r6('yhat', 'yhat')} FROM forecast", "forecast",
+    overrides=_OBSERVED))(lambda spark, sf: rounded(Pipeline(spark, sf, exclude_filled=True).forecast))
+
+
+@register("last_n_per_cell_observed", O.sql(
+    f"SELECT {K3}, ds, weekday, hour, {O.r6('quantity', 'quantity')} FROM ranked WHERE rn <= win", "ranked", overrides=_OBSERVED))
+def _w5_observed(spark, sf):
+    from ..operators.baseline import last_n_per_cell
+    p = Pipeline(spark, sf, exclude_filled=True)
+    return rounded(last_n_per_cell(p.history, p.cfg, exclude_filled=True))
+
+
+@register("rolling_mean_observed", O.sql(f"""
+    SELECT {K3}, ds, weekday, hour, {O.r6('quantity', 'quantity')},
+           {O.r6('avg(quantity) OVER (PARTITION BY station, product, tank, weekday, hour ORDER BY ds '
+                 'ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)', 'rolling_mean')}
+    FROM seen""", "seen", overrides=_OBSERVED))
+def _w4_observed(spark, sf):
+    from ..operators.baseline import rolling_baseline
+    return rounded(rolling_baseline(Pipeline(spark, sf, exclude_filled=True).history, 2, exclude_filled=True))
+
+
+@register("empty_extract_chain", O.sql("""
+    SELECT 'extract' AS stage, CAST(count(*) AS BIGINT) AS row_count FROM hourly
+    UNION ALL SELECT 'series', count(*) FROM series UNION ALL SELECT 'baseline', count(*) FROM baseline
+    UNION ALL SELECT 'forecast', count(*) FROM forecast UNION ALL SELECT 'depletion', count(*) FROM depletion
+    UNION ALL SELECT 'first_dead_stock', count(*) FROM first_dead UNION ALL SELECT 'scored', count(*) FROM scored
+    UNION ALL SELECT 'mean_accuracy', count(*) FROM mean_acc""",
+    "hourly", "series", "baseline", "forecast", "depletion", "first_dead", "scored", "mean_acc",
+    overrides={"gauges": ((), O.CTES["gauges"][1] + " WHERE user_id % 4 = 9")}))
+def _empty_chain(spark, sf):
+    """The extract of a station without readings is a file with a header only; read back, it runs through every
+    later stage and gives no rows, with the columns of any other extract."""
+    from ..session import checkpoint_dir
+    from ..sources import readers
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tankflow-tables/{uuid.uuid4().hex}"
+    readers.write_extract_csv(Pipeline(spark, sf, stations=["S9"]).hourly_plan, path)
+    p = Pipeline(spark, sf)
+    p.hourly = readers.read_hourly_csv(spark, path)
+    stages = [("extract", p.hourly), ("series", p.series), ("baseline", p.baseline), ("forecast", p.forecast), ("depletion", p.depletion),
+              ("first_dead_stock", p.first_dead_stock), ("scored", p.comparison), ("mean_accuracy", p.mean_accuracy)]
+    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("stage"), "row_count") for name, df in stages]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 @register("lead_lag_readings", O.sql(f"""
     SELECT x.station, x.product, x.tank, x.reading_id, a.volume AS next_volume, b.volume AS prev_volume,
            strftime(a.ts, '%d.%m.%Y %H:%M') AS next_text, strftime(b.ts, '%d.%m.%Y %H:%M') AS prev_text,

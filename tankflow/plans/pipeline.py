@@ -28,7 +28,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, sf_dir: str, *, year: int = fx.TEST_YEAR,
                  months=fx.TEST_MONTHS, bounds: tuple[dt.date, dt.date] = fx.TEST_BOUNDS,
-                 stations=None, net_only_stations=fx.TEST_NET_ONLY, rollover: str = "all",
+                 stations=None, net_only_stations=fx.TEST_NET_ONLY, rollover: str = "all", exclude_filled: bool = False,
                  model: str | None = None, source: str = "extract", **scenario):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -38,6 +38,7 @@ class Pipeline:
         self.stations = stations
         self.net_only_stations = tuple(net_only_stations)
         self.rollover = rollover
+        self.exclude_filled = exclude_filled
         self.model_kind = model
         if source not in ("extract", "orders", "gauges"):
             raise ValueError(f"source {source!r}")
@@ -105,7 +106,8 @@ class Pipeline:
     @cached_property
     def series(self) -> DataFrame:
         """C3 output, checkpointed: read by the history, actual and model stages."""
-        return cut_lineage(se.clean_hourly_series(self.hourly, self.cfg, rollover=self.rollover))
+        return cut_lineage(se.clean_hourly_series(self.hourly, self.cfg, rollover=self.rollover,
+                                                   provenance=self.exclude_filled))
 
     @cached_property
     def history(self) -> DataFrame:
@@ -118,7 +120,7 @@ class Pipeline:
     # -- baseline, model, C4 ----------------------------------------------
     @cached_property
     def baseline(self) -> DataFrame:
-        return bl.similar_day_baseline(self.history, self.cfg)
+        return bl.similar_day_baseline(self.history, self.cfg, exclude_filled=self.exclude_filled)
 
     @cached_property
     def calendar(self) -> DataFrame:

@@ -32,14 +32,16 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
     reject it and the quality report counts it.
     """
     # read as text and cast here: the reader only notices bad cells of columns that the query selects
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in S.HOURLY.fields])
-    raw = spark.read.schema(text).option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in S.HOURLY.fields] + [T.StructField("_line", T.StringType())])
+    # all columns are parsed whatever the query selects, else a line with more cells than columns would pass unseen
+    raw = (spark.read.schema(text).option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(path))
     cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in S.HOURLY.fields}
-    bad = F.lit(False)
+    bad = F.col("_line").isNotNull()  # more or fewer cells than columns
     for name, value in cast.items():
         bad = bad | (F.col(name).isNotNull() & value.isNull())
     line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in S.HOURLY.fields])
-    return raw.select(*[c.alias(n) for n, c in cast.items()], F.when(bad, line).alias("corrupt_record"))
+    return raw.select(*[c.alias(n) for n, c in cast.items()], F.when(bad, F.coalesce("_line", line)).alias("corrupt_record"))
 
 
 def empty_hourly(spark: SparkSession) -> DataFrame:
@@ -77,6 +79,15 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, *, table:
     return r.load()
 
 
+def _product(product: int | None, fuel: str | None) -> int | None:
+    if fuel is None:
+        return product
+    codes = dict(S.FUEL_CODES)
+    if fuel not in codes:
+        raise ValueError(f"unknown fuel {fuel!r}")
+    return codes[fuel]
+
+
 def read_orders(spark: SparkSession, url: str, table: str, *, station=None, product=None, tank=None, fuel: str | None = None,
                 properties: dict | None = None, **jdbc) -> DataFrame:
     """S3: the parameterised read of hourly orders (station, fuel code, tank).
@@ -86,11 +97,7 @@ def read_orders(spark: SparkSession, url: str, table: str, *, station=None, prod
     null -> 0 happens in ``series.orders_as_hourly``). ``fuel`` names the product; a name
     that the fuel list does not have raises.
     """
-    if fuel is not None:
-        codes = dict(S.FUEL_CODES)
-        if fuel not in codes:
-            raise ValueError(f"unknown fuel {fuel!r}")
-        product = codes[fuel]
+    product = _product(product, fuel)
     df = read_jdbc(spark, url, table=table, properties=properties, **jdbc)
     df = df.select(*[F.col(src).alias(dst) for src, dst in ORDERS_SOURCE_COLUMNS.items()])
     if station is not None:
@@ -109,6 +116,20 @@ def read_orders(spark: SparkSession, url: str, table: str, *, station=None, prod
     )
 
 
+#: S3 as SQL text: the names after the colons are bound, never pasted in.
+ORDERS_SQL = """
+SELECT station, CAST(date_trunc('DAY', r_day) AS DATE) AS r_day, r_hour, product, tank, COALESCE(volume, 0D) AS volume
+FROM {orders}
+WHERE station = :station AND product = :product AND tank = :tank
+"""
+
+
+def bound_orders(orders: DataFrame, *, station: str, product: int | None = None, tank: int, fuel: str | None = None) -> DataFrame:
+    """S3 as parameterised SQL over a frame of hourly orders: parameters are bound as typed values (``args``), so a value
+    can't change the statement. ``fuel`` names the product, as in ``read_orders``."""
+    return orders.sparkSession.sql(ORDERS_SQL, args={"station": station, "product": _product(product, fuel), "tank": tank}, orders=orders)
+
+
 def with_original_headers(df: DataFrame, headers: dict[str, str]) -> DataFrame:
     """Rename canonical columns back to the source's headers."""
     back = {v: k for k, v in headers.items()}

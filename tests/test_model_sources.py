@@ -184,6 +184,64 @@ def test_corrupt_csv_rows_are_kept_and_counted(spark, tmp_path):
     assert {r.finding: r.row_count for r in quality_report(h).collect()}["corrupt_row"] == 1
 
 
+def test_csv_lines_with_too_many_cells_are_corrupt(spark, tmp_path):
+    """An unquoted decimal comma makes a cell too many: the line is kept whole and rejected, whatever columns are read."""
+    from tankflow.operators import series as se
+    from tankflow.operators.quality import quality_report
+    p = str(tmp_path / "extra.csv")
+    lines = ["A1,3300000010,4,16.09.2024,17,12,5", "A1,3300000010,4,16.09.2024,18,2.5", "A1,3300000010,4,16.09.2024"]
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(",".join(S.HOURLY_HEADERS) + "\n" + "\n".join(lines) + "\n")
+    h = rd.read_hourly_csv(spark, p)
+    assert sorted(r.corrupt_record for r in h.collect() if r.corrupt_record) == sorted([lines[0], lines[2]])
+    assert [r.q for r in se.parse_hourly(h).collect()] == [2.5]
+    assert h.select("station").where("corrupt_record is not null").count() == 2
+    assert {r.finding: r.row_count for r in quality_report(h).collect()}["corrupt_row"] == 2
+
+
+def test_bound_parameters_are_values(spark):
+    rows = [("A", dt.date(2024, 1, 1), 5, 3300000010, 2, None), ("B' OR '1'='1", dt.date(2024, 1, 1), 5, 3300000010, 2, 7.0),
+            ("A", dt.date(2024, 1, 1), 6, 3300000010, 1, 1.0)]
+    orders = spark.createDataFrame(rows, "station string, r_day date, r_hour int, product long, tank int, volume double")
+    get = lambda **x: [(r.station, r.r_hour, r.volume) for r in rd.bound_orders(orders, **x).collect()]
+    assert get(station="A", product=3300000010, tank=2) == [("A", 5, 0.0)]
+    assert get(station="B' OR '1'='1", product=3300000010, tank=2) == [("B' OR '1'='1", 5, 7.0)]
+    assert get(station="x' OR '1'='1", product=3300000010, tank=2) == []
+    name, code = S.FUEL_CODES[0]
+    assert rd.bound_orders(orders, station="A", fuel=name, tank=2).count() == sum(r[3] == code and r[0] == "A" and r[4] == 2 for r in rows)
+    with pytest.raises(ValueError):
+        rd.bound_orders(orders, station="A", fuel="no such fuel", tank=2)
+
+
+def test_filled_hours_can_be_left_out(spark):
+    from tankflow.operators import baseline as bl
+    from tankflow.operators import series as se
+    rows = [("A", 1, 1, "01.01.2024", 5, 10.0), ("A", 1, 1, "15.01.2024", 5, 30.0), ("A", 1, 1, "15.01.2024", 6, 0.0)]
+    h = spark.createDataFrame(rows, S.HOURLY)
+    series = se.clean_hourly_series(h, provenance=True)
+    assert series.where("not filled").count() == 3 and series.where("filled and quantity <> 0").count() == 0
+    cfg = spark.createDataFrame([("A", 1, 1, 4)], "station string, product long, tank int, window int")
+    cell = lambda **x: {(r.weekday, r.hour): r.baseline for r in bl.similar_day_baseline(series, cfg, **x).collect()}
+    assert cell()[0, 5] == 40 / 3 and cell()[0, 6] == 0
+    assert cell(exclude_filled=True) == {(0, 5): 20.0, (0, 6): 0.0}
+    rolled = {r.ds: r.rolling_mean for r in bl.rolling_baseline(series, 2, exclude_filled=True).collect()}
+    assert rolled == {dt.datetime(2024, 1, 1, 5): 10.0, dt.datetime(2024, 1, 15, 5): 20.0, dt.datetime(2024, 1, 15, 6): 0.0}
+
+
+def test_halo_rows_of_a_hot_series(spark):
+    """Two thirds of the readings are one tank's, with long gaps and ties in time."""
+    rnd, t, rows = random.Random(7), dt.datetime(2024, 1, 1), []
+    for i in range(3000):
+        t += dt.timedelta(seconds=rnd.choice([0, 0, 5, 40, 900, 90_000]))
+        rows.append((rnd.choice("AAB"), t, i, rnd.uniform(0, 9) if i % 7 else None))
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, v double").repartition(5)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    plain = {(r.id, r.n, r.p) for r in df.select("id", F.lead("v").over(w).alias("n"), F.lag("v").over(w).alias("p")).collect()}
+    got = segmented_lead_lag(df, ["k"], ["ts", "id"], ["v"])
+    assert got.columns == ["k", "ts", "id", "v", "next_v", "prev_v"]
+    assert {(r.id, r.next_v, r.prev_v) for r in got.collect()} == plain
+
+
 def test_extract_csv_with_pairs(spark, tmp_path):
     df = spark.createDataFrame([("A100", 3300000010, 4, "16.09.2024", 17, 6.5, 3)],
                                "station string, product long, tank int, date string, hour int, quantity double, pairs long")

@@ -12,8 +12,6 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 PYTHON_OK = {"model_fit", "model_predict", "model_forecast", "model_seasonality_mode", "model_gram", "model_fit_check"}
-# the first and last row of a segment are picked by (ts, reading_id): the partial aggregate sorts inside its task
-SORT_OK = {"lead_lag_readings"}
 Q = catalog.queries()
 
 
@@ -26,8 +24,7 @@ def check_plan_shape(name, df):
     plan = _plan(df)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
-    if name not in SORT_OK:
-        assert "SortAggregate" not in plan      # every aggregate keeps hash-able buffers
+    assert "SortAggregate" not in plan      # every aggregate keeps hash-able buffers
     if name not in PYTHON_OK:
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroupsInPandas"):
             assert node not in plan, node
@@ -65,3 +62,31 @@ def test_sums_of_the_model_fit_are_one_a_series(spark):
     grams = md.gram_by_series(md.training_rows(train, md.series_scaling(train, spec), spec))
     assert grams.count() == train.select("station", "product", "tank").distinct().count()
     assert grams.agg(F.sum("n")).first()[0] == train.count()
+
+
+def test_laid_out_receipts_prune_months_and_join_without_exchange(spark):
+    from tankflow.operators.outflow import in_months, receipts_with_items
+    _, receipts, items = catalog._laid_out(spark, SF, buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final(receipts_with_items(in_months(receipts, "shift_start", 2024, [1]), items))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "PartitionFilters: [isnotnull(in_month" in plan and "in_month#" in plan.split("PartitionFilters:")[1]
+
+
+def test_laid_out_readings_prune_months(spark):
+    plan = _plan(Q["laid_out_readings"](spark, SF))
+    assert "PartitionFilters: [isnotnull(in_month" in plan
+
+
+def test_lead_lag_deals_readings_out_once(spark, monkeypatch):
+    """The windows are satisfied by the range exchange of (series, segment): no second exchange, one sort."""
+    from tankflow.operators import windows
+    seen = []
+    cut = windows.cut_lineage
+    monkeypatch.setattr(windows, "cut_lineage", lambda df: seen.append(_plan(df)) or cut(df))
+    final = _final(Q["lead_lag_readings"](spark, SF))
+    assert "events.parquet" not in final  # the written readings are read, not the source a second time
+    assert len(seen) == 1 and seen[0].count("Exchange ") == 1 and seen[0].count("Sort [") == 1
