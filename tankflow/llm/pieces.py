@@ -232,6 +232,9 @@ class Codec:
             for c, mine, lib in zip(new, ids, theirs):
                 if mine != lib and c != MARK and (c[0] == MARK or mine != lib[2:]):
                     raise RuntimeError(f"agenda and library differ on {c!r}: {mine} and {lib}")
+            for c, mine, lib in zip(new, ids, self.library.decode(ids, num_threads=1)):
+                if self.decode(mine) != lib:
+                    raise RuntimeError(f"decoded texts differ on {c!r}: {self.decode(mine)!r} and {lib!r}")
         for c, x in zip(new, ids):
             self.memory[c] = (" ".join([name[i] for i in x]), len(x), self._surface(x))
 

@@ -33,7 +33,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tankflow.llm.common import id_and_text, map_batches, materialise
@@ -151,19 +151,21 @@ def hex16(fp: Column) -> Column:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component with all columns of ``docs``: the one with the smallest id (null
     last), then the smallest hash of its text; of rows equal in both one."""
-    found = materialise(group(docs, id_col, text_col))
-    keys = found.groupBy("doc_id", "text_hash", "root").agg(F.count("*").alias("n"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    best = keys.groupBy("root").agg(F.min(place).alias("best"))
-    special = materialise(keys.join(best, "root").select(F.col("doc_id").alias("special_id"), F.col("text_hash").alias("special_hash"),
-                                                         place.eqNullSafe(F.col("best")).alias("stays"), "n")
-                          .where("not stays or n > 1"))
+    found = group(docs, id_col, text_col)
+    keys = materialise(found.groupBy("doc_id", "text_hash", "root", "component_id").agg(F.count("*").alias("n")))
+    # a row whose id isn't the component's smallest goes; only rows with that id are held against each other
+    first = keys.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    best = first.groupBy("root").agg(F.min("text_hash").alias("best"))
+    judged = first.join(best, "root").select("doc_id", "text_hash", "n", (F.col("text_hash") == F.col("best")).alias("stays"))
+    others = keys.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash", "n", F.lit(False).alias("stays"))
+    special = materialise(judged.unionByName(others).where("not stays or n > 1")
+                          .select(F.col("doc_id").alias("special_id"), F.col("text_hash").alias("special_hash"), "stays"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     of, text = F.col(f"row.`{id_col}`"), F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     same = of.eqNullSafe(F.col("special_id")) & (F.xxhash64(text) == F.col("special_hash"))
     out = rows.join(special, same, "left_anti")
     several = special.where("stays")
-    if not several.isEmpty():  # rows that are equal in id and text
-        nth = F.row_number().over(Window.partitionBy("special_id", "special_hash").orderBy("special_id"))
-        out = out.unionByName(rows.join(several, same).select("row", nth.alias("nth")).where("nth = 1").select("row"))
+    if not several.isEmpty():  # of rows that are equal in id and text each task sends one on
+        one = F.min_by("row", F.to_json("row")).alias("row")
+        out = out.unionByName(rows.join(several, same).groupBy("special_id", "special_hash").agg(one).select("row"))
     return out.select("row.*")

@@ -6,17 +6,18 @@ Format, in one folder of the shared checkpoint folder (or one the caller names):
                          vocabulary has at most 65,536 ids, else 4
 * ``offsets-NNNNN.bin``  little-endian int64: where each document of the shard begins in its ids,
                          and one more for the end (documents + 1 numbers)
-* ``index.json``         width, and per shard the counts and bases of documents and tokens
+* ``index.json``         width, type of the document ids, and per shard the counts and bases of documents and tokens
 
 Documents are dealt out by ranges of doc_id and sorted inside a shard, so shard after shard
-holds them in ascending order (null first; of equal ids, by text). A shard is written by one task
+holds them in ascending order (null first; of equal ids, by the first ``BEGIN`` characters of the text, then by its hash). Ranges also split rows
+with one id, and even equal rows, so no id is one task's. A shard is written by one task
 to a name of its attempt and then renamed, so a repeated or speculative task leaves the same
 files. The tasks return one row each, and the bases are prefix sums over those rows. A reader
 maps the files into memory and adds the bases: ``start`` is the shard's base plus the offset.
 
-Tokenising: the vocabulary's normaliser drops white space and no token spans it, so a text is cut
+Tokenising: with the normaliser and pattern that ``KNOWN`` names no token spans white space, so a text is cut
 at spaces and line ends, and each distinct piece goes to the tokenizers library once for as long
-as a worker remembers it.
+as a worker remembers it. With any other tokenizer file the library gets each text whole.
 
 Cases: a null text counts as empty (only the end id); no documents give no shard; repeated rows
 are kept each; extra columns are ignored. Folders on stores other than a mounted file system are
@@ -38,6 +39,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tankflow.llm.common import id_and_text
 from tankflow.session import checkpoint_dir
@@ -47,6 +49,8 @@ REMEMBERED = 350_000
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 2_000_000
 
+#: Characters of a text that order documents with one id.
+BEGIN = 64
 #: New words that the library gets in one text.
 JOINED = 5_000
 
@@ -56,7 +60,7 @@ _PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
 # those that have composed forms; a piece with anything else stays whole
 _PARTS = re.compile(f"[{_LETTERS}]+(?=[.,!?$%&*#;:]|\\Z)|[.,!?$%&*#;:]+(?=[{_LETTERS}]|\\Z)|.+", re.S).findall
 
-_encoders: dict[tuple[int, int], "Encoder"] = {}
+_encoders: dict[tuple[int, int], "Encoder | WholeTexts"] = {}
 
 
 class _Memory:
@@ -87,6 +91,30 @@ class _Memory:
         return self.recall(seen.difference(self.young))
 
 
+#: The parts of a tokenizer file on which cutting at white space and between letters and signs rests.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "truncation": None, "padding": None}
+
+
+class WholeTexts:
+    """Ids of texts as bytes of ``width`` each, by any tokenizer: the library encodes whole texts."""
+
+    def __init__(self, tokenizer: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.lib = Tokenizer.from_str(tokenizer)
+        self.kind = np.dtype(f"<u{width}")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class Encoder:
     """Ids of texts as bytes of ``width`` each.
 
@@ -151,10 +179,12 @@ class Encoder:
         return [b"".join(g) for g in got]
 
 
-def encoder(tokenizer: str, width: int) -> Encoder:
+def encoder(tokenizer: str, width: int) -> Encoder | WholeTexts:
     key = (zlib.crc32(tokenizer.encode()), width)
     if key not in _encoders:
-        _encoders[key] = Encoder(tokenizer, width)
+        spec = json.loads(tokenizer)
+        known = all(spec.get(k) == v for k, v in KNOWN.items()) and all(t["special"] for t in spec["added_tokens"])
+        _encoders[key] = (Encoder if known else WholeTexts)(tokenizer, width)
     return _encoders[key]
 
 
@@ -214,8 +244,12 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None
                                           "n_docs": pa.array([docs_here], pa.int64()),
                                           "n_tokens": pa.array([total], pa.int64())})
 
-    ordered = (id_and_text(docs, id_col, text_col).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", "text").select("text", "doc_id"))
+    src = id_and_text(docs, id_col, text_col)
+    keys = ["doc_id", "begin", "hash", "nth"]  # nth only tells rows apart that are equal in all else
+    ordered = (src.select("*", F.substring("text", 1, BEGIN).alias("begin"), F.xxhash64("text").alias("hash"),
+                          F.monotonically_increasing_id().alias("nth"))
+               .repartitionByRange(*keys).sortWithinPartitions(*keys).select("text", "doc_id"))
+    id_type = src.schema["doc_id"].dataType.simpleString()
     rows = ordered.mapInArrow(_with_ids(shard, folder), "shard int, n_docs long, n_tokens long").collect()
     shards, base_docs, base_tokens = [], 0, 0
     for r in sorted(rows):
@@ -223,7 +257,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None
                        "base_docs": base_docs, "base_tokens": base_tokens})
         base_docs, base_tokens = base_docs + r.n_docs, base_tokens + r.n_tokens
     with fs.open_output_stream(f"{path}/index.json") as f:
-        f.write(json.dumps({"width": width, "shards": shards}).encode())
+        f.write(json.dumps({"width": width, "id_type": id_type, "shards": shards}).encode())
     return folder
 
 
@@ -253,7 +287,7 @@ def _with_ids(shard, folder: str):
     return run
 
 
-def read(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataFrame:
+def read(spark: SparkSession, folder: str) -> DataFrame:
     """Per document from the files: doc_id, start, n_tokens, ids_crc32 (of the ids as
     little-endian unsigned 32-bit integers). One task or more for each shard's documents."""
     fs, path = open_store(folder)
@@ -280,7 +314,7 @@ def read(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataFrame
                             [doc, pa.array(o[:-1] + base), pa.array(np.diff(o)), pa.array(crc, pa.int64())],
                             ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(load, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
+    return shards.mapInArrow(load, f"doc_id {index['id_type']}, start long, n_tokens long, ids_crc32 long")
 
 
 class _Ranges:

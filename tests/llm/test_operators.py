@@ -124,6 +124,20 @@ def test_keep_one(docs, rows):
     assert len([i for i in ids if i is None]) == 1  # "no id here" is alone in its component
 
 
+def test_keep_one_of_many_copies(sp):
+    """A third of the rows is one component of copies, near copies and equal rows; each other text stays."""
+    r = random.Random(17)
+    one = prose(r, 200)
+    rows = [(i, prose(r, 60)) for i in range(400)] + [(1000 + i, one) for i in range(100)] + [(2000 + i, one + f" end{i}") for i in range(50)]
+    rows += [(1000, one)] * 30 + [(5, rows[5][1])] * 20 + [(None, one)] * 10
+    docs = sp.createDataFrame([(*x, i % 4) for i, x in enumerate(rows)], "doc_id long, text string, part int").repartition(7)
+    want = {}
+    for (d, t), (_, c) in zip(rows, brute.simhash(rows)):
+        if d is not None and d == c:
+            want[d] = t
+    same([(x.doc_id, x.text) for x in simhash.keep_one(docs).collect()], list(want.items()))
+
+
 def test_simhash_empty(empty):
     assert simhash.group(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
@@ -232,6 +246,15 @@ def test_sentencepiece_odd_texts():
     assert [mine.decode(i) for i in ids] == lib.decode(ids)
 
 
+def test_sentencepiece_checks_decoding(monkeypatch):
+    """Each new chunk's decoded text is held against the library's."""
+    c = pieces.Codec(pieces.read_model(PIECES))
+    c.encode(["fine so far"])
+    monkeypatch.setattr(c, "decode", lambda ids: "something else")
+    with pytest.raises(RuntimeError, match="decoded"):
+        c.encode(["another one"])
+
+
 def test_sentencepiece_empty(empty):
     assert pieces.round_trip(empty, PIECES).count() == 0
 
@@ -264,6 +287,40 @@ def test_token_pieces_as_library():
     assert [np.frombuffer(b, "<u2").tolist() for b in mine.encode(texts)] == want
 
 
+def test_token_files_string_ids_and_one_hot_id(sp):
+    """Ids of any type come back as they are; a third of the rows has no id, and they are dealt out to several shards."""
+    r = random.Random(3)
+    rows = [(f"d{i:04d}" if i % 3 else None, prose(r, r.randrange(1, 30))) for i in range(900)]
+    docs = sp.createDataFrame(rows, "doc_id string, text string").repartition(6)
+    sp.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    folder = tokenfiles.write(docs, WORDS, 1)
+    prepare(sp)
+    got = tokenfiles.read(sp, folder).collect()
+    assert sorted((x.doc_id is not None, x.doc_id or "") for x in got) == sorted((i is not None, i or "") for i, _ in rows)
+    line = sorted(got, key=lambda x: x.start)
+    assert [x.doc_id is not None for x in line] == [False] * 300 + [True] * 600
+    assert [x.doc_id for x in line[300:]] == sorted(i for i, _ in rows if i)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(line, line[1:]))
+    import json
+    shards = json.load(open(folder.removeprefix("file:") + "/index.json"))["shards"]
+    assert max(x["n_docs"] for x in shards) < 300
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_token_files_other_tokenizers(sp, name):
+    """A tokenizer that isn't the known kind encodes whole texts: white space and case are tokens of their own there."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    texts = ["Two  Words\n\tand a TAB", "", "  lead", "don't stop, it's 3.14 §§ ünï", "a" * 300]
+    docs = sp.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lib = Tokenizer.from_file(path)
+    got = {x.doc_id: (x.n_tokens, x.ids_crc32) for x in tokenfiles.read(sp, tokenfiles.write(docs, path, 1)).collect()}
+    import zlib
+    for i, t in enumerate(texts):
+        ids = [*lib.encode(t, add_special_tokens=False).ids, 1]
+        assert got[i] == (len(ids), zlib.crc32(tokenfiles.np.array(ids, "<u4").tobytes()))
+
+
 def test_token_files_empty(sp, empty):
     assert tokenfiles.read(sp, tokenfiles.write(empty, WORDS, 1)).count() == 0
 
@@ -340,6 +397,39 @@ def test_language_brute(sp):
     assert np.allclose(model.table, np.log(p / p.sum(1, keepdims=True)).T, atol=1e-5)
 
 
+def test_language_many_languages(sp, monkeypatch):
+    """With more languages than the matrix has room for, buckets are merged before they are collected; tasks count a few
+    languages at a time. The same as counting at once with that many buckets."""
+    r = random.Random(12)
+    rows = [(i, prose(r, 12) + f" zq{i % 150:03d}xy".translate(str.maketrans("0123456789", "abcdefghij")) * 5, f"l{i % 150:03d}") for i in range(900)]
+    docs = sp.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    monkeypatch.setattr(language, "MATRIX_BYTES", 150 << 2 << 10)
+    monkeypatch.setattr(language, "TASK_LANGS", 7)
+    model = language.train(docs)
+    assert model.bits == 10 and len(model.langs) == 150
+    counts = language.np.zeros((150, 1 << 10))
+    for _, t, x in rows:
+        counts[int(x[1:])] += language.np.bincount(language.grams([t], language.BITS)[0] >> language.BITS - 10, minlength=1 << 10)
+    want = language.Model(model.langs, language.np.full(150, 6.0), counts)
+    assert (model.table == want.table).all() and (model.prior == want.prior).all()
+    got = language.identify(docs, model).join(docs, "doc_id").where("lang = lang_pred").count()
+    assert got > 700
+
+
+def test_language_long_texts_in_pieces(sp, monkeypatch):
+    """A text cut into pieces has the n-grams of the whole text."""
+    r = random.Random(1)
+    texts = [prose(r, 400), "x" * 500 + " y", "a b " * 200, "", "é" * 99 + "." + "ab " * 50, " . " * 200 + "end" + " " * 300]
+    whole = [sorted(language.grams([t], 12)[0].tolist()) for t in texts]
+    monkeypatch.setattr(language, "GROUP_CHARS", 100)
+    cut, whose, before = language.pieces(texts)
+    assert len(cut) > 20 and max(map(len, cut)) <= 502
+    h, doc, letters = language.grams(cut, 12, before)
+    for i in range(len(texts)):
+        assert sorted(h[whose[doc] == i].tolist()) == whole[i]
+        assert letters[whose == i].sum() == sum(c.isalpha() for c in texts[i])
+
+
 def test_language_awkward(docs, empty):
     model = language.train(docs)
     got = {r.doc_id: r for r in language.identify(docs, model).collect()}
