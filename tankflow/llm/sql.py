@@ -32,18 +32,17 @@ known AS (
     SELECT row_number() OVER () AS t, tokens, bad FROM page JOIN label ON page_id = doc_id WHERE len(tokens) > 0),
 total AS (SELECT count(*) AS n, sum(bad) AS n_bad,
                  greatest({urlrules.MIN_PAGES}, ceil(count(*) * {urlrules.MIN_SUPPORT})) AS least FROM known),
-one AS (SELECT t, bad, unnest(tokens) AS a FROM known),
+-- all sets of a page's tokens, by the bits of a number
 sets AS (
-    SELECT bad, [a] AS items FROM one
-    UNION ALL SELECT x.bad, [x.a, y.a] FROM one x JOIN one y ON x.t = y.t AND x.a < y.a
-    UNION ALL SELECT x.bad, [x.a, y.a, z.a] FROM one x JOIN one y ON x.t = y.t AND x.a < y.a JOIN one z ON z.t = y.t AND y.a < z.a),
+    SELECT bad, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items
+    FROM (SELECT bad, tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM known)),
 rules AS (
     SELECT items, bad / pages AS confidence
     FROM (SELECT items, count(*) AS pages, sum(bad) AS bad FROM sets GROUP BY items), total
     WHERE bad >= least AND bad * {urlrules.MIN_CONFIDENCE[1]} >= pages * {urlrules.MIN_CONFIDENCE[0]}
       AND bad * n * {urlrules.MIN_LIFT[1]} >= pages * n_bad * {urlrules.MIN_LIFT[0]}),
 matched AS (
-    SELECT p.tokens, max({{'confidence': r.confidence, 'items': r.items}}) AS best
+    SELECT p.tokens, max({{'confidence': r.confidence, 'size': len(r.items), 'items': r.items}}) AS best
     FROM (SELECT DISTINCT tokens FROM page) p JOIN rules r ON list_has_all(p.tokens, r.items) GROUP BY p.tokens),
 fixed AS (
     SELECT rule, says, string_split(rule, '/')[1] AS h, substr(rule, strpos(rule, '/')) AS p

@@ -2,13 +2,19 @@
 
 A page's url is cut into host, path and tokens (host labels, path segments with digits masked, names
 of query arguments). Labelled pages give transactions of their tokens, with one more item if the
-page is bad. FP-growth mines the frequent itemsets; a rule is a set of at most ``MAX_ITEMS`` tokens
+page is bad. FP-growth mines the frequent itemsets; a rule is a set of tokens of any size
 whose pages are bad, pruned by support (``MIN_SUPPORT`` of the labelled pages and at least
 ``MIN_PAGES`` bad ones), confidence (``MIN_CONFIDENCE``) and lift (``MIN_LIFT``), all in whole numbers.
 
-Rules match by an inverted index: each is listed under its rarest token only, the distinct token
-sets of all pages are exploded and joined to the index, and a rule found that way is checked for
-its other tokens. Pages then join the token sets that matched, so a host with a third of all pages
+Tokens that occur in exactly the same labelled pages (as those of one url template do) are one item for the mining:
+all combinations of them have the same pages, so a template of forty arguments costs as much as one token, not 2**40
+itemsets. (Equal pages: equal counts and 128 bits of an order-free hash of the pages' numbers.) A mined rule then
+holds for each choice of at least one token of each of its items.
+
+Rules match by an inverted index: each is listed under its rarest item only, the distinct token
+sets of all pages become sets of items and are joined to the index, and a rule found that way is checked for
+its other items. Of several rules the most confident counts, then the one with most of the page's tokens, then the last
+in order. Pages then join the token sets that matched, so a host with a third of all pages
 costs as many index lookups as it has different token sets.
 
 Fixed rules (host with path, allow or block) come first: a rule fits its host and all subdomains if
@@ -27,7 +33,6 @@ from pyspark.sql import functions as F
 
 from tankflow.llm.common import materialise
 
-MAX_ITEMS = 3
 MIN_SUPPORT = 0.0005
 MIN_PAGES = 5
 MIN_CONFIDENCE = (1, 2)
@@ -68,25 +73,39 @@ def parts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> Da
     return p.select("page_id", "host", "path", tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
 
 
-def mine(cut: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
+def items_of(rows: DataFrame, least: int) -> DataFrame:
+    """(token, item) of the tokens that ``least`` or more of ``rows`` (row, tokens) have: tokens of exactly the same rows are
+    one item, named by the first of them."""
+    t = rows.select("row", F.explode("tokens").alias("token"))
+    same = t.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"),
+                                  F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y")).where(F.col("n") >= least)
+    named = same.groupBy("n", "x", "y").agg(F.min("token").alias("item"))
+    return materialise(same.join(named, ["n", "x", "y"]).select("token", "item"))
+
+
+def mine(cut: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES) -> tuple[DataFrame, DataFrame]:
     """(rule_id, items, pages, bad, confidence): the rules that pass, from the pages that have a label
-    (a row of ``labels`` with the page's id; bad: quality 0 or toxic 1)."""
+    (a row of ``labels`` with the page's id; bad: quality 0 or toxic 1); and (token, item), which tokens an item stands for."""
     judged = (labels.groupBy(F.col("doc_id").alias("label_id"))
               .agg(F.max((F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
                          .cast("int")).alias("bad")))
     rows = materialise(cut.join(judged, F.col("page_id") == F.col("label_id")).where(F.size("tokens") > 0)
-                       .select("bad", F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BAD))))
-                               .otherwise(F.col("tokens")).alias("items")))
+                       .select("bad", "tokens", F.monotonically_increasing_id().alias("row")))
     total = rows.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
     if not total.bad:
-        number = F.lit(0).cast("long")
-        return cut.limit(0).select(number.alias("rule_id"), F.col("tokens").alias("items"), number.alias("pages"),
-                                   number.alias("bad"), F.lit(0.0).alias("confidence"))
-    least = max(min_pages, -(-total.n * min_support // 1))
-    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total.n).fit(rows).freqItemsets
-    sets = materialise(sets.where(F.size(F.array_remove("items", BAD)) <= MAX_ITEMS)
-                       .select(F.array_sort(F.array_remove("items", BAD)).alias("items"),
-                               F.array_contains("items", BAD).alias("with_bad"), "freq"))
+        number, text = F.lit(0).cast("long"), F.lit("")
+        none = cut.limit(0)
+        return (none.select(number.alias("rule_id"), F.col("tokens").alias("items"), number.alias("pages"), number.alias("bad"),
+                            F.lit(0.0).alias("confidence")), none.select(text.alias("token"), text.alias("item")))
+    least = int(max(min_pages, -(-total.n * min_support // 1)))
+    items = items_of(rows, least)
+    bags = (rows.select("row", "bad", F.explode("tokens").alias("token")).join(items, "token")
+            .groupBy("row", "bad").agg(F.collect_set("item").alias("items")))
+    bags = materialise(bags.select(F.when(F.col("bad") == 1, F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")))
+    # rows without a frequent token are in no set but count for the support
+    n = bags.count()
+    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / max(n, 1))).fit(bags).freqItemsets
+    sets = materialise(sets.select(F.array_sort(F.array_remove("items", BAD)).alias("items"), F.array_contains("items", BAD).alias("with_bad"), "freq"))
     bad = sets.where("with_bad").where(F.size("items") > 0).select("items", F.col("freq").alias("bad"))
     every = sets.where("not with_bad").select("items", F.col("freq").alias("pages"))
     p, q = MIN_CONFIDENCE
@@ -94,21 +113,24 @@ def mine(cut: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, mi
     return (bad.join(every, "items")
             .where((F.col("bad") * q >= F.col("pages") * p)
                    & (F.col("bad") * F.lit(total.n).cast("long") * lq >= F.col("pages") * F.lit(total.bad).cast("long") * lp))
-            .select(F.xxhash64("items").alias("rule_id"), "items", "pages", "bad", (F.col("bad") / F.col("pages")).alias("confidence")))
+            .select(F.xxhash64("items").alias("rule_id"), "items", "pages", "bad", (F.col("bad") / F.col("pages")).alias("confidence")), items)
 
 
-def match(cut: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, items, confidence): each distinct token set that a rule matches, with its most confident rule."""
+def match(cut: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
+    """(tokens, matched, confidence): each distinct token set that a rule matches, with its best rule's tokens."""
     rules = materialise(rules)
     often = rules.select(F.explode("items").alias("item"), "pages").groupBy("item").agg(F.count("*").alias("listed"))
     rarest = (rules.select("rule_id", F.explode("items").alias("item")).join(often, "item")
               .groupBy("rule_id").agg(F.min(F.struct("listed", "item")).alias("least"))
               .select("rule_id", F.col("least.item").alias("item")))
-    index = materialise(rules.join(rarest, "rule_id").select("item", "items", "confidence"))
+    index = materialise(rules.join(rarest, "rule_id").select("item", F.col("items").alias("needed"), "confidence"))
     sets = cut.where(F.size("tokens") > 0).select("tokens").distinct()
-    found = (sets.select("tokens", F.explode("tokens").alias("item")).join(index, "item")
-             .where(F.size(F.array_except("items", "tokens")) == 0))
-    best = F.max(F.struct("confidence", F.col("items").alias("matched"))).alias("best")
+    held = (sets.select("tokens", F.explode("tokens").alias("token")).join(items, "token")
+            .groupBy("tokens").agg(F.collect_list(F.struct("token", "item")).alias("pairs"), F.collect_set("item").alias("has")))
+    found = (held.select("tokens", "pairs", "has", F.explode("has").alias("item")).join(index, "item")
+             .where(F.size(F.array_except("needed", "has")) == 0))
+    own = F.array_sort(F.transform(F.filter("pairs", lambda x: F.array_contains("needed", x["item"])), lambda x: x["token"]))
+    best = F.max(F.struct("confidence", F.size(own).alias("size"), own.alias("matched"))).alias("best")
     return found.groupBy("tokens").agg(best).select("tokens", "best.matched", "best.confidence")
 
 
@@ -126,7 +148,7 @@ def judge(pages: DataFrame, labels: DataFrame, fixed=FIXED_RULES, min_support: f
           min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, matched, confidence) of every page."""
     cut = parts(pages, id_col, url_col)
-    matched = materialise(match(cut, mine(cut, labels, min_support, min_pages)))
+    matched = materialise(match(cut, *mine(cut, labels, min_support, min_pages)))
     own = matched.select(F.col("tokens").alias("of"), "matched", "confidence")
     rule, says = fixed_rule(F.col("host"), F.col("path"), fixed)
     return (cut.join(own, F.col("tokens") == F.col("of"), "left")

@@ -212,6 +212,22 @@ def test_decontamination_repeating_words(sp):
     same(got, [(d, *x[:3]) for (d, _), x in zip(rows, brute.contamination(rows, items))])
 
 
+def test_decontamination_one_window_in_many_items(sp):
+    """A template sentence of 10,000 items, met by a third of the documents: the items' ids never travel with the hits."""
+    r = random.Random(2)
+    template = prose(r, 12)
+    items = [(i, f"item{i} {template}") for i in range(10_000)]
+    rows = [(i, prose(r, 30) + (f" {template} tail" if i % 3 == 0 else "")) for i in range(90)]
+    docs, bench = sp.createDataFrame(rows, "doc_id long, text string"), sp.createDataFrame(items, "item_id long, text string")
+    got = [(x.doc_id, x.n_words, x.n_hit, len(x["items"]), hashlib.sha256(",".join(x["items"]).encode()).hexdigest())
+           for x in winnowing.decontaminate(docs, bench).collect()]
+    every = hashlib.sha256(",".join(sorted(str(i) for i, _ in items)).encode()).hexdigest()
+    none = hashlib.sha256(b"").hexdigest()
+    same(got, [(i, len(t.split()), 12, 10_000, every) if i % 3 == 0 else (i, len(t.split()), 0, 0, none) for i, t in rows])
+    index, holders = winnowing.windows(bench)
+    assert index.columns == ["wid", "n", "win", "fp"] and index.count() == 10_000 + 3 and holders.count() == 40_000
+
+
 def test_decontamination_empty(sp, docs, empty):
     none = sp.createDataFrame([], "item_id long, text string")
     assert winnowing.decontaminate(empty, none).count() == 0
@@ -756,6 +772,39 @@ def test_url_rules(sp):
         assert by[i].verdict == ("block" if evil else "allow"), (url, by[i])
 
 
+def test_url_rules_of_any_size(sp):
+    """A bad pattern that only four tokens together tell, among pages that have any three of them."""
+    r = random.Random(6)
+    four = ["h:one", "p:two", "p:three", "q:four"]
+    rows, labels = [], []
+    for i in range(900):
+        have = four if i % 9 == 0 else [x for x in four if x != four[i % 4]]
+        host = ("one" if "h:one" in have else "other") + ".example.org"
+        path = "/".join(x[2:] for x in have if x.startswith("p:"))
+        rows.append((i, f"http://{host}/{path}/{r.randrange(99)}" + ("?four=1" if "q:four" in have else "")))
+        labels.append((i, int(i % 9 != 0), 0))
+    got = urlrules.judge(sp.createDataFrame(rows, "page_id long, url string"), sp.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+                         fixed=()).collect()
+    for x in got:
+        assert x.verdict == ("block" if x.page_id % 9 == 0 else "allow")
+        assert x.page_id % 9 or set(four) <= set(x.matched.split(" "))
+
+
+def test_url_rules_of_a_long_template(sp):
+    """Forty arguments that always come together are one item: mining ends at once, and one of them is enough to match."""
+    import time
+    args = "&".join(f"arg{i}=1" for i in range(40))
+    rows = [(i, f"http://bad.example.org/list?{args}") for i in range(60)] + [(100 + i, f"http://good.example.org/page/{i}") for i in range(200)]
+    rows += [(900, "http://new.example.org/x?arg7=5"), (901, "http://new.example.org/x?other=5")]
+    labels = [(i, int(i >= 100), 0) for i, _ in rows if i < 900]
+    start = time.time()
+    got = {x.page_id: x for x in urlrules.judge(sp.createDataFrame(rows, "page_id long, url string"),
+                                                sp.createDataFrame(labels, "doc_id long, quality int, toxic int"), fixed=()).collect()}
+    assert time.time() - start < 30
+    assert {i for i, x in got.items() if x.verdict == "block"} == {*range(60), 900}
+    assert "q:arg7" in got[900].matched.split(" ") and len(got[0].matched.split(" ")) >= 41
+
+
 def test_url_rules_awkward(sp):
     pages = sp.createDataFrame([(1, "http://a.b/c"), (None, None)], "page_id long, url string")
     none = sp.createDataFrame([], "doc_id long, quality int, toxic int")
