@@ -382,6 +382,37 @@ def _grams(p: Pipeline) -> DataFrame:
     return md.gram_by_series(md.training_rows(train, md.series_scaling(train, p.spec), p.spec, p.event_days))
 
 
+# M3 with calendars by station: orders as events of their customer's station, by priority, the days spread over 14 years,
+# some lasting two days; every 50th holds for all stations.
+_STATION_CALENDAR = """
+        SELECT CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE 'S' || CAST(o_custkey % 4 AS {text}) END AS station,
+               lower(substr(o_orderpriority, 3)) AS event,
+               date_add(DATE '2012-01-01', CAST(o_orderkey * 7919 % 5000 AS INTEGER)) AS date, 0 AS lower, CAST(o_custkey % 2 AS INTEGER) AS upper
+        FROM orders"""
+
+
+def _station_calendar(spark, sf) -> DataFrame:
+    from ..session import sf_path
+    spark.read.parquet(sf_path(sf, "orders")).createOrReplaceTempView("tankflow_calendar_orders")
+    return spark.sql(_STATION_CALENDAR.format(text="STRING").replace("FROM orders", "FROM tankflow_calendar_orders"))
+
+
+@register("model_station_events", O.sql(f"""
+    SELECT s.station, s.product, s.tank, s.ds, e.event, e.day_offset
+    FROM series s JOIN station_events e ON CAST(s.ds AS DATE) = e.d AND (e.station IS NULL OR e.station = s.station)
+    GROUP BY ALL""", "series", "station_events", overrides={"station_events": ((), f"""
+        SELECT DISTINCT station, event, CAST(off AS INTEGER) AS day_offset, CAST(date AS DATE) + CAST(off AS INTEGER) AS d
+        FROM (SELECT station, event, date, unnest(generate_series(lower, upper)) AS off FROM ({_STATION_CALENDAR.format(text="VARCHAR")}))""")}))
+def _station_events(spark, sf):
+    """The event features that are on, hour by hour, from a calendar of one row per order."""
+    p, cal = Pipeline(spark, sf), _station_calendar(spark, sf)
+    terms = md.event_terms(cal)
+    on = md.with_event_terms(p.series.select("station", "product", "tank", "ds"), md.event_days(cal, terms))
+    rows = on.select("station", "product", "tank", "ds", F.explode("terms_on").alias("term"))
+    term = F.element_at(F.array(*[F.struct(F.lit(e).alias("event"), F.lit(o).alias("day_offset")) for e, o in terms]), F.col("term") + 1)
+    return rows.select("station", "product", "tank", "ds", term["event"].alias("event"), term["day_offset"].alias("day_offset"))
+
+
 @register("model_gram", O.sql(f"""
     SELECT {K3}, a.i, b.i AS j, round(sum(f.x[a.i + 1] * f.x[b.i + 1]), 6) + 0.0 AS value
     FROM mfeat f, idx a, idx b WHERE a.i <= b.i GROUP BY {K3}, a.i, b.i""", "mfeat", "idx", overrides=_model_ctes() | {
