@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timefmt as tf
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_lineages
 from ..sources.layout import MONTH
 from ..sources.schema import SERIES_KEY
 
@@ -97,12 +97,18 @@ def sales_filter(station: Column, prodtype: Column, bruto: Column, volume: Colum
     return (prodtype == 0) & ((bruto != 0) | net)
 
 
+def month_shifts(shifts: DataFrame, *, year: int, months: Iterable[int]) -> DataFrame:
+    """The shift reports of the months: a few rows a station and day. ``receipts_with_shift`` takes them written, so that
+    its join is planned with their real size."""
+    return shifts.filter(year_month_filter(F.col("shift_start"), year, months))
+
+
 def receipts_with_shift(receipts: DataFrame, shifts: DataFrame, *, year: int,
-                        months: Iterable[int], stations: Sequence[str] | None = None) -> DataFrame:
-    """Receipts joined to their shift report (the WHERE clause makes it inner)."""
+                        months: Iterable[int], stations: Sequence[str] | None = None, written: DataFrame | None = None) -> DataFrame:
+    """Receipts joined to their shift report (the WHERE clause makes it inner). ``written``: ``month_shifts``
+    where the caller has written them already."""
     months = list(months)
-    # a few rows a station and day: written, so that the join is planned with their real size
-    z = cut_lineage(shifts.filter(year_month_filter(F.col("shift_start"), year, months)))
+    z = written if written is not None else cut_lineage(month_shifts(shifts, year=year, months=months))
     # implied by the join equality; stated so it also reaches the receipts scan
     r = in_months(_restrict(receipts, stations, None), "shift_start", year, months)
     return r.join(z, ["station", "znum", "shift_start"], "inner")
@@ -126,13 +132,13 @@ def receipts_with_items(receipts: DataFrame, items: DataFrame) -> DataFrame:
 
 def pos_hourly_sales(receipts: DataFrame, shifts: DataFrame, items: DataFrame, *,
                      year: int, months: Iterable[int], stations: Sequence[str] | None = None,
-                     net_only_stations: Sequence[str] = ()) -> DataFrame:
+                     net_only_stations: Sequence[str] = (), written: DataFrame | None = None) -> DataFrame:
     """A1 (NP): POS volume per station, product, tank and hour.
 
     Output: station, product, tank, hour_ts, pos_volume. Receipts and items bucketed by receipt id
     (``sources.layout``) are joined without an exchange.
     """
-    rz = receipts_with_shift(receipts, shifts, year=year, months=months, stations=stations)
+    rz = receipts_with_shift(receipts, shifts, year=year, months=months, stations=stations, written=written)
     it = items.select("receipt_id", "product", "tank", "prodtype", "bruto", "volume")
     j = rz.select("id", "station", "start_ts").join(it, F.col("id") == F.col("receipt_id"), "inner")
     j = j.filter(sales_filter(F.col("station"), F.col("prodtype"), F.col("bruto"),
@@ -206,15 +212,8 @@ def hour_minute_bounds(minutes: DataFrame) -> DataFrame:
                  F.min(F.minute("minute_ts")).alias("min_minute")))
 
 
-def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], start: dt.date,
-                    end: dt.date, stations: Sequence[str] | None = None,
-                    series: DataFrame | None = None) -> DataFrame:
-    """mx/mn rows (J3/J4) with their ``max_value`` / ``min_value``.
-
-    Output: key, hour_ts, is_b (True for a last-minute 'mx' value), value.
-    """
-    rd = _readings(gauges, year=year, months=months, start=start, end=end,
-                   stations=stations, series=series)
+def needed_minutes(rd: DataFrame) -> DataFrame:
+    """The minutes whose readings ``boundary_values`` needs: at most three rows a tank-hour."""
     edge = boundary_minutes(minute_summary(rd))
     # minutes whose readings are needed: the boundary minutes themselves, and
     # for each first minute the previous minute with a reading (tagged with
@@ -227,11 +226,22 @@ def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], star
                F.struct(F.col("prev_minute_ts").alias("m"), F.lit(True).alias("is_p"), F.lit(False).alias("is_mx"),
                         F.lit(False).alias("is_mn"), F.col("prev_ts").alias("prev_ts")))),
         lambda x: x.isNotNull())
-    need = edge.select(*K, "hour_ts", "mi", F.explode(roles).alias("r")).select(
+    return edge.select(*K, "hour_ts", "mi", F.explode(roles).alias("r")).select(
         *K, "hour_ts", "mi", F.col("r.m").alias("minute_ts"), "r.is_p", "r.is_mx", "r.is_mn", "r.prev_ts")
-    # at most three rows a tank-hour, written: adaptive execution would shuffle all readings before it could
-    # see that this side is small
-    need = cut_lineage(need)
+
+
+def boundary_values(gauges: DataFrame, *, year: int, months: Iterable[int], start: dt.date,
+                    end: dt.date, stations: Sequence[str] | None = None,
+                    series: DataFrame | None = None, written: DataFrame | None = None) -> DataFrame:
+    """mx/mn rows (J3/J4) with their ``max_value`` / ``min_value``. ``written``: ``needed_minutes`` where the caller has
+    written them already.
+
+    Output: key, hour_ts, is_b (True for a last-minute 'mx' value), value.
+    """
+    rd = _readings(gauges, year=year, months=months, start=start, end=end,
+                   stations=stations, series=series)
+    # written: adaptive execution would shuffle all readings before it could see that this side is small
+    need = written if written is not None else cut_lineage(needed_minutes(rd))
     rows = rd.filter(F.col("in_cte")).select(*K, "minute_ts", "ts", "reading_id", "volume")
     cand = rows.join(need, K + ["minute_ts"], "inner")
     # Everything below is partitioned by (series, hour), so the pair window,
@@ -317,10 +327,12 @@ def hourly_tank_outflow(receipts: DataFrame, shifts: DataFrame, items: DataFrame
     restricts the readings to those tanks.
     """
     months = list(months)
+    rd = _readings(gauges, year=year, months=months, start=start, end=end, stations=stations, series=series)
+    z, need = cut_lineages(month_shifts(shifts, year=year, months=months), needed_minutes(rd))
     np_ = pos_hourly_sales(receipts, shifts, items, year=year, months=months, stations=stations,
-                           net_only_stations=net_only_stations)
+                           net_only_stations=net_only_stations, written=z)
     vals = boundary_values(gauges, year=year, months=months, start=start, end=end,
-                           stations=stations, series=series)
+                           stations=stations, series=series, written=need)
     po = pair_outflow(vals)
     j = po.join(np_, K + ["hour_ts"], "inner")
     # Every negative pair diff is replaced by the POS volume.
