@@ -11,8 +11,11 @@ disguised dots (``MARGIN`` to each side and on to the end of the address or word
 touch) are cut into windows of ``WINDOW`` characters, each ``STEP`` after the one before. Every character takes its tag from the window in which it lies farthest from
 an edge; spans are then read from the tags of the whole text. Nothing is lost by leaving out the
 rest: a span that has no sign is not accepted wherever it is. An address of which the tagger marks a part is
-taken whole. A span of the tagger is added if its text, with the known disguises undone, is valid for its kind (digits, Luhn sum, parts of at most 255), and if
-it touches no base span. Base spans always stay.
+taken whole. A span of the tagger is added if its text is valid for its kind (an address with a domain, four parts of at most 255, a Luhn
+sum, 9 to 15 digits), whatever brackets, words or separators stand for its signs, and if it touches no base span. Base spans always stay.
+
+Training uses regions of ``SAMPLE_DOCS`` documents up to ``TRAIN_CHARS`` characters each, cut at no span, and
+``SAMPLE_WINDOWS`` of them; search covers every whole text.
 
 Cases: a null or empty text has no spans; without any labelled span in the sample there is no
 tagger and base spans stand alone; repeated rows get equal results; extra columns are ignored (or
@@ -46,14 +49,20 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]+")
 _LOCAL_SET = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
-# disguised signs, and what a text with one of them holds
-_HIDDEN = re.compile(r"\(at\)|\[at\]|\[dot\]|\[\.\]|\(\.\)| dot ")
-_HIDDEN_PARTS = ("(at)", "[at]", "[dot]", "[.]", "(.)", " dot ")
-_JOINT = r" *+(?:@|\(at\)|\[at\]|\[dot\]|\[\.\]|\(\.\)) *+| ++dot ++"
+# disguised signs: the sign or its word in brackets of any kind, the words alone only where they can't be anything else
+_OPEN, _CLOSE = r"[\[({<|*~]{1,3} {0,2}", r" {0,2}[\])}>|*~]{1,3}"
+_AT = rf"{_OPEN}(?:@|[aA][tT]){_CLOSE}"
+_DOT = rf"{_OPEN}(?:\.|[dD][oO][tT]){_CLOSE}"
+_HIDDEN = re.compile(rf"{_AT}|{_DOT}| [dD][oO][tT] | [aA][tT] (?=[A-Za-z0-9-]+(?:\.| [dD][oO][tT] )[A-Za-z]{{2}})")
+_JOINT = rf" *+(?:@|{_AT}|{_DOT}) *+| ++[dD][oO][tT] ++"
 _PLAIN = re.compile(r"[A-Za-z0-9._%+-]*+")
 _AFTER = re.compile(rf" *+(?:[A-Za-z0-9._%+-]++|{_JOINT})*+")
-_JOINT_BEFORE = re.compile(rf"(?:{_JOINT})\Z")
-_REST = re.compile(r"[A-Za-z0-9-]*+(?:(?:\.| *+(?:\[dot\]|\[\.\]|\(\.\)) *+| ++dot ++)[A-Za-z0-9-]++)*+")
+#: Characters that the longest joint takes, the blanks around it aside.
+_JOINT_CHARS = 13
+_JOINT_BEFORE = re.compile(rf"(?:@|{_AT}|{_DOT}|(?<= )[dD][oO][tT])\Z")
+_REST = re.compile(rf"[A-Za-z0-9-]*+(?:(?:\.| *+{_DOT} *+| ++[dD][oO][tT] ++)[A-Za-z0-9-]++)*+")
+#: Characters of a region that training uses; the cut moves on to the end of a span that it would part.
+TRAIN_CHARS = 4 * WINDOW
 
 Span = tuple[int, int, int]  # start, kind's number, end: in the order in which spans are listed
 
@@ -108,22 +117,31 @@ def listed(spans: list[Span]) -> str:
 def _signs(text: str) -> list[tuple[int, int, bool]]:
     """Digits, @ signs and disguised signs: start, end, whether it may join the parts of an address."""
     out = [(m.start(), m.end(), "@" in m.group()) for m in _SIGN.finditer(text)]
-    if any(p in text for p in _HIDDEN_PARTS):
-        out += [(*m.span(), True) for m in _HIDDEN.finditer(text)]
-        out.sort()
-    return out
+    hidden = [(*m.span(), True) for m in _HIDDEN.finditer(text)]
+    return sorted(out + hidden) if hidden else out
+
+
+def _joint_before(text: str, least: int, end: int) -> int | None:
+    """Where the joint that ends at ``end`` begins; the word alone is one only between blanks."""
+    m = _JOINT_BEFORE.search(text, least, end)
+    return m.start() if m else None
 
 
 def _address_start(text: str, i: int, least: int) -> int:
     """Where the address whose sign is at i begins, or ``least``."""
-    while i > least and text[i - 1] == " ":
-        i -= 1
+    def blanks(i):
+        while i > least and text[i - 1] == " ":
+            i -= 1
+        return i
+
+    i = blanks(i)
     while i > least:
         before = i
         while i > least and text[i - 1] in _LOCAL_SET:
             i -= 1
-        m = _JOINT_BEFORE.search(text, max(least, i - 12), i)
-        i = m.start() if m else i
+        end = blanks(i)
+        m = _joint_before(text, max(least, end - _JOINT_CHARS), end)
+        i = i if m is None else blanks(m)
         if i == before:
             break
     return i
@@ -172,26 +190,30 @@ def tags_of(spans: list[Span], i: int, j: int) -> np.ndarray:
 
 
 def _undisguised(k: int, text: str) -> str:
+    """``text`` with everything that may stand for a sign of its kind as that sign."""
+    dots = rf" *{_DOT} *| +[dD][oO][tT] +"
     if k == 0:
-        return re.sub(r" *(\(at\)|\[at\]|@) *", "@", re.sub(r" *(\[\.\]|\(\.\)|\[dot\]| dot ) *", ".", text))
+        t = re.sub(dots, ".", re.sub(rf" *(?:{_AT}|@) *", "@", text))
+        return t if "@" in t else re.sub(r"(?<=[0-9._%+-])([A-Za-z0-9]*) +[aA][tT] +", r"\1@", t, count=1)
     if k == 1:
-        return re.sub(r" *[\[(]?\.[\])]? *", ".", text)
+        return re.sub(rf"{dots}| *[.·•] *", ".", text)
     if k == 2:
-        return re.sub(r"[ ._/-]+", " ", text)
-    return text if text[:1] == "+" else f"+{text.lstrip('(')}"
+        return re.sub(r"[^A-Za-z0-9]{1,4}", " ", text)
+    return re.sub(r"[ ()./_·–-]{1,4}", " ", text.lstrip("(+ "))
 
 
 def acceptable(k: int, text: str) -> bool:
-    """Whether a span of the tagger holds valid data of its kind, with the disguises undone."""
+    """Whether a span of the tagger holds valid data of its kind, however its signs are written: an address with a
+    domain that ends in a word, four parts of at most 255, a Luhn sum, 9 to 15 digits in groups."""
     t = _undisguised(k, text)
     if k == 0:
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t))
+        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", t))
     if k == 1:
         m = re.fullmatch(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)", t)
         return bool(m) and _ip_ok(m.groups())
     if k == 2:
         return bool(re.fullmatch(r"[0-9]( ?[0-9])+", t)) and _card_ok(t)
-    return bool(re.fullmatch(r"\+[0-9][ ().0-9-]+[0-9]", t)) and _phone_ok(t) and not re.fullmatch(r"\+[0-9]+", t)
+    return bool(re.fullmatch(r"[0-9]+( [0-9]+)+", t)) and _phone_ok(t)
 
 
 def _disguise(k: int, text: str, r: np.random.Generator) -> str:
@@ -199,8 +221,9 @@ def _disguise(k: int, text: str, r: np.random.Generator) -> str:
         if r.integers(3) == 0:
             return text.replace("@", (" @ ", " @", "@ ")[r.integers(3)])
         name, _, domain = text.partition("@")
-        at = ("@", " @ ", " [at] ", " (at) ", "[at]", "(at)", " [at] ", " (at) ")[r.integers(8)]
-        dot = (".", " dot ", "[dot]", "[.]", "(.)", ".")[r.integers(6)]
+        left, right = ("[]", "()", "{}", "<>", "[]", "()")[r.integers(6)]
+        at = ("@", " @ ", f" {left}at{right} ", f"{left}at{right}")[(0, 1, 2, 3, 2, 3, 2, 2)[r.integers(8)]]
+        dot = (".", " dot ", f"{left}dot{right}", f"{left}.{right}", ".")[r.integers(5)]
         return (name.replace(".", dot) if r.integers(2) else name) + at + domain.replace(".", dot)
     if k == 1:
         return text.replace(".", ("[.]", " . ", "(.)")[r.integers(3)])
@@ -249,7 +272,10 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int =
             for text in b.column(1).to_pylist():
                 spans = base_spans(text)
                 for i, j in regions(text):
-                    j = min(j, i + 4 * WINDOW)
+                    j = min(j, i + TRAIN_CHARS)
+                    for a, _, e in spans:
+                        if a < j < e:
+                            j = e
                     own = [(a - i, k, e - i) for a, k, e in spans if a >= i and e <= j]
                     digest = hashlib.sha256(text[i:j].encode("utf-8", "surrogatepass")).hexdigest()
                     out.append((f"{int(not own)}{digest}", text[i:j], [list(s) for s in own]))
@@ -298,7 +324,7 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
                 text = texts[n][s:e]
                 s, e = s + len(text) - len(text.lstrip()), e - (len(text) - len(text.rstrip()))
                 # no kind accepts a text without a sign
-                for s, e in ([_whole(texts[n], s, e)] if s < e and k == 0 else []) + [(s, e)]:
+                for s, e in ([_joined(texts[n], s, e), _whole(texts[n], s, e)] if s < e and k == 0 else []) + [(s, e)]:
                     if s < e and acceptable(k, texts[n][s:e]) and not any(
                             x < e and y > s for x, _, y in [*base[n], *out[n][-1:]]):
                         out[n].append((s, k, e))
@@ -310,6 +336,14 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
     return out
 
 
+def _joined(text: str, s: int, e: int) -> tuple[int, int]:
+    """s..e with all that joints and characters of addresses tie to it."""
+    s, e = _address_start(text, s, 0), _AFTER.match(text, e).end()
+    while e > s and text[e - 1] in " .,":
+        e -= 1
+    return s, e
+
+
 def _whole(text: str, s: int, e: int) -> tuple[int, int]:
     """The whole address that s..e is a part of."""
     while s > 0 and text[s - 1] in _LOCAL_SET:

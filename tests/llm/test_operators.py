@@ -664,7 +664,8 @@ def test_pii_tagger_finds_disguised(sp, tagger):
     assert wrong <= 2
 
 
-@pytest.mark.parametrize("at,dot", [(" [at] ", "."), (" (at) ", " dot "), ("[at]", "[dot]"), ("(at)", "."), (" @ ", " dot ")])
+@pytest.mark.parametrize("at,dot", [(" [at] ", "."), (" (at) ", " dot "), ("[at]", "[dot]"), ("(at)", "."), (" @ ", " dot "),
+                                    (" {at} ", "."), ("<at>", "{dot}"), (" [AT] ", " [DOT] "), ("|at|", " dot "), ("((at))", "*dot*")])
 def test_pii_address_without_digit(sp, at, dot):
     r = random.Random(13)
     name = lambda: f"{prose(r, 1, 3)}.{prose(r, 1, 3)}@{prose(r, 1, 3)}.{r.choice(['com', 'org', 'net'])}"
@@ -700,6 +701,43 @@ def test_pii_regions_end_with_the_address():
         assert all(i < j for i, j in pii.regions(text))
 
 
+@pytest.mark.parametrize("kind,text", [
+    (0, "bob.smith <at> example {dot} com"), (0, "bob_smith at mail.example.org"), (1, "10·0·0·7"), (1, "10 dot 0 dot 0 dot 255"),
+    (1, "10{.}0{.}0{.}7"), (2, "4111 - 1111 - 1111 - 1111"), (2, "4111*1111*1111*1111"), (3, "(564) 555/45.26"), (3, "0049_30_1234567")])
+def test_pii_data_is_checked_not_its_disguise(kind, text):
+    assert pii.acceptable(kind, text)
+
+
+@pytest.mark.parametrize("kind,text", [
+    (0, "look at example.com"), (0, "bob.smith <at> example"), (0, "bob.smith at 3.14"), (1, "10·0·0·777"), (1, "10 0 0 7"), (1, "1.2.3"),
+    (2, "4111 - 1111 - 1111 - 1112"), (2, "4111"), (3, "5645554526"), (3, "(564) 555"), (3, "12:30:45 01:02:03")])
+def test_pii_invalid_data_is_not_accepted(kind, text):
+    assert not pii.acceptable(kind, text)
+
+
+def test_pii_long_joint(sp):
+    """The address in front of a sign is found over any number of blanks."""
+    text = "word " * 30 + "first" + " " * 40 + "[dot]" + " " * 25 + "last" + " " * 60 + "[at] example.org" + " word" * 20
+    a, b = text.index("first"), text.index("example.org") + len("example.org")
+    assert any(i <= a and j >= b for i, j in pii.regions(text))
+
+
+def test_pii_training_cuts_no_span(sp, monkeypatch):
+    """A long region is cut behind a span, not in it: what training gets has whole spans with all their characters."""
+    seen = []
+
+    def stop(rows):
+        seen.extend(rows)
+        raise StopIteration
+    monkeypatch.setattr(pii, "examples", stop)
+    text = " ".join(f"user{i}@mail{i}.example.com" for i in range(60))
+    with pytest.raises(StopIteration):
+        pii.train(sp.createDataFrame([(1, text)], "doc_id long, text string"))
+    for part, spans in seen:
+        assert part in text and len(part) >= pii.TRAIN_CHARS
+        assert spans == pii.base_spans(part) and part[spans[-1][0]:spans[-1][2]] in text.split(" ")
+
+
 def test_pii_windows_cover():
     r = random.Random(11)
     for _ in range(200):
