@@ -62,3 +62,11 @@ def quality_report(hourly: DataFrame, fuels: DataFrame | None = None) -> DataFra
         "stack(6, 'empty_input', CAST(IF(n = 0, 1, 0) AS BIGINT), 'unparseable_date', bad_date, "
         "'null_hour', null_hour, 'corrupt_row', corrupt, "
         "'null_quantity', null_q, 'unknown_fuel', unknown) AS (finding, row_count)"))
+
+
+def series_span(bounds: DataFrame, most_hours: int = 24 * 366 * 20) -> DataFrame:
+    """C8 before the grid is made: (key, grid_hours, too_long) from ``series.series_bounds``. One far-off date makes a grid
+    of millions of hours; ``too_long`` tells which series have one."""
+    seconds = F.unix_seconds(F.col("grid_end").cast("timestamp")) - F.unix_seconds(F.col("grid_start").cast("timestamp"))
+    hours = F.floor(seconds / 3600).cast("bigint") + 1
+    return bounds.select(*K, hours.alias("grid_hours"), (hours > most_hours).alias("too_long"))

@@ -158,14 +158,24 @@ register("depletion_extension", O.sql(
     overrides={"cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL)))}))(
     lambda spark, sf: rounded(Pipeline(spark, sf, initial=EXT_INITIAL).extension))
 
+# walked week by week: no quotient says in which week the level gets there
 register("dead_stock_crossing", O.sql(f"""
-    SELECT {K3}, CAST(min(q * 168 + r) AS BIGINT) AS cross_step, COALESCE(min(q * 168 + r), 1001) > 1000 AS capped
-    FROM (SELECT {K3}, k AS r,
-                 CASE WHEN need <= run THEN 0 WHEN total > 0 THEN CAST(ceil((need - run) / total) AS BIGINT) END AS q
-          FROM (SELECT *, last_level - dead_stock AS need,
-                       SUM(y) OVER (PARTITION BY {K3} ORDER BY k) AS run, SUM(y) OVER (PARTITION BY {K3}) AS total
-                FROM steps_y WHERE k <= 168))
-    GROUP BY {K3}""", "steps_y", overrides={"cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL)))}))(
+    SELECT {K3}, CAST(min(q * 168 + r) FILTER (WHERE run >= left_then) AS BIGINT) AS cross_step,
+           COALESCE(min(q * 168 + r) FILTER (WHERE run >= left_then), 1001) > 1000 AS capped
+    FROM first_week JOIN (SELECT {K3}, max(q) AS q, arg_max(need, q) AS left_then FROM walk GROUP BY {K3}) USING ({K3})
+    GROUP BY {K3}""", "first_week", "walk", overrides={
+        "cfg": (("hourly",), O.cfg_sql(initial=repr(EXT_INITIAL))),
+        "first_week": (("steps_y",), f"""
+        SELECT {K3}, k AS r, last_level - dead_stock AS need, SUM(y) OVER (PARTITION BY {K3} ORDER BY k) AS run,
+               SUM(y) OVER (PARTITION BY {K3}) AS total
+        FROM steps_y WHERE k <= 168"""),
+        "weeks": (("first_week",), f"""
+        SELECT {K3}, any_value(need) AS need, any_value(total) AS total, max(run) AS most FROM first_week GROUP BY {K3}"""),
+        "walk": (("weeks",), f"""
+        SELECT {K3}, 0 AS q, need, total, most FROM weeks
+        UNION ALL
+        SELECT {K3}, q + 1, need - total, total, most FROM walk WHERE need > most AND total > 0"""),
+    }).replace("WITH ", "WITH RECURSIVE ", 1))(
     lambda spark, sf: Pipeline(spark, sf, initial=EXT_INITIAL).crossing)
 
 register("first_dead_stock_hour", O.sql(
@@ -203,6 +213,26 @@ register("orders_to_forecast", O.sql(
     f"{O.r6('accuracy', 'accuracy')} FROM scored", "scored", overrides=_ORDERS_OVERRIDES))(
     lambda spark, sf: rounded(Pipeline(spark, sf, source="orders").comparison))
 
+register("gauges_to_forecast", O.sql(
+    f"SELECT {K3}, ds, {O.r6('yhat', 'yhat')}, {O.r6('quantity', 'quantity')}, {O.r6('accuracy', 'accuracy')} FROM scored", "scored",
+    overrides={"hourly": (("gauges",), f"""
+        SELECT {K3}, strftime(ts, '%d.%m.%Y') AS date, CAST(hour(ts) AS INTEGER) AS hour,
+               CAST(SUM(CAST(volume AS DECIMAL(18,2))) AS DOUBLE) AS quantity, CAST(1 AS BIGINT) AS pairs
+        FROM gauges GROUP BY {K3}, strftime(ts, '%d.%m.%Y'), hour(ts)""")}))(
+    lambda spark, sf: rounded(Pipeline(spark, sf, source="gauges").comparison))
+
+
+@register("series_span_report", O.sql(f"""
+    SELECT {K3}, CAST(date_diff('hour', lo, hi) + 1 AS BIGINT) AS grid_hours, date_diff('hour', lo, hi) + 1 > 600 AS too_long
+    FROM sbounds""", "sbounds"))
+def _span_report(spark, sf):
+    """How long each series' grid would be, before it is made."""
+    from ..operators import quality as qu
+    from ..operators import series as se
+    obs = se.dedupe_mean(se.parse_hourly(Pipeline(spark, sf).hourly))
+    return qu.series_span(se.series_bounds(obs), most_hours=600)
+
+
 _SPOILT = {"spoilt": (("hourly",), """
     SELECT station, CAST(CASE WHEN station = 'S3' AND hour = 5 THEN 42 ELSE product END AS BIGINT) AS product, tank,
            CASE WHEN hour = 13 THEN '31.02.2024' ELSE date END AS date, hour = 13 AS bad_date,
@@ -674,10 +704,11 @@ def _w4_observed(spark, sf):
 def _empty_chain(spark, sf):
     """The extract of a station without readings is a file with a header only; read back, it runs through every
     later stage and gives no rows, with the columns of any other extract."""
-    from ..session import checkpoint_dir
-    from ..sources import readers
     import uuid
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tankflow-tables/{uuid.uuid4().hex}"
+
+    from ..session import tables_dir
+    from ..sources import readers
+    path = f"{tables_dir(spark)}/{uuid.uuid4().hex}"
     readers.write_extract_csv(Pipeline(spark, sf, stations=["S9"]).hourly_plan, path)
     p = Pipeline(spark, sf)
     p.hourly = readers.read_hourly_csv(spark, path)

@@ -91,6 +91,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """The folder of this application's written tables, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tankflow-tables/{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession) -> bool:
+    """Delete all tables that this application has written with ``cut_lineage``. For the end of a session, or between jobs of
+    a long-lived one: frames that were made before can't be read any more. True if there were any."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame reliably and cut its lineage.
 
@@ -101,8 +113,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     for the eager count, once for the write).
     """
     import uuid
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tankflow-tables/{uuid.uuid4().hex}"
+    path = f"{tables_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import tables_dir
 
 #: Partition column: 100 * year + month.
 MONTH = "in_month"
@@ -26,7 +26,7 @@ def month_of(ts: str) -> Column:
 def by_month(df: DataFrame, ts: str, base: str | None = None) -> DataFrame:
     """``df`` partitioned by the month of ``ts`` (column ``MONTH``). Rows are spread by hash before the write, so that a month
     is a few files a task and no task holds a whole month."""
-    path = f"{base or checkpoint_dir(df.sparkSession).rstrip('/') + '/tankflow-tables'}/{uuid.uuid4().hex}"
+    path = f"{base or tables_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.withColumn(MONTH, month_of(ts)).write.partitionBy(MONTH).parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -36,7 +36,7 @@ def bucketed(df: DataFrame, key: str, buckets: int, *, month_ts: str | None = No
     dealt out by the key first, so that a task writes one file a bucket and month."""
     spark = df.sparkSession
     name = f"tankflow_{uuid.uuid4().hex}"
-    path = f"{base or checkpoint_dir(spark).rstrip('/') + '/tankflow-tables'}/{name}"
+    path = f"{base or tables_dir(spark)}/{name}"
     if month_ts:
         df = df.withColumn(MONTH, month_of(month_ts))
     w = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path)

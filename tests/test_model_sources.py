@@ -251,6 +251,24 @@ def test_extract_csv_with_pairs(spark, tmp_path):
     assert back.columns == [*S.HOURLY_HEADERS, "pairs"] and [r.pairs for r in back.collect()] == ["3"]
 
 
+def test_written_tables_can_be_dropped(spark, monkeypatch, tmp_path):
+    from tankflow import session
+    monkeypatch.setattr(session, "tables_dir", lambda s: str(tmp_path / "tables"))
+    df = session.cut_lineage(spark.range(5))
+    assert df.count() == 5 and len(list((tmp_path / "tables").iterdir())) == 1
+    assert session.drop_tables(spark) and not (tmp_path / "tables").exists()
+    assert not session.drop_tables(spark)
+
+
+def test_series_span(spark):
+    from tankflow.operators import quality as qu
+    from tankflow.operators import series as se
+    rows = [("A", 1, 1, "01.01.2024", 5, 1.0), ("A", 1, 1, "31.12.9998", 5, 1.0), ("B", 1, 1, "01.01.2024", 5, 1.0)]
+    bounds = se.series_bounds(se.dedupe_mean(se.parse_hourly(spark.createDataFrame(rows, S.HOURLY))))
+    got = {r.station: (r.grid_hours, r.too_long) for r in qu.series_span(bounds).collect()}
+    assert got["B"] == (25, False) and got["A"][1] and got["A"][0] > 60_000_000
+
+
 def test_checkpoint_folder_must_be_shared():
     from types import SimpleNamespace
 
