@@ -30,22 +30,24 @@ def rolling_baseline(history: DataFrame, window: int, *, exclude_filled: bool =
     return history.withColumn("rolling_mean", F.avg("quantity").over(w))
 
 
-def last_n_per_cell(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False) -> DataFrame:
+def last_n_per_cell(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False, most: int | None = None) -> DataFrame:
     """The last ``window`` rows (by ds) of each (key, weekday, hour) cell.
 
-    ``window`` comes from the per-series configuration.
+    ``window`` comes from the per-series configuration. ``most``, the largest window in it where the caller knows it,
+    lets the planner keep only that many rows of a cell in each task before the exchange.
     """
     h = observed(history, exclude_filled).join(cfg.select(*K, "window"), K)
     rank = F.row_number().over(Window.partitionBy(*CELL).orderBy(F.col("ds").desc()))
-    return h.withColumn("rn", rank).filter(F.col("rn") <= F.col("window")).drop("rn", "window")
+    ranked = h.withColumn("rn", rank).filter(F.col("rn") <= F.col("window"))
+    return (ranked if most is None else ranked.filter(F.col("rn") <= int(most))).drop("rn", "window")
 
 
-def similar_day_baseline(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False) -> DataFrame:
+def similar_day_baseline(history: DataFrame, cfg: DataFrame, *, exclude_filled: bool = False, most: int | None = None) -> DataFrame:
     """Mean of the last ``window`` observations of each (weekday, hour).
 
     Equal to the last value of a ``min_periods=1`` rolling mean.
     """
-    return (last_n_per_cell(history, cfg, exclude_filled=exclude_filled)
+    return (last_n_per_cell(history, cfg, exclude_filled=exclude_filled, most=most)
             .groupBy(*CELL).agg(F.avg("quantity").alias("baseline")))
 
 

@@ -120,7 +120,8 @@ class Pipeline:
     # -- baseline, model, C4 ----------------------------------------------
     @cached_property
     def baseline(self) -> DataFrame:
-        return bl.similar_day_baseline(self.history, self.cfg, exclude_filled=self.exclude_filled)
+        return bl.similar_day_baseline(self.history, self.cfg, exclude_filled=self.exclude_filled,
+                                       most=fx.most_window(**self.scenario))
 
     @cached_property
     def calendar(self) -> DataFrame:

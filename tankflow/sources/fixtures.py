@@ -162,6 +162,11 @@ def calendar(spark: SparkSession, events=TEST_EVENTS) -> DataFrame:
     return spark.createDataFrame(rows, S.CALENDAR)
 
 
+def most_window(**params) -> int:
+    """The largest window that ``make_config`` with these parameters gives a series."""
+    return params["window"] if "window" in params else max([TEST_SCENARIO["window"], *[own["window"] for _, own in SERIES_SCENARIOS if "window" in own]])
+
+
 def make_config(series: DataFrame, **params) -> DataFrame:
     """One config row per distinct series of ``series`` but the unconfigured ones: the scenario's values,
     what differs for the series, and ``params`` over both."""

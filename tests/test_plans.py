@@ -90,3 +90,8 @@ def test_lead_lag_deals_readings_out_once(spark, monkeypatch):
     final = _final(Q["lead_lag_readings"](spark, SF))
     assert "events.parquet" not in final  # the written readings are read, not the source a second time
     assert len(seen) == 1 and seen[0].count("Exchange ") == 1 and seen[0].count("Sort [") == 1
+
+
+def test_last_rows_of_a_cell_are_limited_before_the_exchange(spark):
+    plan = _plan(Q["similar_day_mean"](spark, SF))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
