@@ -315,7 +315,7 @@ def _events(spark, sf):
     """The event terms that are on, hour by hour."""
     from ..sources import fixtures as fx
     from ..sources import schema as S
-    on = md.event_window_expand(fx.calendar(spark))
+    on = md.event_window_expand(fx.calendar(spark)).drop("station")  # this calendar holds for all
     s = Pipeline(spark, sf).series.select(*S.SERIES_KEY, "ds", F.to_date("ds").alias("date"))
     return s.join(on, "date").select(*S.SERIES_KEY, "ds", "event", F.col("offset").alias("day_offset"))
 
