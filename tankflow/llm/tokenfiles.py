@@ -9,7 +9,7 @@ Format, in one folder of the shared checkpoint folder (or one the caller names):
 * ``index.json``         width, type of the document ids, and per shard the counts and bases of documents and tokens
 
 Documents are dealt out by ranges of doc_id and sorted inside a shard, so shard after shard
-holds them in ascending order (null first; of equal ids, by the first ``BEGIN`` characters of the text, then by its hash). Ranges also split rows
+holds them in ascending order (null first; of equal ids, inside a shard, by text). Ranges also split rows
 with one id, and even equal rows, so no id is one task's. A shard is written by one task
 to a name of its attempt and then renamed, so a repeated or speculative task leaves the same
 files. The tasks return one row each, and the bases are prefix sums over those rows. A reader
@@ -49,8 +49,6 @@ REMEMBERED = 350_000
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 2_000_000
 
-#: Characters of a text that order documents with one id.
-BEGIN = 64
 #: New words that the library gets in one text.
 JOINED = 5_000
 
@@ -245,10 +243,9 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None
                                           "n_tokens": pa.array([total], pa.int64())})
 
     src = id_and_text(docs, id_col, text_col)
-    keys = ["doc_id", "begin", "hash", "nth"]  # nth only tells rows apart that are equal in all else
-    ordered = (src.select("*", F.substring("text", 1, BEGIN).alias("begin"), F.xxhash64("text").alias("hash"),
-                          F.monotonically_increasing_id().alias("nth"))
-               .repartitionByRange(*keys).sortWithinPartitions(*keys).select("text", "doc_id"))
+    # nth tells rows of one id apart; ranges are found without reading a text
+    ordered = (src.withColumn("nth", F.monotonically_increasing_id()).repartitionByRange("doc_id", "nth")
+               .sortWithinPartitions("doc_id", "text").select("text", "doc_id"))
     id_type = src.schema["doc_id"].dataType.simpleString()
     rows = ordered.mapInArrow(_with_ids(shard, folder), "shard int, n_docs long, n_tokens long").collect()
     shards, base_docs, base_tokens = [], 0, 0
